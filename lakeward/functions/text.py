@@ -100,6 +100,6 @@ def parse_landing_path(c: Column) -> dict[str, Column]:
     return {
         "source": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 1)),
         "entity": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 2)),
-        "run_date": F.when(matched, F.try_to_date(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd"))),
+        "run_date": F.when(matched, F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")),
         "run_id": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 6)),
     }

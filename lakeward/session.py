@@ -97,3 +97,34 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         pieces.append(uuid.uuid4().hex)
     return os.path.join(base, *pieces) if pieces else base
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Make ``lakeward`` importable in the Python workers of every executor.
+
+    Operators that run Python workers (``mapInPandas``) pickle functions by
+    reference to this package.  The package is zipped once per application
+    and added with ``addPyFile``, which distributes it through Spark's own
+    file server (the same as ``--py-files``)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="lakeward-lib-"), "lakeward.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in folder:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_library
 from .paths import landing_prefix
 
 log = logging.getLogger(__name__)
@@ -104,6 +105,7 @@ def _footer_schemas(batches):
 def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
     """``(path, schema)`` for every file, read from the Parquet footers on the
     executors (only the footer bytes are fetched)."""
+    ship_library(spark)
     paths = spark.createDataFrame([(f,) for f in files], "path string")
     return paths.mapInPandas(_footer_schemas, "path string, schema string")
 
