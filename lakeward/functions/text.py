@@ -85,21 +85,40 @@ def landing_path_col(
     )
 
 
-# Inverse of the landing layout; anchored on the date folders so a bucket with
-# slashes in it still parses.
-LANDING_PATH_RE = r"([^/]+)/([^/]+)/(\d{4})/(\d{2})/(\d{2})/([^/]+?)\.([A-Za-z0-9]+)(?:/[^/]*)?$"
-
-
 def parse_landing_path(c: Column) -> dict[str, Column]:
     """Columns ``source, entity, run_date, run_id`` parsed from a landing path
-    (either the run file itself or a part file inside a run folder)."""
-    y = F.regexp_extract(c, LANDING_PATH_RE, 3)
-    m = F.regexp_extract(c, LANDING_PATH_RE, 4)
-    d = F.regexp_extract(c, LANDING_PATH_RE, 5)
-    matched = F.regexp_like(c, F.lit(LANDING_PATH_RE))
+    (the run file itself, or a part file inside the run folder); all null
+    when the path does not fit the layout.
+
+    Works on the ``/``-separated segments counted from the end, so each test
+    is a short anchored match on one segment (no backtracking over the whole
+    path)."""
+    parts = F.split(c, "/")
+
+    def seg(k):
+        return F.try_element_at(parts, F.lit(-k))
+
+    def is_day_folder(off):
+        return (
+            seg(2 + off).rlike(r"^\d{2}$") & seg(3 + off).rlike(r"^\d{2}$") & seg(4 + off).rlike(r"^\d{4}$")
+        )
+
+    # A part file sits one level below the run folder.
+    off = F.when(is_day_folder(1) & seg(2).rlike(r"\.[A-Za-z0-9]+$"), F.lit(1)).otherwise(F.lit(0))
+
+    def s(k):
+        return F.try_element_at(parts, -(F.lit(k) + off))
+
+    run_seg = s(1)
+    valid = (
+        (F.size(parts) >= F.lit(6) + off)
+        & s(2).rlike(r"^\d{2}$") & s(3).rlike(r"^\d{2}$") & s(4).rlike(r"^\d{4}$")
+        & run_seg.rlike(r"^.+\.[A-Za-z0-9]+$") & (F.length(s(5)) > 0) & (F.length(s(6)) > 0)
+    )
+    day = F.concat_ws("-", s(4), s(3), s(2)).try_cast("date")
     return {
-        "source": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 1)),
-        "entity": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 2)),
-        "run_date": F.when(matched, F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")),
-        "run_id": F.when(matched, F.regexp_extract(c, LANDING_PATH_RE, 6)),
+        "source": F.when(valid, s(6)),
+        "entity": F.when(valid, s(5)),
+        "run_date": F.when(valid, day),
+        "run_id": F.when(valid, F.regexp_extract(run_seg, r"^(.*)\.[A-Za-z0-9]+$", 1)),
     }

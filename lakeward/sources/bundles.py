@@ -122,89 +122,74 @@ def parse_csv_text(
     return None, with_first()
 
 
-def _rows_frame(bundle_id, bundle_ordinal, member, member_ordinal, header, rows_iter):
-    buf = []
-    n = 0
-    for fields in rows_iter:
-        buf.append(fields)
-        n += 1
-        if len(buf) >= _CHUNK:
-            yield _frame(bundle_id, bundle_ordinal, member, member_ordinal, header, buf, n - len(buf))
-            buf = []
-    if buf:
-        yield _frame(bundle_id, bundle_ordinal, member, member_ordinal, header, buf, n - len(buf))
-
-
-def _frame(bundle_id, bundle_ordinal, member, member_ordinal, header, rows, start):
-    k = len(rows)
-    return pd.DataFrame(
-        {
-            "bundle_id": [bundle_id] * k,
-            "bundle_ordinal": [bundle_ordinal] * k,
-            "member": [member] * k,
-            "member_ordinal": [member_ordinal] * k,
-            "row_ordinal": list(range(start, start + k)),
-            "header": [header] * k,
-            "fields": rows,
-            "error": [None] * k,
-        }
-    )
+_COLUMNS = ("bundle_id", "bundle_ordinal", "member", "member_ordinal", "row_ordinal", "header", "fields", "error")
 
 
-def _reject(bundle_id, bundle_ordinal, reason):
-    return pd.DataFrame(
-        {
-            "bundle_id": [bundle_id], "bundle_ordinal": [bundle_ordinal], "member": [None],
-            "member_ordinal": [None], "row_ordinal": [None], "header": [None],
-            "fields": [None], "error": [reason],
-        }
-    )
+class _Out:
+    """Row buffer shared by all bundles of one Arrow batch; flushed as one
+    pandas frame every ``_CHUNK`` rows (not one frame per bundle)."""
+
+    def __init__(self):
+        self.cols = {c: [] for c in _COLUMNS}
+
+    def add(self, *values):
+        for c, v in zip(_COLUMNS, values):
+            self.cols[c].append(v)
 
+    def __len__(self):
+        return len(self.cols["bundle_id"])
 
-def _materialize(header, rows):
+    def flush(self):
+        frame = pd.DataFrame(self.cols)
+        self.cols = {c: [] for c in _COLUMNS}
+        return frame
+
+
+def _parse_member(text, skiprows, delimiter, has_header):
     """Parse fully before emitting, so a bad row rejects the whole CSV."""
+    header, rows = parse_csv_text(text, skiprows, delimiter, has_header)
     return header, list(rows)
 
 
 def _bundle_worker(kind: str, has_header: bool, skiprows: int, delimiter, all_members: bool):
+    def csv_members(content):
+        if kind == "csv":
+            yield None, 0, content
+            return
+        with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
+            for m_ord, name in enumerate(zf.namelist()):
+                if name.lower().endswith(".csv"):
+                    yield name, m_ord, zf.read(name)
+
     def run(batches):
+        out = _Out()
         for pdf in batches:
             for bundle_id, ordinal, content in zip(pdf["bundle_id"], pdf["bundle_ordinal"], pdf["content"]):
-                emitted = False
+                parsed = []
                 try:
-                    if kind == "zip":
-                        with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                            for m_ord, name in enumerate(zf.namelist()):
-                                if not name.lower().endswith(".csv"):
-                                    continue
-                                text = decode_payload(zf.read(name))
-                                if text is None:
-                                    continue
-                                try:
-                                    header, rows = _materialize(
-                                        *parse_csv_text(text, skiprows, delimiter, has_header)
-                                    )
-                                except EmptyCsv:
-                                    continue
-                                yield from _rows_frame(bundle_id, ordinal, name, m_ord, header, iter(rows))
-                                emitted = True
-                                if not all_members:
-                                    break
-                    else:
-                        text = decode_payload(content)
-                        if text is not None:
-                            try:
-                                header, rows = _materialize(
-                                    *parse_csv_text(text, skiprows, delimiter, has_header)
-                                )
-                                yield from _rows_frame(bundle_id, ordinal, None, 0, header, iter(rows))
-                                emitted = True
-                            except EmptyCsv:
-                                pass
-                    if not emitted:
-                        yield _reject(bundle_id, ordinal, "no valid CSV")
+                    for name, m_ord, raw in csv_members(content):
+                        text = decode_payload(raw)
+                        if text is None:
+                            continue
+                        try:
+                            header, rows = _parse_member(text, skiprows, delimiter, has_header)
+                        except EmptyCsv:
+                            continue
+                        parsed.append((name, m_ord, header, rows))
+                        if not all_members:
+                            break
                 except (zipfile.BadZipFile, ValueError, csv.Error) as exc:
-                    yield _reject(bundle_id, ordinal, f"{type(exc).__name__}: {exc}")
+                    out.add(bundle_id, ordinal, None, None, None, None, None, f"{type(exc).__name__}: {exc}")
+                    continue
+                if not parsed:
+                    out.add(bundle_id, ordinal, None, None, None, None, None, "no valid CSV")
+                for name, m_ord, header, rows in parsed:
+                    for i, fields in enumerate(rows):
+                        out.add(bundle_id, ordinal, name, m_ord, i, header, fields, None)
+                        if len(out) >= _CHUNK:
+                            yield out.flush()
+        if len(out):
+            yield out.flush()
 
     return run
 
@@ -216,6 +201,7 @@ def extract_bundle_rows(
     skiprows: int = 0,
     delimiter: str | None = None,
     all_members: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """Parse bundles into one row per CSV line (long form, see
     ``BUNDLE_ROWS_SCHEMA``).  ``bundles`` needs ``bundle_id``,
@@ -231,9 +217,22 @@ def extract_bundle_rows(
     has_header = not column_mapping
     ship_library(bundles.sparkSession)
     worker = _bundle_worker(kind, has_header, skiprows, delimiter, all_members)
-    return bundles.select("bundle_id", "bundle_ordinal", "content").mapInPandas(
-        worker, BUNDLE_ROWS_SCHEMA
-    )
+    src = bundles.select("bundle_id", "bundle_ordinal", "content")
+    if spread:
+        # Bundles arrive packed into few input splits (one scan task for a
+        # day's mail, small files merged by binaryFile); hash them over the
+        # shuffle partitions so the Python parsing uses every core.  AQE
+        # coalesces the partitions again when there are few bundles.
+        src = src.repartition("bundle_id")
+    return src.mapInPandas(worker, BUNDLE_ROWS_SCHEMA)
+
+
+def materialize(rows: DataFrame) -> DataFrame:
+    """Write the parsed rows once to the checkpoint folder (lineage cut), so
+    the column discovery, the rows and the rejects all read the same result
+    without parsing the bundles again.  Survives executor loss: the data is
+    in the shared checkpoint folder, not on one executor."""
+    return rows.checkpoint(eager=True)
 
 
 def bundle_rows_to_frame(rows: DataFrame, column_mapping: dict[int, str] | None = None) -> DataFrame:

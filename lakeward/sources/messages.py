@@ -96,5 +96,7 @@ def process_mailed_reports(
     att = select_attachments(messages, sender_email, subject, target_date, subject_suffix, ext)
     ids = id_columns or [c for c in ("date", "sender", "subject") if c in att.columns]
     b = attachments_as_bundles(att, ids + ["attachment_ordinal"], ["attachment_ordinal"])
-    long_rows = bundles.extract_bundle_rows(b, "zip" if ext == "zip" else "csv", column_mapping, skiprows, delimiter)
+    long_rows = bundles.materialize(
+        bundles.extract_bundle_rows(b, "zip" if ext == "zip" else "csv", column_mapping, skiprows, delimiter)
+    )
     return bundles.bundle_rows_to_frame(long_rows, column_mapping), bundles.rejected_bundles(long_rows)
