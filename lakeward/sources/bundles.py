@@ -201,7 +201,7 @@ def extract_bundle_rows(
     skiprows: int = 0,
     delimiter: str | None = None,
     all_members: bool = False,
-    spread: bool = True,
+    spread: bool = False,
 ) -> DataFrame:
     """Parse bundles into one row per CSV line (long form, see
     ``BUNDLE_ROWS_SCHEMA``).  ``bundles`` needs ``bundle_id``,
@@ -219,10 +219,11 @@ def extract_bundle_rows(
     worker = _bundle_worker(kind, has_header, skiprows, delimiter, all_members)
     src = bundles.select("bundle_id", "bundle_ordinal", "content")
     if spread:
-        # Bundles arrive packed into few input splits (one scan task for a
-        # day's mail, small files merged by binaryFile); hash them over the
-        # shuffle partitions so the Python parsing uses every core.  AQE
-        # coalesces the partitions again when there are few bundles.
+        # For few, large bundles packed into few input splits (small files
+        # merged by binaryFile, one day's mail in one scan task): hash them
+        # over the shuffle partitions so the Python parsing uses every core.
+        # Off by default: for many small bundles the extra Python workers
+        # cost more than they save.
         src = src.repartition("bundle_id")
     return src.mapInPandas(worker, BUNDLE_ROWS_SCHEMA)
 
