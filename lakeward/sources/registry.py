@@ -41,13 +41,14 @@ def read_jdbc_table(
     opts = {"url": url, "dbtable": name, **(properties or {})}
     if partition_column:
         if lower_bound is None or upper_bound is None:
+            # MIN/MAX pushed down to the database (identifiers quoted by the
+            # JDBC dialect), one small query.
             b = (
-                spark.read.format("jdbc")
-                .options(**{**opts, "dbtable": f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {name}) b"})
-                .load()
+                spark.read.format("jdbc").options(**opts).option("pushDownAggregate", "true").load()
+                .agg(F.min(partition_column).alias("lo"), F.max(partition_column).alias("hi"))
                 .first()
             )
-            lower_bound, upper_bound = b[0], b[1]
+            lower_bound, upper_bound = b["lo"], b["hi"]
         if lower_bound is not None and upper_bound is not None:
             opts.update(
                 partitionColumn=partition_column,

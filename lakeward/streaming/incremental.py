@@ -15,6 +15,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,20 +84,29 @@ def gate_batch(spec: StreamSpec):
         if _already_done(spark, results, spec.name, batch_id):
             log.info("Batch %s of %s already processed; skipped", batch_id, spec.name)
             return
-        passed, checks = quality.validate_dataframe(
-            batch, spec.expected_columns, spec.not_null_columns, spec.key_columns, spec.min_rows
-        )
-        n = 0
-        if passed:
-            to_write = batch
-            if spec.key_columns and tables.table_exists(spark, spec.table, spec.schema):
-                to_write = new_rows_only(batch, spark.table(tables.fq_name(spec.table, spec.schema)), spec.key_columns, spec.order_by)
-            n = tables.insert_data(spark, to_write, spec.table, schema=spec.schema)
-        else:
-            target = spec.quarantine or shared_dir(spark, "quarantine", spec.name)
-            batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-        msgs = "; ".join(f"{c.check_name}: {c.message}" for c in checks if not c.passed)
-        spark.createDataFrame([(spec.name, batch_id, passed, n, msgs)], RESULTS_SCHEMA).write.insertInto(results)
+        # The micro-batch is read by the checks, the de-duplication and the
+        # write; keep it (memory, spilling to disk) for the batch's lifetime.
+        # Its size is bounded by the trigger (maxFilesPerTrigger).
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            passed, checks = quality.validate_dataframe(
+                batch, spec.expected_columns, spec.not_null_columns, spec.key_columns, spec.min_rows
+            )
+            n = 0
+            if passed:
+                to_write = batch
+                if spec.key_columns and tables.table_exists(spark, spec.table, spec.schema):
+                    target = tables.fq_name(spec.table, spec.schema)
+                    spark.catalog.refreshTable(target)
+                    to_write = new_rows_only(batch, spark.table(target), spec.key_columns, spec.order_by)
+                n = tables.insert_data(spark, to_write, spec.table, schema=spec.schema)
+            else:
+                target = spec.quarantine or shared_dir(spark, "quarantine", spec.name)
+                batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            msgs = "; ".join(f"{c.check_name}: {c.message}" for c in checks if not c.passed)
+            spark.createDataFrame([(spec.name, batch_id, passed, n, msgs)], RESULTS_SCHEMA).write.insertInto(results)
+        finally:
+            batch.unpersist()
 
     return run
 
@@ -125,6 +135,30 @@ def start_incremental_promotion(
     return writer.start()
 
 
+def run_available_now(
+    spark: SparkSession,
+    entity_root: str,
+    schema: T.StructType,
+    spec: StreamSpec,
+    checkpoint_location: str | None = None,
+    max_files_per_trigger: int | None = None,
+    timeout_seconds: int | None = None,
+) -> DataFrame:
+    """Process every landing run not seen before, then stop.  Returns this
+    stream's batch results.  The stream writes through its own session, so
+    the tables it touched are refreshed in the caller's session afterwards."""
+    q = start_incremental_promotion(
+        spark, entity_root, schema, spec, checkpoint_location, True, max_files_per_trigger
+    )
+    q.awaitTermination(timeout_seconds)
+    if q.exception() is not None:
+        raise q.exception()
+    for t in (tables.fq_name(spec.table, spec.schema), f"`{spec.schema}`.`_stream_batches`"):
+        if spark.catalog.tableExists(t):
+            spark.catalog.refreshTable(t)
+    return spark.table(f"`{spec.schema}`.`_stream_batches`").filter(F.col("stream") == spec.name)
+
+
 def dedup_within_watermark(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Bounded-state alternative: drop repeats of a key seen within the
     watermark delay (state is purged once the watermark passes)."""
