@@ -12,12 +12,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .quality import qcol
 
 _RANK = "__rank"
 
 
+def orderable(dtype: T.DataType) -> bool:
+    """Whether Spark can sort by a value of this type (maps and variants
+    cannot, nor structs/arrays that contain them)."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def _as_cols(items) -> list[Column]:
     return [qcol(c) if isinstance(c, str) else c for c in items]
 
@@ -31,8 +44,8 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     """
     if not order_by:
         raise ValueError("order_by is required: Spark rows have no physical order")
-    used = {c for c in order_by if isinstance(c, str)} | set(keys)
-    tie_break = [qcol(c) for c in df.columns if c not in used]
+    used = {c for c in order_by if isinstance(c, str)} | {k for k in keys if isinstance(k, str)}
+    tie_break = [qcol(f.name) for f in df.schema.fields if f.name not in used and orderable(f.dataType)]
     w = Window.partitionBy(*_as_cols(keys)).orderBy(*_as_cols(order_by), *tie_break)
     return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
 

@@ -11,7 +11,7 @@ import logging
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedup, quality, records
@@ -98,9 +98,11 @@ def publish_gold(
     if bad:
         raise ValueError(f"Gold model {model} is not documented: {[tuple(r) for r in bad]}")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    n = df.count()
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{schema}`.`{table}`")
-    return n
+    obs = Observation("gold")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format("parquet").saveAsTable(
+        f"`{schema}`.`{table}`"
+    )
+    return obs.get["n"]
 
 
 def ingest_mailed_report(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import unique_index_name
-from ..operators.dedup import last_per_key, remove_duplicates
+from ..operators.dedup import last_per_key, orderable, remove_duplicates
 from ..operators.quality import duplicate_keys, qcol
 from ..operators.records import cast_text, flatten
 from ..session import shared_dir
@@ -169,7 +169,8 @@ def upsert_frames(
         for k in key_names:
             term = qcol(k).isNull()
             null_key = term if null_key is None else null_key | term
-        salt = F.when(null_key, F.pmod(F.xxhash64(*[qcol(c) for c in cols]), F.lit(NULL_KEY_SALTS)))
+        hashable = [qcol(f.name) for f in frame.schema.fields if orderable(f.dataType)]
+        salt = F.when(null_key, F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SALTS)))
         return frame.select(
             *[qcol(c).alias(f"{prefix}{c}") for c in cols],
             F.lit(True).alias(f"{prefix}present"),

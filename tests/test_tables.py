@@ -101,3 +101,22 @@ def test_to_csv(spark, tmp_root):
     tables.to_csv(spark.createDataFrame([(1, "a")], "k long, a string"), f"{tmp_root}/out")
     back = spark.read.option("header", "true").csv(f"{tmp_root}/out")
     assert back.columns == ["k", "a"] and back.count() == 1
+
+
+def test_dedup_hot_key_and_unorderable_columns(spark):
+    # one key holds a third of the rows; a map column cannot be sorted
+    n = 3000
+    d = spark.createDataFrame(
+        [((0 if i % 3 == 0 else i), i, {"i": i}) for i in range(n)], "k long, seq long, m map<string, long>"
+    )
+    out = dedup.remove_duplicates(d, ["k"], ["seq"])
+    rows = {r.k: r.seq for r in out.collect()}
+    assert len(rows) == n - n // 3 + 1 and rows[0] == 0
+
+
+def test_upsert_many_null_keys_with_map_column(spark):
+    t = spark.createDataFrame([(None if i % 2 else i, {"a": i}) for i in range(200)], "k long, m map<string, long>")
+    b = spark.createDataFrame([(None, {"b": 1}), (0, {"c": 2})], "k long, m map<string, long>")
+    out = tables.upsert_frames(t, b, ["k"]).collect()
+    assert len(out) == 201
+    assert [r.m for r in out if r.k == 0] == [{"c": 2}]
