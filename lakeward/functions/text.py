@@ -25,13 +25,19 @@ def py_strip(c: Column) -> Column:
 NULL_TEXT_TOKENS = ("nat", "nan")
 
 
+# "strip().lower() is a null token" as one anchored match: optional Python
+# whitespace, the token in any case, optional whitespace.  Only ASCII letters
+# lower-case to n, a or t, so ASCII case folding is exact here.
+_NULL_TOKEN_RE = (
+    rf"(?U)^{_PY_SPACE}*(?i:" + "|".join(NULL_TEXT_TOKENS) + rf"){_PY_SPACE}*$"
+)
+
+
 def sanitize_string(c: Column) -> Column:
     """Drop NUL characters; null when the stripped, lower-cased text is a
     null token; otherwise the cleaned, *unstripped* text."""
     cleaned = F.replace(c, F.lit("\x00"), F.lit(""))
-    return F.when(F.lower(py_strip(cleaned)).isin(*NULL_TEXT_TOKENS), F.lit(None)).otherwise(
-        cleaned
-    )
+    return F.when(cleaned.rlike(_NULL_TOKEN_RE), F.lit(None)).otherwise(cleaned)
 
 
 def iso_text(c: Column, with_offset: bool = False) -> Column:
