@@ -2,7 +2,7 @@
 
 from lakeward.plans import governance as g
 
-ROOT = "/opt/airflow/dags"
+ROOT = "/srv/pipelines/dags"
 
 
 def paths(spark, items):
