@@ -18,7 +18,7 @@ from ..functions.text import iso_text, landing_path_col, parse_landing_path, uni
 from ..operators import dedup, quality, records
 from ..sources import landing, messages, responses
 from ..session import shared_dir
-from . import governance, tables
+from . import contract, governance, tables
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,6 +130,15 @@ def q_upsert(spark, sf_dir):
     return tables.upsert_frames(target, batch, ["o_custkey"])
 
 
+def q_last_per_user(spark, sf_dir):
+    """Last write wins: each user's latest event (ties on ``ts`` broken by the
+    greater event id)."""
+    ev = _t(spark, sf_dir, "events")
+    return dedup.last_per_key(ev, ["user_id"], ["ts", "event_id"]).select(
+        "user_id", "event_id", "ts", "event_type", "value"
+    )
+
+
 def q_union_by_name(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
@@ -150,6 +159,19 @@ def q_flatten_events(spark, sf_dir):
     return records.flatten_json(_t(spark, sf_dir, "events"), "props")
 
 
+def q_flatten_nested(spark, sf_dir):
+    # Stand-in input: orders as nested records, the shape a document source
+    # or an API delivers.
+    o = _t(spark, sf_dir, "orders")
+    nested = o.select(
+        F.struct(F.col("o_orderkey").alias("key"), F.struct(F.col("o_orderdate").alias("date"), F.col("o_orderpriority").alias("priority")).alias("meta")).alias("order"),
+        F.col("o_orderstatus").alias("status"),
+        F.struct(F.col("o_custkey").alias("key")).alias("customer"),
+        F.col("o_totalprice").alias("total"),
+    )
+    return records.flatten(nested)
+
+
 def _orders_with_text_tokens(spark, sf_dir):
     # Stand-in input: some priorities arrive as the text tokens a relational
     # export writes for missing values (with stray whitespace around them).
@@ -305,6 +327,34 @@ def q_response_classify(spark, sf_dir):
     )
 
 
+def q_strict_payloads(spark, sf_dir):
+    """Strict rules: 2xx with a JSON object/array body, arrays exploded; the
+    rest is quarantined (error events come back as 500s, pages as HTML)."""
+    ev = _t(spark, sf_dir, "events").select(
+        F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("call_id"),
+        F.when(F.col("event_type") == "error", F.lit(500)).otherwise(F.lit(200)).alias("status"),
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit("["), F.col("props"), F.lit(","), F.col("props"), F.lit("]")))
+        .otherwise(F.col("props")).alias("body"),
+    )
+    pages = _t(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("call_id"), F.lit(200).alias("status"),
+        F.col("html").alias("body"),
+    )
+    good, bad = responses.strict_payloads(ev.unionByName(pages))
+    return good.select(
+        "call_id", "element", F.variant_get("record", "$.k", "bigint").alias("k")
+    ).unionByName(
+        bad.select("call_id", F.lit(None).cast("int").alias("element"), F.lit(None).cast("bigint").alias("k"))
+    ).withColumn("valid", F.col("element").isNotNull())
+
+
+def q_file_stats(spark, sf_dir):
+    """Per-file row count and key ranges (manifest statistics)."""
+    li = _t(spark, sf_dir, "lineitem")
+    stats = contract.file_stats(li, ["l_orderkey", "l_shipdate"])
+    return stats.select(F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"), *[c for c in stats.columns if c != "path"])
+
+
 def q_source_watermark(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     return ev.agg(
@@ -362,7 +412,11 @@ QUERIES = {
     "remove_duplicates": q_remove_duplicates,
     "latest_run": q_latest_run,
     "upsert_partial": q_upsert,
+    "last_per_user": q_last_per_user,
     "union_by_name": q_union_by_name,
+    "flatten_nested": q_flatten_nested,
+    "strict_payloads": q_strict_payloads,
+    "file_stats": q_file_stats,
     "flatten_records": q_flatten_events,
     "sanitize_values": q_sanitize,
     "iso_text": q_iso_text,

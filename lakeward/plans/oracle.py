@@ -207,6 +207,36 @@ SELECT CASE WHEN b.o_custkey IS NOT NULL THEN b.o_custkey ELSE t.o_custkey END A
        CASE WHEN b.o_custkey IS NOT NULL THEN b.last_orderdate ELSE t.last_orderdate END AS last_orderdate,
        b.top_priority
 FROM t FULL OUTER JOIN b ON t.o_custkey = b.o_custkey
+""",
+    "last_per_user": """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""",
+    "flatten_nested": """
+SELECT o_orderstatus AS status, o_totalprice AS total, o_orderkey AS order__key,
+       o_orderdate AS order__meta__date, o_orderpriority AS order__meta__priority, o_custkey AS customer__key
+FROM orders
+""",
+    "strict_payloads": """
+WITH r AS (
+  SELECT 'event/' || CAST(event_id AS VARCHAR) AS call_id,
+         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, event_type, props
+  FROM events)
+SELECT call_id, 0 AS element, CAST(json_extract(props, '$.k') AS BIGINT) AS k, true AS valid
+FROM r WHERE status = 200
+UNION ALL
+SELECT call_id, 1, CAST(json_extract(props, '$.k') AS BIGINT), true FROM r WHERE event_type = 'purchase'
+UNION ALL
+SELECT call_id, NULL, NULL, false FROM r WHERE status <> 200
+UNION ALL
+SELECT 'page/' || CAST(page_id AS VARCHAR), NULL, NULL, false FROM pages
+""",
+    "file_stats": """
+SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows,
+       min(l_orderkey) AS l_orderkey__min, max(l_orderkey) AS l_orderkey__max,
+       min(l_shipdate) AS l_shipdate__min, max(l_shipdate) AS l_shipdate__max
+FROM lineitem
 """,
     "union_by_name": """
 SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
