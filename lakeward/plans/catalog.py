@@ -41,22 +41,17 @@ def _orders_with_missing_priority(spark, sf_dir):
 def q_validate_orders(spark, sf_dir):
     """Standard suite (schema, row count, not-null, duplicates) in one job."""
     df = _orders_with_missing_priority(spark, sf_dir)
-    _, results = quality.validate_dataframe(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
-    return quality.results_frame(spark, results)
+    return quality.validation_frame(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
 
 
 def q_null_rate(spark, sf_dir):
     df = _orders_with_missing_priority(spark, sf_dir)
-    results = quality.check_null_rate(df, "o_orderpriority", 0.25) + quality.check_null_rate(
-        df, "o_orderpriority", 0.1
-    )
-    return quality.results_frame(spark, results)
+    return quality.checks_frame(df, null_rates=[("o_orderpriority", 0.25), ("o_orderpriority", 0.1)])
 
 
 def q_no_duplicates(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    results = quality.check_no_duplicates(li, ["l_orderkey", "l_linenumber"]) + quality.check_row_count(li, 1)
-    return quality.results_frame(spark, results)
+    return quality.checks_frame(li, key_columns=["l_orderkey", "l_linenumber"], min_rows=1)
 
 
 def q_duplicate_keys(spark, sf_dir):
@@ -86,8 +81,7 @@ def q_landing_flow(spark, sf_dir):
     o = _orders_with_missing_priority(spark, sf_dir)
     landing.write_landing(o, f"{root}/erp/orders/2024/01/01/run1.parquet")
     _, df = landing.load_landing(spark, root, "erp", "orders", FLOW_DAY)
-    _, results = quality.validate_dataframe(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
-    return quality.results_frame(spark, results)
+    return quality.validation_frame(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
 
 
 # ------------------------------------------------------- dedup / upsert / set
