@@ -129,6 +129,7 @@ def upsert_frames(
     keys: list[str],
     on_duplicate: str = "error",
     order_by: list[str] | None = None,
+    salt_null_keys: bool = True,
 ) -> DataFrame:
     """``INSERT … ON CONFLICT (keys) DO UPDATE`` as a DataFrame.
 
@@ -144,6 +145,9 @@ def upsert_frames(
     from a hash of the whole row (deterministic, so a retried task sees the
     same value); matchable rows get salt 0 on both sides.  The join is on
     ``(keys, salt)``, which spreads the null-key rows without a second pass.
+    When both inputs are already hash-partitioned by the keys (bucketed
+    tables) and null keys are rare, ``salt_null_keys=False`` joins on the
+    keys alone and saves the re-partitioning.
 
     ``on_duplicate``: ``"error"`` raises when a key repeats in the batch;
     ``"last"`` keeps the row with the greatest ``order_by``.
@@ -171,6 +175,8 @@ def upsert_frames(
             null_key = term if null_key is None else null_key | term
         hashable = [qcol(f.name) for f in frame.schema.fields if orderable(f.dataType)]
         salt = F.when(null_key, F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SALTS)))
+        if not salt_null_keys:
+            salt = F.lit(None)
         return frame.select(
             *[qcol(c).alias(f"{prefix}{c}") for c in cols],
             F.lit(True).alias(f"{prefix}present"),
@@ -181,9 +187,10 @@ def upsert_frames(
     b_keys = [b_lower[k.lower()] for k in keys]
     t = salted(target, "t__", t_cols, t_keys)
     b = salted(batch, "b__", b_cols, b_keys)
-    cond = F.col("t__salt") == F.col("b__salt")
+    cond = F.col("t__salt") == F.col("b__salt") if salt_null_keys else None
     for tk, bk in zip(t_keys, b_keys):
-        cond = cond & (F.col(f"t__{tk}") == F.col(f"b__{bk}"))
+        term = F.col(f"t__{tk}") == F.col(f"b__{bk}")
+        cond = term if cond is None else cond & term
     joined = t.join(b, cond, "full_outer")
 
     sel = []
@@ -205,7 +212,12 @@ def upsert_frames(
 def _stage_and_swap(spark: SparkSession, new_content: DataFrame, table: str, schema: str) -> int:
     """Write ``new_content`` under the shared folder, then replace the table's
     rows with the staged files.  Returns the row count (observed while the
-    staged copy is written, no extra scan)."""
+    staged copy is written, no extra scan).
+
+    Lost executors only retry tasks.  If the driver dies during the swap, the
+    staged copy is complete (it was written first), so the swap can be re-run
+    from it; staged copies are kept for that reason and left to the shared
+    folder's retention."""
     path = shared_dir(spark, "staging", f"{schema}.{table}", unique=True)
     obs = Observation("staged")
     new_content.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)

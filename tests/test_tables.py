@@ -120,3 +120,11 @@ def test_upsert_many_null_keys_with_map_column(spark):
     out = tables.upsert_frames(t, b, ["k"]).collect()
     assert len(out) == 201
     assert [r.m for r in out if r.k == 0] == [{"c": 2}]
+
+
+def test_upsert_without_salt_same_result(spark):
+    t = spark.createDataFrame([(None, "t"), (1, "x"), (2, "y")], "k long, v string")
+    b = spark.createDataFrame([(None, "b"), (1, "z")], "k long, v string")
+    a = sorted(map(str, tables.upsert_frames(t, b, ["k"]).collect()))
+    c = sorted(map(str, tables.upsert_frames(t, b, ["k"], salt_null_keys=False).collect()))
+    assert a == c and len(a) == 4
