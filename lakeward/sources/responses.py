@@ -55,25 +55,30 @@ def strict_payloads(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Strict rules: a response is valid only with a 2xx status and a JSON
     object or array body.  Returns ``(records, quarantine)``: arrays are
     exploded into one record per element; everything else goes to quarantine
-    with a ``reason``."""
-    parsed = F.try_parse_json(F.col("body"))
+    with a ``reason``.
+
+    The body is parsed once; the top-level shape is tested with cheap casts
+    (``try_variant_get`` to a map or an array), not by deriving the schema of
+    the whole value."""
     ok_status = (F.col("status") >= 200) & (F.col("status") < 300)
-    shape = F.schema_of_variant(parsed)
-    is_obj = shape.startswith("OBJECT")
-    is_arr = shape.startswith("ARRAY")
+    parsed = F.col("__parsed")
+    as_array = F.try_variant_get(parsed, "$", "array<variant>")
+    is_obj = F.try_variant_get(parsed, "$", "map<string,variant>").isNotNull()
     reason = (
         F.when(~ok_status | F.col("status").isNull(), F.concat(F.lit("status "), F.col("status").cast("string")))
         .when(parsed.isNull(), F.lit("body is not JSON"))
-        .when(~(is_obj | is_arr), F.lit("JSON body is neither object nor array"))
+        .when(~(is_obj | F.col("__array").isNotNull()), F.lit("JSON body is neither object nor array"))
+    )
+    tagged = (
+        responses.withColumn("__parsed", F.try_parse_json(F.col("body")))
+        .withColumn("__array", as_array)
+        .withColumn("reason", reason)
     )
-    tagged = responses.withColumn("__parsed", parsed).withColumn("reason", reason)
     good = tagged.filter(F.col("reason").isNull())
-    arrays = good.filter(F.schema_of_variant("__parsed").startswith("ARRAY"))
-    objects = good.filter(F.schema_of_variant("__parsed").startswith("OBJECT"))
     base = [c for c in responses.columns if c != "body"]
-    exploded = arrays.select(
-        *base, F.posexplode(F.col("__parsed").cast("array<variant>")).alias("element", "record")
-    )
-    singles = objects.select(*base, F.lit(0).alias("element"), F.col("__parsed").alias("record"))
-    quarantine = tagged.filter(F.col("reason").isNotNull()).drop("__parsed")
-    return singles.unionByName(exploded), quarantine
+    # One generator for both shapes: an array yields its elements, an
+    # object yields itself as element 0.
+    elements = F.coalesce(F.col("__array"), F.array(F.col("__parsed")))
+    records = good.select(*base, F.posexplode(elements).alias("element", "record"))
+    quarantine = tagged.filter(F.col("reason").isNotNull()).drop("__parsed", "__array")
+    return records, quarantine
