@@ -111,3 +111,36 @@ def test_flatten_order_matches_json_normalize(spark, fields):
     expected = list(pd.json_normalize([record], sep="__").columns)
     got = records.flatten(spark.createDataFrame([tuple(record[f.name] for f in schema.fields)], schema)).columns
     assert got == expected
+
+
+cell = st.sampled_from(["1", "x", "", "NA", "null", "n/a", "a b", "é", '"q,1"', "0012", "-nan", "None", "nan"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.sampled_from(["A", "B", "A", "", "c", "B"]), min_size=1, max_size=5),
+    st.lists(st.lists(cell, min_size=1, max_size=5), max_size=6),
+    st.integers(min_value=0, max_value=2),
+    st.booleans(),
+)
+def test_parse_csv_matches_pandas(header, rows, skiprows, has_header):
+    import io
+
+    from lakeward.sources import bundles
+
+    width = len(header)
+    body = [r[:width] for r in rows]
+    lines = ["junk line"] * skiprows + [",".join(header)] + [",".join(r) for r in body]
+    text = "\n".join(lines) + "\n"
+    try:
+        expected = pd.read_csv(io.StringIO(text), skiprows=skiprows, header=0 if has_header else None, dtype=str)
+    except pd.errors.EmptyDataError:
+        with __import__("pytest").raises(bundles.EmptyCsv):
+            bundles.parse_csv_text(text, skiprows, None, has_header)
+        return
+    got_header, got_rows = bundles.parse_csv_text(text, skiprows, None, has_header)
+    got_rows = list(got_rows)
+    exp_rows = [[None if pd.isna(v) else v for v in r] for r in expected.itertuples(index=False, name=None)]
+    assert got_rows == exp_rows
+    if has_header:
+        assert got_header == [str(c) for c in expected.columns]
