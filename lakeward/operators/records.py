@@ -111,7 +111,7 @@ def flatten_json(
         schema = found if isinstance(found, T.StructType) else T.StructType([])
     if as_text:
         schema = _leaves_as_text(schema)
-    parsed = F.try_variant_get(F.try_parse_json(qcol(column)), "$", schema.simpleString())
+    parsed = F.try_variant_get(F.try_parse_json(qcol(column)), "$", type_string(schema))
     keep = [qcol(c) for c in df.columns if c != column]
     nested = df.select(*keep, parsed.alias(column))
     # Only the JSON column is flattened; the other columns keep their order.
@@ -119,6 +119,19 @@ def flatten_json(
     return nested.select(*keep, *leaf_cols)
 
 
+def type_string(dtype: T.DataType) -> str:
+    """SQL type text with every struct field name back-quoted (names may hold
+    dots or spaces, which ``simpleString()`` leaves bare)."""
+    if isinstance(dtype, T.StructType):
+        inner = ",".join("`" + f.name.replace("`", "``") + "`:" + type_string(f.dataType) for f in dtype.fields)
+        return f"struct<{inner}>"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{type_string(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"map<{type_string(dtype.keyType)},{type_string(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
 def _leaves_as_text(dtype: T.StructType) -> T.StructType:
     fields = []
     for f in dtype.fields:

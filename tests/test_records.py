@@ -37,6 +37,17 @@ def test_flatten_json_discovers_union_of_keys(spark):
     assert rows[1].props__m__n == "x" and rows[2].props__o == "true" and rows[3].props__k is None
 
 
+def test_flatten_json_arrays_and_odd_keys(spark):
+    d = spark.createDataFrame(
+        [(1, '{"l": [1,2], "a.b": 3, "sp ace": {"x": true}}'), (2, '{"l": [], "k": "v"}')], "id long, p string"
+    )
+    out = records.flatten_json(d, "p")
+    assert out.columns == ["id", "p__a.b", "p__k", "p__l", "p__sp ace__x"]
+    rows = {r["id"]: r for r in out.collect()}
+    assert rows[1]["p__l"] == "[1,2]" and rows[1]["p__a.b"] == "3" and rows[1]["p__sp ace__x"] == "true"
+    assert rows[2]["p__l"] == "[]" and rows[2]["p__k"] == "v"
+
+
 def test_positional_rename(spark):
     d = spark.createDataFrame([(1, 2, 3)], "x long, y long, z long")
     assert records.positional_rename(d, {0: "a", 2: "c"}).columns == ["a", "col_1", "c"]
