@@ -26,6 +26,8 @@ log = logging.getLogger(__name__)
 
 PK_PROPERTY = "lakeward.primary_key"
 UNIQUE_PROPERTY = "lakeward.unique_index"
+BUCKETS_PROPERTY = "lakeward.key_buckets"
+KEY_BUCKET_COLUMN = "_key_bucket"
 # Spread of rows whose key has a null part (they never match anything).
 NULL_KEY_SALTS = 4096
 
@@ -47,6 +49,17 @@ def table_exists(spark: SparkSession, table: str, schema: str = "raw") -> bool:
     return spark.catalog.tableExists(f"{_q(schema)}.{_q(table)}")
 
 
+def table_properties(spark: SparkSession, table: str, schema: str = "raw") -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {fq_name(table, schema)}").collect()}
+
+
+def key_bucket(columns: list, buckets: int):
+    """Bucket of a key: ``pmod(xxhash64(key as text), buckets)``.  Hashing
+    the text form gives a typed batch and the all-text table the same
+    bucket."""
+    return F.pmod(F.xxhash64(*[(qcol(c) if isinstance(c, str) else c).cast("string") for c in columns]), F.lit(buckets)).cast("int")
+
+
 # ----------------------------------------------------------------- K02 / K08
 
 
@@ -56,16 +69,32 @@ def create_table_if_not_exists(
     table: str,
     primary_key: list[str] | None = None,
     schema: str = "raw",
+    key_buckets: int | None = None,
 ) -> None:
     """Create the schema and an all-text table if missing.  Spark does not
     enforce keys, so the primary key is kept as a table property and asserted
-    on write (:func:`ensure_unique_constraint`)."""
+    on write (:func:`ensure_unique_constraint`).
+
+    ``key_buckets`` partitions the table by a hash bucket of the primary key
+    (``_key_bucket``): an upsert then rewrites only the buckets its batch
+    touches instead of the whole table."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(schema)}")
-    cols = ", ".join(f"{_q(c)} STRING" for c in columns)
-    props = ""
+    data_cols = [c for c in columns if c != KEY_BUCKET_COLUMN]
+    cols = ", ".join(f"{_q(c)} STRING" for c in data_cols)
+    props = {}
     if primary_key:
-        props = f" TBLPROPERTIES ({_sql_text(PK_PROPERTY)} = {_sql_text(','.join(primary_key))})"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {fq_name(table, schema)} ({cols}) USING parquet{props}")
+        props[PK_PROPERTY] = ",".join(primary_key)
+    partitioning = ""
+    if key_buckets:
+        if not primary_key:
+            raise ValueError("key_buckets needs a primary_key to hash")
+        props[BUCKETS_PROPERTY] = str(int(key_buckets))
+        cols += f", {KEY_BUCKET_COLUMN} INT"
+        partitioning = f" PARTITIONED BY ({KEY_BUCKET_COLUMN})"
+    tbl = ""
+    if props:
+        tbl = " TBLPROPERTIES (" + ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in props.items()) + ")"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {fq_name(table, schema)} ({cols}) USING parquet{partitioning}{tbl}")
 
 
 def drop_table_if_exists(spark: SparkSession, table: str, schema: str = "raw") -> None:
@@ -209,7 +238,9 @@ def upsert_frames(
 # ------------------------------------------------------------------ writes
 
 
-def _stage_and_swap(spark: SparkSession, new_content: DataFrame, table: str, schema: str) -> int:
+def _stage_and_swap(
+    spark: SparkSession, new_content: DataFrame, table: str, schema: str, only_touched_partitions: bool = False
+) -> int:
     """Write ``new_content`` under the shared folder, then replace the table's
     rows with the staged files.  Returns the row count (observed while the
     staged copy is written, no extra scan).
@@ -224,7 +255,15 @@ def _stage_and_swap(spark: SparkSession, new_content: DataFrame, table: str, sch
     n = obs.get["n"]
     staged = spark.read.parquet(path)
     cols = spark.table(fq_name(table, schema)).columns
-    staged.select(*[qcol(c) for c in cols]).write.insertInto(fq_name(table, schema), overwrite=True)
+    mode_key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode_key)
+    if only_touched_partitions:
+        # replace only the partitions present in the staged rows
+        spark.conf.set(mode_key, "dynamic")
+    try:
+        staged.select(*[qcol(c) for c in cols]).write.insertInto(fq_name(table, schema), overwrite=True)
+    finally:
+        spark.conf.set(mode_key, previous)
     return n
 
 
@@ -248,13 +287,26 @@ def insert_data(
         return 0
     batch = cast_text(flatten(data))
     create_table_if_not_exists(spark, batch.columns, table, primary_key, schema)
-    alter_table(spark, batch.columns, table, schema)
+    alter_table(spark, [c for c in batch.columns if c != KEY_BUCKET_COLUMN], table, schema)
     target_name = fq_name(table, schema)
+    props = table_properties(spark, table, schema)
+    buckets = int(props.get(BUCKETS_PROPERTY, "0"))
+    bucket_key = props.get(PK_PROPERTY, "").split(",") if buckets else []
+    if buckets:
+        by_lower = {c.lower(): c for c in batch.columns}
+        batch = batch.withColumn(KEY_BUCKET_COLUMN, key_bucket([by_lower[k.lower()] for k in bucket_key], buckets))
     if conflict_fields:
         target = spark.table(target_name)
         ensure_unique_constraint(spark, table, conflict_fields, schema)
+        local = buckets and {k.lower() for k in bucket_key} <= {c.lower() for c in conflict_fields}
+        if local:
+            # Rows that can match share the batch's buckets: read and rewrite
+            # only those partitions (at most ``buckets`` small ints on the
+            # driver, turned into a partition filter).
+            touched = [r[0] for r in batch.select(KEY_BUCKET_COLUMN).distinct().collect()]
+            target = target.filter(F.col(KEY_BUCKET_COLUMN).isin(touched))
         merged = upsert_frames(target, batch, conflict_fields, on_duplicate, order_by)
-        _stage_and_swap(spark, merged, table, schema)
+        _stage_and_swap(spark, merged, table, schema, only_touched_partitions=bool(local))
         return batch.count()
     cols = spark.table(target_name).columns
     by_lower = {c.lower(): c for c in batch.columns}

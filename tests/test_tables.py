@@ -128,3 +128,31 @@ def test_upsert_without_salt_same_result(spark):
     a = sorted(map(str, tables.upsert_frames(t, b, ["k"]).collect()))
     c = sorted(map(str, tables.upsert_frames(t, b, ["k"], salt_null_keys=False).collect()))
     assert a == c and len(a) == 4
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_root):
+    import os
+
+    tables.drop_table_if_exists(spark, "t_bk")
+    base = spark.createDataFrame([(str(i), f"a{i}") for i in range(200)], "k string, a string")
+    tables.create_table_if_not_exists(spark, ["k", "a"], "t_bk", primary_key=["k"], key_buckets=16)
+    tables.insert_data(spark, base, "t_bk")
+    loc = spark.sql("DESCRIBE TABLE EXTENDED raw.t_bk").filter("col_name = 'Location'").first().data_type.replace("file:", "")
+
+    def listing():
+        out = {}
+        for d in sorted(os.listdir(loc)):
+            if d.startswith("_key_bucket="):
+                out[d] = sorted(f for f in os.listdir(os.path.join(loc, d)) if f.endswith(".parquet"))
+        return out
+
+    before = listing()
+    assert len(before) == 16
+    batch = spark.createDataFrame([("5", "A5", "c"), ("999", "new", "d")], "k string, a string, c string")
+    tables.insert_data(spark, batch, "t_bk", conflict_fields=["k"])
+    after = listing()
+    touched = {d for d in after if after[d] != before.get(d)}
+    expected = {f"_key_bucket={r[0]}" for r in batch.select(tables.key_bucket(["k"], 16)).distinct().collect()}
+    assert touched == expected
+    got = {r.k: (r.a, r.c) for r in spark.table("raw.t_bk").collect()}
+    assert len(got) == 201 and got["5"] == ("A5", "c") and got["999"] == ("new", "d") and got["7"] == ("a7", None)
