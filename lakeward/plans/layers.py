@@ -117,11 +117,15 @@ def ingest_mailed_report(
     target_date: date | None = None,
     subject_suffix: str | None = None,
     delimiter: str | None = None,
+    key_buckets: int | None = None,
 ) -> tuple[int, int]:
     """Mailed ZIP reports → table: select, extract, stamp ``dt_ingest``,
     append, then remove duplicates on the mapped business columns keeping
     the first loaded row.  Returns ``(rows appended, rows kept)``;
-    ``(0, 0)`` when nothing valid arrived."""
+    ``(0, 0)`` when nothing valid arrived.
+
+    ``key_buckets`` (for a new table) buckets it by the business columns, so
+    each load de-duplicates only the buckets it touched."""
     rows, rejected = messages.process_mailed_reports(
         mail, sender_email, subject, column_mapping, skiprows, target_date, subject_suffix, delimiter
     )
@@ -138,7 +142,11 @@ def ingest_mailed_report(
     )
     business = [c for c in rows.columns if c not in ("bundle_id", "bundle_ordinal", "member_ordinal", "row_ordinal")]
     staged = records.stamp_ingest(rows.select(*[quality.qcol(c) for c in business], load_key.alias("_load_key")))
-    appended = tables.insert_data(spark, staged, table, schema=schema)
     keys = list(column_mapping.values()) if column_mapping else business
-    kept = tables.remove_duplicates_table(spark, table, keys, ["dt_ingest", "_load_key"], schema)
+    if key_buckets and not tables.table_exists(spark, table, schema):
+        tables.create_table_if_not_exists(spark, staged.columns, table, keys, schema, key_buckets)
+    appended = tables.insert_data(spark, staged, table, schema=schema)
+    kept = tables.remove_duplicates_table(
+        spark, table, keys, ["dt_ingest", "_load_key"], schema, touched_by=rows if key_buckets else None
+    )
     return appended, kept

@@ -327,11 +327,30 @@ def remove_duplicates_table(
     key_columns: list[str],
     order_by: list[str],
     schema: str = "public",
+    touched_by: DataFrame | None = None,
 ) -> int:
     """Keep the first row per business key (by ``order_by``) in a table;
-    returns the surviving row count."""
-    df = spark.table(fq_name(table, schema))
-    return _stage_and_swap(spark, remove_duplicates(df, key_columns, order_by), table, schema)
+    returns the surviving row count (of the rewritten part).
+
+    On a key-bucketed table whose bucket key is part of ``key_columns``,
+    ``touched_by`` (the rows just loaded) limits the work to their buckets:
+    new duplicates can only involve keys that were just loaded."""
+    name = fq_name(table, schema)
+    df = spark.table(name)
+    props = table_properties(spark, table, schema)
+    buckets = int(props.get(BUCKETS_PROPERTY, "0"))
+    bucket_key = props.get(PK_PROPERTY, "").split(",") if buckets else []
+    local = (
+        touched_by is not None and buckets
+        and {k.lower() for k in bucket_key} <= {c.lower() for c in key_columns}
+    )
+    if local:
+        by_lower = {c.lower(): c for c in touched_by.columns}
+        touched = [
+            r[0] for r in touched_by.select(key_bucket([by_lower[k.lower()] for k in bucket_key], buckets)).distinct().collect()
+        ]
+        df = df.filter(F.col(KEY_BUCKET_COLUMN).isin(touched))
+    return _stage_and_swap(spark, remove_duplicates(df, key_columns, order_by), table, schema, only_touched_partitions=bool(local))
 
 
 def full_refresh(spark: SparkSession, data: DataFrame, table: str, schema: str = "raw") -> int:

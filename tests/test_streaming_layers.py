@@ -60,6 +60,25 @@ def test_ingest_mailed_report(spark):
     assert got == [("1", "x"), ("2", "y"), ("3", "z")]
 
 
+def test_ingest_mailed_report_bucketed(spark):
+    def z(text):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            zf.writestr("r.csv", text)
+        return buf.getvalue()
+
+    schema = "date date, sender string, subject string, attachments array<struct<filename: string, payload: binary>>"
+    tables.drop_table_if_exists(spark, "relatorio_b", "public")
+    day = dt.date(2024, 1, 5)
+    first = spark.createDataFrame([(day, "bot@gov.br", "R", [("a.zip", z("1,x\n2,y\n"))])], schema)
+    layers.ingest_mailed_report(spark, first, "bot@gov.br", "r", {0: "id", 1: "nome"}, "relatorio_b", target_date=day, key_buckets=8)
+    second = spark.createDataFrame([(day, "bot@gov.br", "R", [("b.zip", z("2,y\n3,z\n"))])], schema)
+    appended, kept = layers.ingest_mailed_report(spark, second, "bot@gov.br", "r", {0: "id", 1: "nome"}, "relatorio_b", target_date=day, key_buckets=8)
+    assert appended == 2
+    got = sorted((r.id, r.nome) for r in spark.table("public.relatorio_b").collect())
+    assert got == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
 def test_incremental_promotion(spark, tmp_root):
     root = f"{tmp_root}/lake"
     entity_root = f"{root}/erp/pedidos"
