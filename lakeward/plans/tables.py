@@ -129,10 +129,19 @@ def ensure_unique_constraint(
     spark: SparkSession, table: str, columns: list[str], schema: str = "raw", frame: DataFrame | None = None
 ) -> str | None:
     """Assert the key is unique (rows with a null key part never collide, as
-    in a unique index).  Records the deterministic index name as a table
-    property and returns it; empty ``columns`` is a no-op."""
+    in a unique index) and record the deterministic index name as a table
+    property; returns the name.  Empty ``columns`` is a no-op.
+
+    Like ``CREATE UNIQUE INDEX IF NOT EXISTS``, the full scan happens once:
+    when the table already records the constraint on these columns, nothing
+    is scanned (writes keep it: upserts cannot add a key twice and appends
+    are checked with :func:`check_incoming_keys`)."""
     if not columns:
         return None
+    name = unique_index_name(table, columns)
+    recorded = f"{name}:{','.join(columns)}"
+    if frame is None and table_properties(spark, table, schema).get(UNIQUE_PROPERTY) == recorded:
+        return name
     df = frame if frame is not None else spark.table(fq_name(table, schema))
     clash = duplicate_keys(df, columns).limit(1).collect()
     if clash:
@@ -140,15 +149,37 @@ def ensure_unique_constraint(
             f"Failed to ensure unique constraint on {schema}.{table}: "
             f"duplicate key {[clash[0][c] for c in columns]}"
         )
-    name = unique_index_name(table, columns)
     if frame is None:
         spark.sql(
             f"ALTER TABLE {fq_name(table, schema)} SET TBLPROPERTIES "
-            f"({_sql_text(UNIQUE_PROPERTY)} = {_sql_text(name + ':' + ','.join(columns))})"
+            f"({_sql_text(UNIQUE_PROPERTY)} = {_sql_text(recorded)})"
         )
     return name
 
 
+def _non_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    cond = None
+    for k in keys:
+        cond = qcol(k).isNotNull() if cond is None else cond & qcol(k).isNotNull()
+    return df.filter(cond)
+
+
+def check_incoming_keys(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> None:
+    """Unique-index check for an append: the incoming rows must not repeat a
+    key among themselves nor hit a key already present (null key parts never
+    collide).  Work is proportional to the incoming keys: a semi-join of the
+    incoming keys against the existing ones (pass ``existing`` already
+    restricted to the touched buckets on a bucketed table)."""
+    clash = duplicate_keys(incoming, keys).limit(1).collect()
+    if clash:
+        raise RuntimeError(f"Unique constraint violated: incoming rows repeat key {[clash[0][k] for k in keys]}")
+    inc = _non_null_keys(incoming, keys).select(*[qcol(k) for k in keys])
+    have = existing.select(*[qcol(k) for k in keys])
+    hit = inc.join(have, keys, "left_semi").limit(1).collect()
+    if hit:
+        raise RuntimeError(f"Unique constraint violated: key {[hit[0][k] for k in keys]} already exists")
+
+
 # ------------------------------------------------------------------- upsert
 
 
@@ -295,19 +326,26 @@ def insert_data(
     if buckets:
         by_lower = {c.lower(): c for c in batch.columns}
         batch = batch.withColumn(KEY_BUCKET_COLUMN, key_bucket([by_lower[k.lower()] for k in bucket_key], buckets))
+    def touched_part(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
+        # Rows that can share a key with the batch sit in the batch's
+        # buckets: read only those partitions (at most ``buckets`` small ints
+        # reach the driver and become a partition filter).
+        if buckets and {k.lower() for k in bucket_key} <= {c.lower() for c in keys}:
+            touched = [r[0] for r in batch.select(KEY_BUCKET_COLUMN).distinct().collect()]
+            return frame.filter(F.col(KEY_BUCKET_COLUMN).isin(touched)), True
+        return frame, False
+
     if conflict_fields:
-        target = spark.table(target_name)
         ensure_unique_constraint(spark, table, conflict_fields, schema)
-        local = buckets and {k.lower() for k in bucket_key} <= {c.lower() for c in conflict_fields}
-        if local:
-            # Rows that can match share the batch's buckets: read and rewrite
-            # only those partitions (at most ``buckets`` small ints on the
-            # driver, turned into a partition filter).
-            touched = [r[0] for r in batch.select(KEY_BUCKET_COLUMN).distinct().collect()]
-            target = target.filter(F.col(KEY_BUCKET_COLUMN).isin(touched))
+        target, local = touched_part(spark.table(target_name), conflict_fields)
         merged = upsert_frames(target, batch, conflict_fields, on_duplicate, order_by)
-        _stage_and_swap(spark, merged, table, schema, only_touched_partitions=bool(local))
+        _stage_and_swap(spark, merged, table, schema, only_touched_partitions=local)
         return batch.count()
+    unique = table_properties(spark, table, schema).get(UNIQUE_PROPERTY)
+    if unique:
+        ukeys = unique.split(":", 1)[1].split(",")
+        existing, _ = touched_part(spark.table(target_name), ukeys)
+        check_incoming_keys(existing, batch, ukeys)
     cols = spark.table(target_name).columns
     by_lower = {c.lower(): c for c in batch.columns}
     aligned = batch.select(

@@ -156,3 +156,17 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_root):
     assert touched == expected
     got = {r.k: (r.a, r.c) for r in spark.table("raw.t_bk").collect()}
     assert len(got) == 201 and got["5"] == ("A5", "c") and got["999"] == ("new", "d") and got["7"] == ("a7", None)
+
+
+def test_unique_constraint_recorded_once_and_enforced_on_append(spark):
+    tables.drop_table_if_exists(spark, "t_uq2")
+    tables.insert_data(spark, spark.createDataFrame([("1", "a")], "k string, v string"), "t_uq2")
+    tables.insert_data(spark, spark.createDataFrame([("2", "b")], "k string, v string"), "t_uq2", conflict_fields=["k"])
+    props = tables.table_properties(spark, "t_uq2", "raw")
+    assert props[tables.UNIQUE_PROPERTY].endswith(":k")
+    with pytest.raises(RuntimeError, match="already exists"):
+        tables.insert_data(spark, spark.createDataFrame([("1", "z")], "k string, v string"), "t_uq2")
+    with pytest.raises(RuntimeError, match="repeat key"):
+        tables.insert_data(spark, spark.createDataFrame([("7", "x"), ("7", "y")], "k string, v string"), "t_uq2")
+    tables.insert_data(spark, spark.createDataFrame([(None, "n"), (None, "m"), ("8", "o")], "k string, v string"), "t_uq2")
+    assert spark.table("raw.t_uq2").count() == 5
