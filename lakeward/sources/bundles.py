@@ -145,12 +145,6 @@ class _Out:
         return frame
 
 
-def _parse_member(text, skiprows, delimiter, has_header):
-    """Parse fully before emitting, so a bad row rejects the whole CSV."""
-    header, rows = parse_csv_text(text, skiprows, delimiter, has_header)
-    return header, list(rows)
-
-
 def _bundle_worker(kind: str, has_header: bool, skiprows: int, delimiter, all_members: bool):
     def csv_members(content):
         if kind == "csv":
@@ -162,32 +156,34 @@ def _bundle_worker(kind: str, has_header: bool, skiprows: int, delimiter, all_me
                     yield name, m_ord, zf.read(name)
 
     def run(batches):
+        # Rows are emitted as they are parsed (chunked), never held as one
+        # list: a CSV that turns out bad half-way emits a reject marker and
+        # its rows are dropped downstream (anti-join on the rejected ids).
         out = _Out()
         for pdf in batches:
             for bundle_id, ordinal, content in zip(pdf["bundle_id"], pdf["bundle_ordinal"], pdf["content"]):
-                parsed = []
+                emitted = False
                 try:
                     for name, m_ord, raw in csv_members(content):
                         text = decode_payload(raw)
                         if text is None:
                             continue
                         try:
-                            header, rows = _parse_member(text, skiprows, delimiter, has_header)
+                            header, rows = parse_csv_text(text, skiprows, delimiter, has_header)
                         except EmptyCsv:
                             continue
-                        parsed.append((name, m_ord, header, rows))
+                        for i, fields in enumerate(rows):
+                            out.add(bundle_id, ordinal, name, m_ord, i, header, fields, None)
+                            if len(out) >= _CHUNK:
+                                yield out.flush()
+                        emitted = True
                         if not all_members:
                             break
                 except (zipfile.BadZipFile, ValueError, csv.Error) as exc:
                     out.add(bundle_id, ordinal, None, None, None, None, None, f"{type(exc).__name__}: {exc}")
                     continue
-                if not parsed:
+                if not emitted:
                     out.add(bundle_id, ordinal, None, None, None, None, None, "no valid CSV")
-                for name, m_ord, header, rows in parsed:
-                    for i, fields in enumerate(rows):
-                        out.add(bundle_id, ordinal, name, m_ord, i, header, fields, None)
-                        if len(out) >= _CHUNK:
-                            yield out.flush()
         if len(out):
             yield out.flush()
 
@@ -244,7 +240,10 @@ def bundle_rows_to_frame(rows: DataFrame, column_mapping: dict[int, str] | None
     widest CSV.  Without: each CSV's own header; columns in order of first
     appearance.  Either way one small aggregate decides the column list.
     """
-    valid = rows.filter(F.col("error").isNull())
+    # Rows of a bundle that was rejected (even half-way) are dropped; the
+    # rejected ids are one row per bad bundle.
+    bad = rows.filter(F.col("error").isNotNull()).select("bundle_id").distinct()
+    valid = rows.filter(F.col("error").isNull()).join(bad, "bundle_id", "left_anti")
     keep = [F.col("bundle_id"), F.col("bundle_ordinal"), F.col("member_ordinal"), F.col("row_ordinal")]
     if column_mapping:
         width = valid.agg(F.max(F.size("fields")).alias("w")).first()["w"] or 0

@@ -142,7 +142,11 @@ def start_incremental_promotion(
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental job); otherwise the query keeps running.  The checkpoint
-    lives in the shared folder unless given."""
+    lives in the shared folder unless given.  The file source lists its path
+    on every trigger; with a long history, point ``entity_root`` at a glob
+    over the date folders still receiving runs (e.g. ``…/entity/2024/*/*``)
+    so listing stays proportional to the open period, and bound each
+    micro-batch with ``max_files_per_trigger``."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -124,3 +124,12 @@ def test_process_mailed_reports(spark):
     rows, rejected = messages.process_mailed_reports(m, "bot@gov.br", "relatorio", {0: "id", 1: "name"}, skiprows=1, target_date=dt.date(2024, 1, 5))
     assert sorted((r.id, r.name) for r in rows.collect()) == [("1", "x"), ("2", "y")]
     assert rejected.count() == 1
+
+
+def test_bad_row_rejects_whole_bundle(spark):
+    good = b"a,b\n1,2\n"
+    bad = b"a,b\n1,2\n3,4,5\n"
+    long_rows = bundles.extract_bundle_rows(frame(spark, [good, bad]), "csv", None)
+    out = bundles.bundle_rows_to_frame(long_rows, None)
+    assert [(r.bundle_id, r.a, r.b) for r in out.collect()] == [("b0", "1", "2")]
+    assert [r.bundle_id for r in bundles.rejected_bundles(long_rows).collect()] == ["b1"]
