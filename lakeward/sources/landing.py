@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import parse_landing_path
 from ..session import ship_library
 from .paths import landing_prefix
 
@@ -190,3 +191,48 @@ def latest_run_files(
         .first()
     )
     return sorted(row["files"]) if row else []
+
+
+def entity_files(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
+    """Every landing file of an entity with its parsed ``run_date`` and
+    ``run_id`` (metadata only: one listing, no file content read)."""
+    files = list_files_df(spark, f"{root}/{source}/{entity}")
+    parsed = parse_landing_path(F.col("path"))
+    return files.select("path", "length", "modificationTime", parsed["run_date"].alias("run_date"), parsed["run_id"].alias("run_id"))
+
+
+def landing_days(spark: SparkSession, root: str, source: str, entity: str) -> list[date]:
+    """Days that hold at least one run (input for retention)."""
+    rows = entity_files(spark, root, source, entity).select("run_date").distinct().collect()
+    return sorted(r["run_date"] for r in rows if r["run_date"] is not None)
+
+
+def load_window(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    entity: str,
+    start: date,
+    end: date,
+    schema: T.StructType | None = None,
+    strict: bool = True,
+) -> tuple[list[str], DataFrame]:
+    """All runs of the days in ``[start, end]`` (window reprocessing).
+
+    The layout is not hive-style, so the date filter is applied to the
+    listing (parsed from each path) and only the selected files are read."""
+    sel = (
+        entity_files(spark, root, source, entity)
+        .filter((F.col("run_date") >= F.lit(start)) & (F.col("run_date") <= F.lit(end)))
+        .select("path")
+        .collect()
+    )
+    files = sorted(r["path"] for r in sel)
+    if not files:
+        raise ValueError(f"No Parquet files found for {source}/{entity} between {start} and {end}")
+    if strict:
+        assert_same_schema(spark, files)
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    return files, reader.parquet(*files)

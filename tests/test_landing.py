@@ -112,3 +112,16 @@ def test_resolve_storage():
     with pytest.raises(ValueError, match="Unknown STORAGE_BACKEND"):
         paths.resolve_storage({"STORAGE_BACKEND": "hdfs"})
     assert paths.session_options(m)["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_window_and_days(spark, tmp_root):
+    for d, v in [(dt.date(2024, 1, 30), 1), (dt.date(2024, 1, 31), 2), (dt.date(2024, 2, 1), 3), (dt.date(2024, 2, 5), 4)]:
+        landing.write_landing(spark.createDataFrame([(v,)], "id long").coalesce(1), paths.build_landing_path(tmp_root, "s", "w", d, "r1"))
+    days = landing.landing_days(spark, tmp_root, "s", "w")
+    assert days == [dt.date(2024, 1, 30), dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 5)]
+    files, d = landing.load_window(spark, tmp_root, "s", "w", dt.date(2024, 1, 31), dt.date(2024, 2, 3))
+    assert sorted(r.id for r in d.collect()) == [2, 3] and len(files) == 2
+    old = paths.expired_prefixes(tmp_root, "s", "w", days, 3, dt.date(2024, 2, 6))
+    assert [p[-10:] for p in old] == ["2024/01/30", "2024/01/31", "2024/02/01"]
+    with pytest.raises(ValueError):
+        landing.load_window(spark, tmp_root, "s", "w", dt.date(2023, 1, 1), dt.date(2023, 1, 2))
