@@ -9,6 +9,7 @@ million.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -214,7 +215,7 @@ def lineage_breaks(outputs: DataFrame, inputs: DataFrame, final_layers=("gold",)
 def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32) -> DataFrame:
     """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)`` with
     the shortest depth, by a recursive CTE bounded at ``max_depth``."""
-    view = "__lakeward_edges"
+    view = f"__lakeward_edges_{uuid.uuid4().hex}"
     edges.select("src", "dst").createOrReplaceTempView(view)
     return spark.sql(
         f"""
