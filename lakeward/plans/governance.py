@@ -214,14 +214,16 @@ def lineage_breaks(outputs: DataFrame, inputs: DataFrame, final_layers=("gold",)
 
 def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32) -> DataFrame:
     """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)`` with
-    the shortest depth, by a recursive CTE bounded at ``max_depth``."""
+    the shortest depth, by a recursive CTE bounded at ``max_depth``.  Each
+    step keeps distinct ``(src, dst, depth)`` rows (``UNION``), so a dense or
+    cyclic graph costs at most pairs x depth rows, not every walk."""
     view = f"__lakeward_edges_{uuid.uuid4().hex}"
     edges.select("src", "dst").createOrReplaceTempView(view)
-    return spark.sql(
+    closure = spark.sql(
         f"""
         WITH RECURSIVE reach (src, dst, depth) AS (
-            SELECT src, dst, 1 FROM {view}
-            UNION ALL
+            SELECT DISTINCT src, dst, 1 FROM {view}
+            UNION
             SELECT r.src, e.dst, r.depth + 1
             FROM reach r JOIN {view} e ON r.dst = e.src
             WHERE r.depth < {int(max_depth)}
@@ -229,6 +231,9 @@ def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32)
         SELECT src, dst, min(depth) AS depth FROM reach GROUP BY src, dst
         """
     )
+    # the plan already holds the resolved edges; the name is not needed
+    spark.catalog.dropTempView(view)
+    return closure
 
 
 # Layer order of the one-way flow.

@@ -130,3 +130,14 @@ def test_layer_flow(spark):
         "src string, src_layer string, dst string, dst_layer string",
     )
     assert [(r.src, r.dst) for r in g.layer_flow_violations(e).collect()] == [("b", "g")]
+
+
+def test_lineage_closure_cycle_and_diamonds(spark):
+    # a diamond repeated 6 times plus a cycle: walks double per level, pairs do not
+    edges = []
+    for i in range(6):
+        edges += [(f"n{i}", f"a{i}"), (f"n{i}", f"b{i}"), (f"a{i}", f"n{i+1}"), (f"b{i}", f"n{i+1}")]
+    edges += [("n6", "n0")]
+    e = spark.createDataFrame(edges, "src string, dst string")
+    got = {(r.src, r.dst): r.depth for r in g.lineage_closure(spark, e, max_depth=40).collect()}
+    assert got[("n0", "n6")] == 12 and got[("n6", "n6")] == 13
