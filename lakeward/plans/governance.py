@@ -9,7 +9,6 @@ million.
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -213,27 +212,32 @@ def lineage_breaks(outputs: DataFrame, inputs: DataFrame, final_layers=("gold",)
 
 
 def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32) -> DataFrame:
-    """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)`` with
-    the shortest depth, by a recursive CTE bounded at ``max_depth``.  Each
-    step keeps distinct ``(src, dst, depth)`` rows (``UNION``), so a dense or
-    cyclic graph costs at most pairs x depth rows, not every walk."""
-    view = f"__lakeward_edges_{uuid.uuid4().hex}"
-    edges.select("src", "dst").createOrReplaceTempView(view)
-    closure = spark.sql(
-        f"""
-        WITH RECURSIVE reach (src, dst, depth) AS (
-            SELECT DISTINCT src, dst, 1 FROM {view}
-            UNION
-            SELECT r.src, e.dst, r.depth + 1
-            FROM reach r JOIN {view} e ON r.dst = e.src
-            WHERE r.depth < {int(max_depth)}
+    """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)``
+    with the shortest depth, up to ``max_depth`` steps.
+
+    Semi-naive breadth-first search: each step joins only the pairs found in
+    the previous step (the frontier) with the edges and keeps the pairs not
+    reached before (left-anti join), so the work is bounded by the number of
+    distinct pairs, however many walks a dense or cyclic graph has.  Each
+    step's result is checkpointed to the shared folder, which cuts the
+    lineage (the driver loop is bounded by ``max_depth``, not by data)."""
+    e = edges.select("src", "dst").distinct()
+    reach = e.withColumn("depth", F.lit(1)).checkpoint()
+    frontier = reach.select("src", "dst")
+    for depth in range(2, int(max_depth) + 1):
+        step = (
+            frontier.alias("f")
+            .join(e.alias("e"), F.col("f.dst") == F.col("e.src"))
+            .select(F.col("f.src").alias("src"), F.col("e.dst").alias("dst"))
+            .distinct()
+            .join(reach.select("src", "dst"), ["src", "dst"], "left_anti")
+            .checkpoint()
         )
-        SELECT src, dst, min(depth) AS depth FROM reach GROUP BY src, dst
-        """
-    )
-    # the plan already holds the resolved edges; the name is not needed
-    spark.catalog.dropTempView(view)
-    return closure
+        if step.isEmpty():
+            break
+        reach = reach.unionByName(step.withColumn("depth", F.lit(depth))).checkpoint()
+        frontier = step
+    return reach
 
 
 # Layer order of the one-way flow.
