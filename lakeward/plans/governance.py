@@ -221,23 +221,28 @@ def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32)
     distinct pairs, however many walks a dense or cyclic graph has.  Each
     step's result is checkpointed to the shared folder, which cuts the
     lineage (the driver loop is bounded by ``max_depth``, not by data)."""
-    e = edges.select("src", "dst").distinct()
-    reach = e.withColumn("depth", F.lit(1)).checkpoint()
-    frontier = reach.select("src", "dst")
+    e = edges.select("src", "dst").distinct().checkpoint()
+    steps = [e.withColumn("depth", F.lit(1))]
+    frontier = e
+
+    def seen() -> DataFrame:
+        # union of checkpointed steps: every branch is a shallow scan
+        return reduce(lambda a, b: a.unionByName(b), [s.select("src", "dst") for s in steps])
+
     for depth in range(2, int(max_depth) + 1):
         step = (
             frontier.alias("f")
             .join(e.alias("e"), F.col("f.dst") == F.col("e.src"))
             .select(F.col("f.src").alias("src"), F.col("e.dst").alias("dst"))
             .distinct()
-            .join(reach.select("src", "dst"), ["src", "dst"], "left_anti")
+            .join(seen(), ["src", "dst"], "left_anti")
             .checkpoint()
         )
         if step.isEmpty():
             break
-        reach = reach.unionByName(step.withColumn("depth", F.lit(depth))).checkpoint()
+        steps.append(step.withColumn("depth", F.lit(depth)))
         frontier = step
-    return reach
+    return reduce(lambda a, b: a.unionByName(b), steps)
 
 
 # Layer order of the one-way flow.
