@@ -56,6 +56,10 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
         builder = builder.config("spark.ui.enabled", "false")
+    else:
+        # on a shared cluster, coalesce shuffle partitions to the advisory
+        # size instead of maximising the number of tasks
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
