@@ -132,6 +132,17 @@ def assert_same_schema(spark: SparkSession, files: list[str]) -> None:
         )
 
 
+def assert_conforms(spark: SparkSession, files: list[str], contract: T.StructType) -> None:
+    """Raise ``ValueError`` when a file's footer schema (names and types, in
+    order) differs from the contract; footers are read on the executors and
+    only the first offending file reaches the driver."""
+    from ..plans.contract import file_conformance
+
+    bad = file_conformance(spark, files, contract).filter(~F.col("conforms")).limit(1).collect()
+    if bad:
+        raise ValueError(f"Landing file does not match the contract: {bad[0]['path']} has [{bad[0]['ddl']}]")
+
+
 def load_landing(
     spark: SparkSession,
     root: str,
@@ -144,15 +155,19 @@ def load_landing(
     """All Parquet files of one source/entity/day as one frame.
 
     Raises ``ValueError("No Parquet files found at: {prefix}")`` when the day
-    is empty; with ``strict`` the files must share one schema.  ``root`` is
-    the lake root (bucket URI), given explicitly.
+    is empty; with ``strict`` the files must share one schema, or match the
+    contract ``schema`` file by file when one is given.  ``root`` is the lake
+    root (bucket URI), given explicitly.
     """
     prefix = landing_prefix(root, source, entity, run_date)
     files = list_files(spark, prefix)
     if not files:
         raise ValueError(f"No Parquet files found at: {prefix}")
     if strict:
-        assert_same_schema(spark, files)
+        if schema is not None:
+            assert_conforms(spark, files, schema)
+        else:
+            assert_same_schema(spark, files)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)

@@ -125,3 +125,16 @@ def test_window_and_days(spark, tmp_root):
     assert [p[-10:] for p in old] == ["2024/01/30", "2024/01/31", "2024/02/01"]
     with pytest.raises(ValueError):
         landing.load_window(spark, tmp_root, "s", "w", dt.date(2023, 1, 1), dt.date(2023, 1, 2))
+
+
+def test_load_landing_with_contract(spark, tmp_root):
+    from pyspark.sql import types as T
+
+    day = dt.date(2024, 6, 1)
+    contract = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    landing.write_landing(spark.createDataFrame([(1, "a")], contract).coalesce(1), paths.build_landing_path(tmp_root, "s", "c", day, "r1"))
+    files, d = landing.load_landing(spark, tmp_root, "s", "c", day, schema=contract)
+    assert d.schema == contract and d.count() == 1
+    landing.write_landing(spark.createDataFrame([(2, 3)], "id long, name long").coalesce(1), paths.build_landing_path(tmp_root, "s", "c", day, "r2"))
+    with pytest.raises(ValueError, match="does not match the contract"):
+        landing.load_landing(spark, tmp_root, "s", "c", day, schema=contract)
