@@ -246,7 +246,10 @@ def load_window(
     if not files:
         raise ValueError(f"No Parquet files found for {source}/{entity} between {start} and {end}")
     if strict:
-        assert_same_schema(spark, files)
+        if schema is not None:
+            assert_conforms(spark, files, schema)
+        else:
+            assert_same_schema(spark, files)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
