@@ -104,3 +104,18 @@ def test_incremental_promotion(spark, tmp_root):
     incremental.gate_batch(spec)(spark.createDataFrame([(9, "z")], SCHEMA), batches[0].batch_id)
     spark.catalog.refreshTable("bronze_stream.pedidos")
     assert spark.table("bronze_stream.pedidos").count() == 3
+
+
+def test_dedup_within_watermark(spark, tmp_root):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType())])
+    src = f"{tmp_root}/events"
+    rows = [(1, dt.datetime(2024, 1, 1, 0, 0)), (1, dt.datetime(2024, 1, 1, 0, 1)), (2, dt.datetime(2024, 1, 1, 0, 2))]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/a")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    out = incremental.dedup_within_watermark(stream, ["id"], "ts", "10 minutes")
+    q = out.writeStream.format("memory").queryName("dedup_wm").option("checkpointLocation", f"{tmp_root}/ck").start()
+    try:
+        q.processAllAvailable()
+        assert sorted(r.id for r in spark.table("dedup_wm").collect()) == [1, 2]
+    finally:
+        q.stop()
