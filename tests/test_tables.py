@@ -170,3 +170,9 @@ def test_unique_constraint_recorded_once_and_enforced_on_append(spark):
         tables.insert_data(spark, spark.createDataFrame([("7", "x"), ("7", "y")], "k string, v string"), "t_uq2")
     tables.insert_data(spark, spark.createDataFrame([(None, "n"), (None, "m"), ("8", "o")], "k string, v string"), "t_uq2")
     assert spark.table("raw.t_uq2").count() == 5
+
+
+def test_remove_duplicates_null_keys_group_together(spark):
+    d = spark.createDataFrame([(None, 2, "b"), (None, 1, "a"), ("x", 3, "c")], "k string, o long, v string")
+    out = sorted((r.k or "", r.v) for r in dedup.remove_duplicates(d, ["k"], ["o"]).collect())
+    assert out == [("", "a"), ("x", "c")]
