@@ -17,6 +17,7 @@ from ..functions.names import positional_names, standardize_names
 from ..functions.text import sanitize_column
 from .quality import qcol
 
+# Fixed value: separator between the parts of a flattened field name.
 SEPARATOR = "__"
 
 

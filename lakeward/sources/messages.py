@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from . import bundles
 
+# Fixed value: the time zone that decides "today" for mailed reports.
 REPORT_TIME_ZONE = "America/Sao_Paulo"
 
 

@@ -15,6 +15,7 @@ import re
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+# Default bucket name and the storage backends accepted.
 DEFAULT_BUCKET = "data-lake"
 BACKENDS = ("minio", "s3", "adls")
 

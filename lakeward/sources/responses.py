@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: status reported for a transport error after the retries.
 SERVICE_UNAVAILABLE = 503
 
 
