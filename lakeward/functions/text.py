@@ -70,12 +70,15 @@ def unique_index_name_col(table: Column, columns: list[Column]) -> Column:
     """Deterministic key-constraint name as a column expression:
     ``uq_{table}_{cols}`` with non-word characters replaced by ``_``, cut at
     54 characters, then ``_`` and the first 8 hex digits of its SHA-1."""
-    raw = F.concat(F.lit("uq_"), table, F.lit("_"), F.concat_ws("_", *columns))
-    # Python's \w is "alphanumeric or underscore": letters and numbers of
-    # any script.  Java's (?U)\w also admits combining marks and connector
-    # punctuation, so spell the class out.
-    sanitized = F.regexp_replace(raw, r"[^\p{L}\p{N}_]", "_")
-    return F.concat(F.substring(sanitized, 1, 54), F.lit("_"), F.substring(F.sha1(sanitized), 1, 8))
+    from .names import CONSTRAINT_DIGEST, CONSTRAINT_KEEP, CONSTRAINT_PREFIX
+
+    joined = F.concat(F.lit(f"{CONSTRAINT_PREFIX}_"), table, F.lit("_"), F.concat_ws("_", *columns))
+    # "letter, digit or underscore" in any script (Java's (?U)\w would also
+    # admit combining marks and connector punctuation)
+    clean = F.regexp_replace(joined, r"[^\p{L}\p{N}_]", "_")
+    return F.concat(
+        F.substring(clean, 1, CONSTRAINT_KEEP), F.lit("_"), F.substring(F.sha1(clean), 1, CONSTRAINT_DIGEST)
+    )
 
 
 def landing_path_col(
