@@ -44,6 +44,11 @@ def q_validate_orders(spark, sf_dir):
     return quality.validation_frame(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
 
 
+def q_not_null(spark, sf_dir):
+    df = _orders_with_missing_priority(spark, sf_dir)
+    return quality.checks_frame(df, not_null=["o_orderkey", "o_orderpriority", "o_comment"])
+
+
 def q_null_rate(spark, sf_dir):
     df = _orders_with_missing_priority(spark, sf_dir)
     return quality.checks_frame(df, null_rates=[("o_orderpriority", 0.25), ("o_orderpriority", 0.1)])
@@ -396,7 +401,8 @@ def q_gold_region_revenue(spark, sf_dir):
 
 
 QUERIES = {
-    "validate_orders": q_validate_orders,
+    "validate_dataframe": q_validate_orders,
+    "check_not_null": q_not_null,
     "landing_flow": q_landing_flow,
     "check_null_rate": q_null_rate,
     "check_no_duplicates": q_no_duplicates,

@@ -13,10 +13,11 @@ def _iso(c: str) -> str:
     return _ISO.format(c=c)
 
 
-def _not_null_row(col: str, var: str) -> str:
+def _not_null_row(col: str, var: str, aliased: bool = False) -> str:
+    name, ok, msg = (" AS check_name", " AS passed", " AS message") if aliased else ("", "", "")
     return (
-        f"SELECT 'not_null:{col}', {var} = 0, CASE WHEN {var} = 0 THEN '''{col}'' OK' "
-        f"ELSE '''{col}'' has ' || CAST({var} AS VARCHAR) || ' null(s)' END FROM a"
+        f"SELECT 'not_null:{col}'{name}, {var} = 0{ok}, CASE WHEN {var} = 0 THEN '''{col}'' OK' "
+        f"ELSE '''{col}'' has ' || CAST({var} AS VARCHAR) || ' null(s)' END{msg} FROM a"
     )
 
 
@@ -41,6 +42,16 @@ UNION ALL SELECT 'no_duplicates:[''o_orderkey'']', n - nd = 0,
        ELSE CAST(n - nd AS VARCHAR) || ' duplicate row(s) on [''o_orderkey'']' END FROM a
 """
 
+_NOT_NULL = f"""
+WITH a AS (
+  SELECT count(*) FILTER (WHERE o_orderkey IS NULL) AS nk,
+         count(*) FILTER (WHERE NULLIF(o_orderpriority, '5-LOW') IS NULL) AS np
+  FROM orders)
+{_not_null_row('o_orderkey', 'nk', aliased=True)}
+UNION ALL {_not_null_row('o_orderpriority', 'np')}
+UNION ALL SELECT 'not_null:o_comment', false, 'Column ''o_comment'' not found'
+"""
+
 _NULL_RATE = """
 WITH a AS (
   SELECT count(*) AS n, count(*) FILTER (WHERE NULLIF(o_orderpriority, '5-LOW') IS NULL) AS k FROM orders
@@ -162,7 +173,8 @@ FROM k
 """
 
 ORACLE_SQL: dict[str, str] = {
-    "validate_orders": _ORDERS_SUITE,
+    "validate_dataframe": _ORDERS_SUITE,
+    "check_not_null": _NOT_NULL,
     "landing_flow": _ORDERS_SUITE,
     "check_null_rate": _NULL_RATE,
     "check_no_duplicates": _NO_DUPLICATES,
