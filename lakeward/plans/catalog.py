@@ -45,31 +45,37 @@ def q_validate_orders(spark, sf_dir):
 
 
 def q_not_null(spark, sf_dir):
+    """``not_null`` per column, including one the frame does not have."""
     df = _orders_with_missing_priority(spark, sf_dir)
     return quality.checks_frame(df, not_null=["o_orderkey", "o_orderpriority", "o_comment"])
 
 
 def q_null_rate(spark, sf_dir):
+    """``null_rate`` against two limits (one passes, one fails)."""
     df = _orders_with_missing_priority(spark, sf_dir)
     return quality.checks_frame(df, null_rates=[("o_orderpriority", 0.25), ("o_orderpriority", 0.1)])
 
 
 def q_no_duplicates(spark, sf_dir):
+    """Row count and composite-key duplicates of ``lineitem`` in one job."""
     li = _t(spark, sf_dir, "lineitem")
     return quality.checks_frame(li, key_columns=["l_orderkey", "l_linenumber"], min_rows=1)
 
 
 def q_duplicate_keys(spark, sf_dir):
+    """Key tuples that repeat (unique-index rule: null key parts excluded)."""
     return quality.duplicate_keys(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_relationships(spark, sf_dir):
+    """Line items whose order is not among the finished orders."""
     li = _t(spark, sf_dir, "lineitem")
     finished = _t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
     return quality.relationships(li, finished, ["l_orderkey"], ["o_orderkey"])
 
 
 def q_column_stats(spark, sf_dir):
+    """Row count and per-column nulls/min/max in one aggregation."""
     o = _t(spark, sf_dir, "orders")
     return quality.column_stats(o, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
 

@@ -326,6 +326,7 @@ def insert_data(
     if buckets:
         by_lower = {c.lower(): c for c in batch.columns}
         batch = batch.withColumn(KEY_BUCKET_COLUMN, key_bucket([by_lower[k.lower()] for k in bucket_key], buckets))
+
     def touched_part(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
         # Rows that can share a key with the batch sit in the batch's
         # buckets: read only those partitions (at most ``buckets`` small ints
