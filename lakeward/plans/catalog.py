@@ -99,11 +99,13 @@ def q_landing_flow(spark, sf_dir):
 
 
 def q_remove_duplicates(spark, sf_dir):
+    """First line item per (order, line number) by ship date."""
     li = _t(spark, sf_dir, "lineitem")
     return dedup.remove_duplicates(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
 def q_latest_run(spark, sf_dir):
+    """Latest event per type and day (newest run of a source/entity/day)."""
     ev = _t(spark, sf_dir, "events").withColumn("run_date", F.to_date("ts"))
     latest = dedup.latest_per_group(ev, ["event_type", "run_date"], "ts", ["event_id"])
     return latest.select("event_type", "run_date", "event_id", "ts", "user_id", "value")
@@ -131,6 +133,7 @@ def _customer_summaries(spark, sf_dir):
 
 
 def q_upsert(spark, sf_dir):
+    """Upsert of the batch summaries into the table summaries."""
     target, batch = _customer_summaries(spark, sf_dir)
     return tables.upsert_frames(target, batch, ["o_custkey"])
 
@@ -145,6 +148,7 @@ def q_last_per_user(spark, sf_dir):
 
 
 def q_union_by_name(spark, sf_dir):
+    """Customers and suppliers combined by column name; absent columns null."""
     c = _t(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("party_key"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"),
@@ -161,6 +165,7 @@ def q_union_by_name(spark, sf_dir):
 
 
 def q_flatten_events(spark, sf_dir):
+    """Event properties (JSON text) flattened to ``props__{key}`` text columns."""
     return records.flatten_json(_t(spark, sf_dir, "events"), "props")
 
 
@@ -192,25 +197,30 @@ def _orders_with_text_tokens(spark, sf_dir):
 
 
 def q_sanitize(spark, sf_dir):
+    """Cell sanitiser over every column (text tokens, NaN, temporal values)."""
     return records.sanitize(_orders_with_text_tokens(spark, sf_dir))
 
 
 def q_iso_text(spark, sf_dir):
+    """Event times as ISO-8601 text (fraction only when non-zero)."""
     ev = _t(spark, sf_dir, "events")
     return ev.select("event_id", iso_text(F.col("ts")).alias("ts_iso"))
 
 
 def q_positional_rename(spark, sf_dir):
+    """Positional names for line items; unmapped positions become col_i."""
     return records.positional_rename(
         _t(spark, sf_dir, "lineitem"), {0: "order_key", 3: "line_number", 4: "quantity"}
     )
 
 
 def q_cast_text(spark, sf_dir):
+    """Every column of the conversations as text."""
     return records.cast_text(_t(spark, sf_dir, "conversations"))
 
 
 def q_constraint_names(spark, sf_dir):
+    """Deterministic key-constraint name per part (type as table, brand and name as columns)."""
     p = _t(spark, sf_dir, "part")
     return p.select(
         "p_partkey",
@@ -219,6 +229,7 @@ def q_constraint_names(spark, sf_dir):
 
 
 def q_landing_paths(spark, sf_dir):
+    """Landing path per event, then parsed back into source/entity/date/run."""
     ev = _t(spark, sf_dir, "events")
     path = landing_path_col(
         "data-lake", F.col("event_type"), F.lit("events"), F.to_date("ts"),
@@ -230,6 +241,7 @@ def q_landing_paths(spark, sf_dir):
 
 
 def q_row_checksums(spark, sf_dir):
+    """MD5 of each order row's canonical text."""
     o = _t(spark, sf_dir, "orders")
     text = F.concat_ws(
         "|",
@@ -240,6 +252,7 @@ def q_row_checksums(spark, sf_dir):
 
 
 def q_allowlist_pages(spark, sf_dir):
+    """Pages whose URL a selector text includes (no deeper folder after the match)."""
     selector = "\n".join(
         [
             "# pages to publish",
@@ -281,6 +294,7 @@ def _messages_from_events(spark, sf_dir):
 
 
 def q_message_select(spark, sf_dir):
+    """CSV attachments of one day's matching messages."""
     msgs = _messages_from_events(spark, sf_dir)
     att = messages.select_attachments(
         msgs, "@REPORTS.example.org", subject="REPORT PUR", target_date=date(2024, 1, 15), ext="csv"
@@ -324,6 +338,7 @@ def _responses_from_tables(spark, sf_dir):
 
 
 def q_response_classify(spark, sf_dir):
+    """Tolerant classification of captured API responses."""
     out = responses.classify_responses(_responses_from_tables(spark, sf_dir))
     return out.select(
         "call_id", "status", "kind",
@@ -361,6 +376,7 @@ def q_file_stats(spark, sf_dir):
 
 
 def q_source_watermark(spark, sf_dir):
+    """Extraction metadata: row count and the ``ts`` watermark range."""
     ev = _t(spark, sf_dir, "events")
     return ev.agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("watermark")
