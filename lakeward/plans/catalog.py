@@ -170,6 +170,7 @@ def q_flatten_events(spark, sf_dir):
 
 
 def q_flatten_nested(spark, sf_dir):
+    """Nested order records flattened to ``a__b__c`` columns."""
     # Stand-in input: orders as nested records, the shape a document source
     # or an API delivers.
     o = _t(spark, sf_dir, "orders")
