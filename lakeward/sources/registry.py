@@ -28,6 +28,7 @@ def read_jdbc_table(
     upper_bound=None,
     properties: dict | None = None,
     sanitize_cells: bool = True,
+    custom_schema: str | None = None,
 ) -> DataFrame:
     """Full table scan (``SELECT *``) over JDBC.
 
@@ -36,9 +37,16 @@ def read_jdbc_table(
     ``min/max`` query.  An empty table gives an empty frame with the source
     schema.  ``sanitize_cells`` applies the cell sanitiser (NUL and nan/nat
     text → cleaned/null, NaN → null, temporal values → ISO text).
+
+    Database timestamps without a zone are read as ``TIMESTAMP_NTZ`` (so
+    their ISO text carries no offset); ``custom_schema`` (Spark's
+    ``customSchema``, e.g. ``"opened_at STRING"``) reads chosen columns with
+    another type, such as SQL ``TIME`` columns as text.
     """
     name = f"{schema}.{table}" if schema else table
-    opts = {"url": url, "dbtable": name, **(properties or {})}
+    opts = {"url": url, "dbtable": name, "preferTimestampNTZ": "true", **(properties or {})}
+    if custom_schema:
+        opts["customSchema"] = custom_schema
     if partition_column:
         if lower_bound is None or upper_bound is None:
             # MIN/MAX pushed down to the database (identifiers quoted by the
@@ -102,6 +110,7 @@ def _jdbc(spark, p):
     return read_jdbc_table(
         spark, p["url"], p["table"], p.get("schema"), p.get("partition_column"),
         p.get("num_partitions", 8), p.get("lower_bound"), p.get("upper_bound"), p.get("properties"),
+        custom_schema=p.get("custom_schema"),
     )
 
 
