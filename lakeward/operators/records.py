@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import positional_names, standardize_names
-from ..functions.text import sanitize_column
+from ..functions.text import iso_text, sanitize_column
 from .quality import qcol
 
 # Fixed value: separator between the parts of a flattened field name.
@@ -166,11 +166,11 @@ def sanitize(df: DataFrame) -> DataFrame:
 
 
 def stamp_ingest(df: DataFrame, column: str = "dt_ingest") -> DataFrame:
-    """Add the ingest time as ISO text.  ``current_timestamp()`` is fixed per
-    query, so every row of one load carries the same value."""
-    return df.withColumn(
-        column, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    )
+    """Add the ingest time as ISO text (session time zone, no offset, the
+    fraction only when not zero).  ``current_timestamp()`` is fixed per
+    query, so every row of one load carries the same value, also when tasks
+    are retried."""
+    return df.withColumn(column, iso_text(F.current_timestamp()))
 
 
 def schema_hash(schema: T.StructType) -> str:
