@@ -58,3 +58,15 @@ def test_metadata_and_incremental(spark):
     assert meta["row_count"] == 2 and meta["watermark"] == dt.datetime(2024, 1, 3) and len(meta["schema_hash"]) == 64
     assert registry.read_since(d, "ts", dt.datetime(2024, 1, 2)).count() == 1
     assert registry.read_since(d, "ts", None).count() == 2
+
+
+def test_api_and_json_extractors(spark, tmp_root):
+    spark.createDataFrame(
+        [(200, "application/json", '{"a": 1}'), (204, "application/json", "")],
+        "status int, content_type string, body string",
+    ).write.parquet(f"{tmp_root}/api")
+    out = registry.build_extraction(spark, {"type": "api", "params": {"path": f"{tmp_root}/api"}})
+    assert sorted(r.kind for r in out.collect()) == ["json", "no_content"]
+    spark.createDataFrame([(1, "x")], "id long, v string").write.json(f"{tmp_root}/j")
+    j = registry.build_extraction(spark, {"type": "json", "params": {"path": f"{tmp_root}/j", "schema": "id long, v string"}})
+    assert [tuple(r) for r in j.collect()] == [(1, "x")]

@@ -119,3 +119,32 @@ def test_dedup_within_watermark(spark, tmp_root):
         assert sorted(r.id for r in spark.table("dedup_wm").collect()) == [1, 2]
     finally:
         q.stop()
+
+
+def _docs(spark, business_question):
+    models = spark.createDataFrame(
+        [("kpi", "gold", "orders per region", "team_a", "erp", "interno", business_question)],
+        "model string, layer string, description string, owner string, origin string, classification string, business_question string",
+    )
+    cols = spark.createDataFrame(
+        [("kpi", "region", "region name", None, False), ("kpi", "n", "orders", "count of orders", True)],
+        "model string, column string, description string, calculation_rule string, is_calculated boolean",
+    )
+    return models, cols
+
+
+def test_publish_gold_gate(spark):
+    import pytest
+
+    df = spark.createDataFrame([("north", 3)], "region string, n long")
+    models, cols = _docs(spark, "How many orders per region?")
+    assert layers.publish_gold(spark, df, "kpi", "gold_demo", "kpi", models, cols) == 1
+    assert spark.table("gold_demo.kpi").count() == 1
+    models_bad, cols = _docs(spark, None)
+    with pytest.raises(ValueError, match="not documented"):
+        layers.publish_gold(spark, df, "kpi2", "gold_demo", "kpi", models_bad, cols)
+
+
+def test_write_table_counts_rows(spark):
+    tables.drop_table_if_exists(spark, "promoted", "raw")
+    assert tables.write_table(spark.createDataFrame([(1,), (2,), (3,)], "id long"), "promoted", "raw") == 3
