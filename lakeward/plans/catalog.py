@@ -86,11 +86,15 @@ FLOW_DAY = date(2024, 1, 1)
 
 
 def q_landing_flow(spark, sf_dir):
-    """Land ``orders`` as one run, load the day back (strict concat) and run
-    the standard suite on it."""
+    """Land ``orders`` as two runs of one day (finished and open orders, as
+    two extract runs would), load the day back with the strict concat check
+    (the runs' Parquet footers are compared on the executors) and run the
+    standard suite on it."""
     root = shared_dir(spark, "lake", unique=True)
     o = _orders_with_missing_priority(spark, sf_dir)
-    landing.write_landing(o, f"{root}/erp/orders/2024/01/01/run1.parquet")
+    finished = F.col("o_orderstatus") == "F"
+    landing.write_landing(o.filter(finished), f"{root}/erp/orders/2024/01/01/finished.parquet")
+    landing.write_landing(o.filter(~finished), f"{root}/erp/orders/2024/01/01/open.parquet")
     _, df = landing.load_landing(spark, root, "erp", "orders", FLOW_DAY)
     return quality.validation_frame(df, ORDERS_EXPECTED, ORDERS_NOT_NULL, ["o_orderkey"])
 
