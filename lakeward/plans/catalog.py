@@ -308,8 +308,9 @@ def q_message_select(spark, sf_dir):
 
 
 def q_mailed_reports(spark, sf_dir):
-    """Select CSV attachments, parse them (Python worker), stamp, de-duplicate
-    on the business columns keeping the first loaded row."""
+    """Select one day's CSV attachments, parse them (Python worker, header
+    mode), stamp the ingest time, and keep the first loaded report per
+    (user, event type)."""
     msgs = _messages_from_events(spark, sf_dir)
     rows, _rejected = messages.process_mailed_reports(
         msgs, "@reports.example.org", "daily report", None, target_date=date(2024, 1, 15),
