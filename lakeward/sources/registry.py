@@ -130,10 +130,17 @@ EXTRACTORS: dict[str, Callable[[SparkSession, dict], DataFrame]] = {
 }
 
 
+# Declared source types without a connector in this build.
+NOT_BUILT = ("nosql", "pdf")
+
+
 def build_extraction(spark: SparkSession, source_cfg: dict) -> DataFrame:
     """Dispatch on ``source_cfg["type"]``.  Unknown types raise
-    ``ValueError``; document types (NoSQL, PDF) are not supported here."""
+    ``ValueError``; the declared document types (NoSQL, PDF) raise
+    ``NotImplementedError`` (no connector here)."""
     kind = str(source_cfg.get("type", "")).lower()
+    if kind in NOT_BUILT:
+        raise NotImplementedError(f"Source type '{kind}' has no connector in this build")
     fn = EXTRACTORS.get(kind)
     if fn is None:
         raise ValueError(f"Unknown source type '{kind}'. Expected one of: {sorted(EXTRACTORS)}")

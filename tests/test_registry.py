@@ -49,6 +49,8 @@ def test_build_extraction(spark, tmp_root):
     spark.range(3).write.parquet(f"{tmp_root}/p")
     assert registry.build_extraction(spark, {"type": "parquet", "params": {"path": f"{tmp_root}/p"}}).count() == 3
     with pytest.raises(ValueError, match="Unknown source type"):
+        registry.build_extraction(spark, {"type": "ftp"})
+    with pytest.raises(NotImplementedError):
         registry.build_extraction(spark, {"type": "pdf"})
 
 
