@@ -254,3 +254,45 @@ def load_window(
     if schema is not None:
         reader = reader.schema(schema)
     return files, reader.parquet(*files)
+
+
+def latest_runs(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
+    """The newest run of every day of an entity: ``run_date, run_id,
+    modified, files`` (one row per day; a re-run adds a run rather than
+    replacing one, so readers that want one version per day take this)."""
+    from ..operators.dedup import latest_per_group
+
+    runs = (
+        entity_files(spark, root, source, entity)
+        .filter(F.col("run_date").isNotNull())
+        .groupBy("run_date", "run_id")
+        .agg(F.max("modificationTime").alias("modified"), F.collect_list("path").alias("files"))
+    )
+    return latest_per_group(runs, ["run_date"], "modified", ["run_id"])
+
+
+def load_latest(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    entity: str,
+    start: date,
+    end: date,
+    schema: T.StructType | None = None,
+) -> tuple[list[str], DataFrame]:
+    """Read only the newest run of each day in ``[start, end]``."""
+    rows = (
+        latest_runs(spark, root, source, entity)
+        .filter((F.col("run_date") >= F.lit(start)) & (F.col("run_date") <= F.lit(end)))
+        .select(F.explode("files").alias("path"))
+        .collect()
+    )
+    files = sorted(r["path"] for r in rows)
+    if not files:
+        raise ValueError(f"No Parquet files found for {source}/{entity} between {start} and {end}")
+    if schema is not None:
+        assert_conforms(spark, files, schema)
+    else:
+        assert_same_schema(spark, files)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return files, reader.parquet(*files)

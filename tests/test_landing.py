@@ -138,3 +138,17 @@ def test_load_landing_with_contract(spark, tmp_root):
     landing.write_landing(spark.createDataFrame([(2, 3)], "id long, name long").coalesce(1), paths.build_landing_path(tmp_root, "s", "c", day, "r2"))
     with pytest.raises(ValueError, match="does not match the contract"):
         landing.load_landing(spark, tmp_root, "s", "c", day, schema=contract)
+
+
+def test_latest_runs_per_day(spark, tmp_root):
+    import time
+
+    d1, d2 = dt.date(2024, 7, 1), dt.date(2024, 7, 2)
+    landing.write_landing(spark.createDataFrame([(1,)], "id long"), paths.build_landing_path(tmp_root, "s", "l", d1, "a"))
+    landing.write_landing(spark.createDataFrame([(2,)], "id long"), paths.build_landing_path(tmp_root, "s", "l", d2, "a"))
+    time.sleep(1.1)
+    landing.write_landing(spark.createDataFrame([(3,)], "id long"), paths.build_landing_path(tmp_root, "s", "l", d1, "rerun"))
+    runs = {r.run_date: r.run_id for r in landing.latest_runs(spark, tmp_root, "s", "l").collect()}
+    assert runs == {d1: "rerun", d2: "a"}
+    _, df = landing.load_latest(spark, tmp_root, "s", "l", d1, d2)
+    assert sorted(r.id for r in df.collect()) == [2, 3]
