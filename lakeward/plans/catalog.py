@@ -9,14 +9,18 @@ projections; the operator itself is always the library code.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import iso_text, landing_path_col, parse_landing_path, unique_index_name_col
 from ..operators import dedup, quality, records
-from ..sources import landing, messages, responses
+from ..sources import bundles, landing, messages, responses
 from ..session import shared_dir
 from . import contract, governance, tables
 
@@ -323,6 +327,37 @@ def q_mailed_reports(spark, sf_dir):
     return deduped.select("event_id", "user_id", "event_type")
 
 
+@F.pandas_udf(T.BinaryType())
+def _turn_as_zip(conv_id: pd.Series, turn: pd.Series, role: pd.Series) -> pd.Series:
+    # Stand-in input: each conversation turn mailed as a ZIP holding a note,
+    # a blank CSV and the report CSV (a title line, then the data line).
+    out = []
+    for c, t, r in zip(conv_id, turn, role):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            zf.writestr("README.txt", "monthly export")
+            zf.writestr("blank.csv", "  \n")
+            zf.writestr(f"turn_{c}_{t}.CSV", f"conversation export\n{c},{t},{r}\n")
+        out.append(buf.getvalue())
+    return pd.Series(out)
+
+
+def q_zip_reports(spark, sf_dir):
+    """ZIP bundles: first valid CSV member per archive (case-insensitive
+    extension, blank members skipped), one title line skipped, positional
+    column names; parsed in the Python worker, combined in Spark."""
+    conv = _t(spark, sf_dir, "conversations")
+    zips = conv.select(
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("bundle_id"),
+        F.lit(0).cast("long").alias("bundle_ordinal"),
+        _turn_as_zip("conv_id", "turn", "role").alias("content"),
+    )
+    mapping = {0: "conv_id", 1: "turn", 2: "role"}
+    # parsed once, checkpointed; column discovery and the result read it
+    rows = bundles.materialize(bundles.extract_bundle_rows(zips, "zip", mapping, skiprows=1))
+    return bundles.bundle_rows_to_frame(rows, mapping).select("conv_id", "turn", "role", "member")
+
+
 def _responses_from_tables(spark, sf_dir):
     # Stand-in input: captured API calls.  Event properties come back as JSON,
     # pages as HTML, documents mislabelled as JSON, error events as 204s.
@@ -456,6 +491,7 @@ QUERIES = {
     "allowlist_paths": q_allowlist_pages,
     "message_select": q_message_select,
     "mailed_reports": q_mailed_reports,
+    "zip_reports": q_zip_reports,
     "response_classify": q_response_classify,
     "source_watermark": q_source_watermark,
     "silver_lineitem": q_silver_lineitem,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, quality, records
 from ..operators.quality import CheckResult
-from ..sources import landing, messages
+from ..sources import bundles, landing, messages
 from ..sources.paths import build_landing_path
 from . import governance, tables
 
@@ -140,7 +140,7 @@ def ingest_mailed_report(
         "|", F.lpad(F.col("bundle_ordinal").cast("string"), 20, "0"), F.col("bundle_id"),
         F.lpad(F.col("row_ordinal").cast("string"), 20, "0"),
     )
-    business = [c for c in rows.columns if c not in ("bundle_id", "bundle_ordinal", "member_ordinal", "row_ordinal")]
+    business = [c for c in rows.columns if c not in bundles.BUNDLE_KEYS]
     staged = records.stamp_ingest(rows.select(*[quality.qcol(c) for c in business], load_key.alias("_load_key")))
     keys = list(column_mapping.values()) if column_mapping else business
     if key_buckets and not tables.table_exists(spark, table, schema):

@@ -293,6 +293,11 @@ FROM orders
     "message_select": _MESSAGES,
     "mailed_reports": _MAILED,
     "response_classify": _RESPONSES,
+    "zip_reports": """
+SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role,
+       'turn_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) || '.CSV' AS member
+FROM conversations
+""",
     "source_watermark": "SELECT count(*) AS n_rows, min(ts) AS min_ts, max(ts) AS watermark FROM events",
     "gold_region_orders": """
 SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_orders,

@@ -44,6 +44,9 @@ BUNDLE_ROWS_SCHEMA = (
 
 _CHUNK = 20_000
 
+# Provenance columns kept next to the parsed CSV columns.
+BUNDLE_KEYS = ("bundle_id", "bundle_ordinal", "member", "member_ordinal", "row_ordinal")
+
 
 class EmptyCsv(Exception):
     """No columns left to parse (blank text or everything skipped)."""
@@ -244,7 +247,7 @@ def bundle_rows_to_frame(rows: DataFrame, column_mapping: dict[int, str] | None
     # rejected ids are one row per bad bundle.
     bad = rows.filter(F.col("error").isNotNull()).select("bundle_id").distinct()
     valid = rows.filter(F.col("error").isNull()).join(bad, "bundle_id", "left_anti")
-    keep = [F.col("bundle_id"), F.col("bundle_ordinal"), F.col("member_ordinal"), F.col("row_ordinal")]
+    keep = [F.col(c) for c in BUNDLE_KEYS]
     if column_mapping:
         width = valid.agg(F.max(F.size("fields")).alias("w")).first()["w"] or 0
         names = positional_names(column_mapping, width)
