@@ -194,3 +194,13 @@ def test_dedup_matches_model(spark, rows):
     for k, o, v in sorted(rows, key=lambda r: (r[1], r[2])):
         best.setdefault(k, (k, o, v))
     assert got == sorted(best.values())
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), texts), min_size=1, max_size=60))
+def test_py_strip_matches_python(spark, values):
+    from lakeward.functions.text import py_strip
+
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r.i: r.o for r in d.select("i", py_strip(F.col("s")).alias("o")).collect()}
+    assert [got[i] for i in range(len(values))] == [None if v is None else v.strip() for v in values]
