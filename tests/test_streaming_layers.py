@@ -148,3 +148,22 @@ def test_publish_gold_gate(spark):
 def test_write_table_counts_rows(spark):
     tables.drop_table_if_exists(spark, "promoted", "raw")
     assert tables.write_table(spark.createDataFrame([(1,), (2,), (3,)], "id long"), "promoted", "raw") == 3
+
+
+def test_merge_into_silver_incremental(spark):
+    import os
+
+    tables.drop_table_if_exists(spark, "itens", "silver_inc")
+    contract = {"codigo": "bigint", "valor": "double", "data": "date"}
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("Código", "Valor", "Data")])
+    first = spark.createDataFrame([("1", "10", "2024-01-01"), ("1", "11", "2024-01-02"), ("2", "20", "2024-01-01"), (None, "0", "2024-01-01")], schema)
+    assert layers.merge_into_silver(spark, first, "itens", "silver_inc", contract, ["codigo"], ["data"], key_buckets=8) == 3
+    loc = spark.sql("DESCRIBE TABLE EXTENDED silver_inc.itens").filter("col_name = 'Location'").first().data_type.replace("file:", "")
+    before = {d: sorted(os.listdir(os.path.join(loc, d))) for d in os.listdir(loc) if d.startswith("_key_bucket=")}
+    second = spark.createDataFrame([("2", "99", "2024-01-05"), ("3", "30", "2024-01-05"), (None, "5", "2024-01-05")], schema)
+    assert layers.merge_into_silver(spark, second, "itens", "silver_inc", contract, ["codigo"], ["data"], key_buckets=8) == 1
+    got = sorted((r.codigo if r.codigo is not None else -1, r.valor) for r in spark.table("silver_inc.itens").collect())
+    assert got == [(-1, 0.0), (1, 10.0), (2, 20.0), (3, 30.0)]
+    after = {d: sorted(os.listdir(os.path.join(loc, d))) for d in os.listdir(loc) if d.startswith("_key_bucket=")}
+    changed = {d for d in after if after[d] != before.get(d)}
+    assert len(changed) == 1  # only the bucket of the new key 3 got a file
