@@ -184,9 +184,10 @@ def merge_into_silver(
             writer = writer.partitionBy(tables.KEY_BUCKET_COLUMN)
         writer.saveAsTable(name)
         if key_buckets:
+            lit = tables._sql_text
             spark.sql(
-                f"ALTER TABLE {name} SET TBLPROPERTIES ('{tables.PK_PROPERTY}' = '{','.join(key_columns)}', "
-                f"'{tables.BUCKETS_PROPERTY}' = '{int(key_buckets)}')"
+                f"ALTER TABLE {name} SET TBLPROPERTIES ({lit(tables.PK_PROPERTY)} = {lit(','.join(key_columns))}, "
+                f"{lit(tables.BUCKETS_PROPERTY)} = {lit(str(int(key_buckets)))})"
             )
         return obs.get["n"]
     existing = spark.table(name)
