@@ -50,16 +50,20 @@ def promote_landing_to_bronze(
     run_id: str,
     min_rows: int = 1,
     contract=None,
+    results_table: str | None = None,
 ) -> PromotionResult:
     """Read the day (strict concat), run the suite in one job, and only when
     every check passes append the rows with bronze metadata (ingest time,
-    run id, source file, schema hash).
+    run id, source file, schema hash).  ``results_table`` keeps the check
+    results of every promotion (passed or not) in the same schema.
 
     The check job reads only the columns the checks need; the write scans
     the files again (column pruning makes the first scan cheap, and nothing
     is pinned in memory)."""
     files, df = landing.load_landing(spark, root, source, entity, run_date, schema=contract)
     passed, results = quality.validate_dataframe(df, expected_columns, not_null_columns, key_columns, min_rows)
+    if results_table:
+        _record_results(spark, results_table, schema, source, entity, run_date, run_id, results)
     if not passed:
         log.warning("Promotion of %s/%s %s blocked: %s", source, entity, run_date, [r for r in results if not r.passed])
         return PromotionResult(False, results, files, 0)
@@ -68,6 +72,20 @@ def promote_landing_to_bronze(
     return PromotionResult(True, results, files, n)
 
 
+def _record_results(spark, table, schema, source, entity, run_date, run_id, results) -> None:
+    """Append one row per check to ``schema.table`` (the quality history)."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    rows = [(source, entity, run_date, run_id, r.check_name, bool(r.passed), r.message) for r in results]
+    frame = spark.createDataFrame(
+        rows, "source string, entity string, run_date date, run_id string, check_name string, passed boolean, message string"
+    ).withColumn("checked_at", F.current_timestamp())
+    name = tables.fq_name(table, schema)
+    if tables.table_exists(spark, table, schema):
+        frame.write.insertInto(name)
+    else:
+        frame.write.format("parquet").saveAsTable(name)
+
+
 def bronze_to_silver(
     bronze: DataFrame,
     contract: dict,

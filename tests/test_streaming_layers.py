@@ -25,8 +25,14 @@ def test_promote_landing_to_bronze(spark, tmp_root):
     assert spark.table("bronze.clientes").filter("_source_file like '%r1.parquet%'").count() == 2
     bad_day = dt.date(2024, 3, 8)
     layers.land(spark.createDataFrame([(1, "a"), (1, "b")], SCHEMA), tmp_root, "erp", "clientes", bad_day, "r1")
-    res2 = layers.promote_landing_to_bronze(spark, tmp_root, "erp", "clientes", bad_day, "clientes", "bronze", ["id"], ["id"], ["id"], "r1")
+    res2 = layers.promote_landing_to_bronze(
+        spark, tmp_root, "erp", "clientes", bad_day, "clientes", "bronze", ["id"], ["id"], ["id"], "r1",
+        results_table="quality_history",
+    )
     assert not res2.passed and res2.rows_written == 0 and spark.table("bronze.clientes").count() == 2
+    hist = spark.table("bronze.quality_history").collect()
+    assert len(hist) == 4 and {h.run_date for h in hist} == {bad_day}
+    assert [h.check_name for h in hist if not h.passed] == ["no_duplicates:['id']"]
 
 
 def test_bronze_to_silver(spark):
