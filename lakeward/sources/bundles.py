@@ -19,6 +19,7 @@ import codecs
 import csv
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -182,7 +183,9 @@ def _bundle_worker(kind: str, has_header: bool, skiprows: int, delimiter, all_me
                         emitted = True
                         if not all_members:
                             break
-                except (zipfile.BadZipFile, ValueError, csv.Error) as exc:
+                except (zipfile.BadZipFile, zlib.error, ValueError, csv.Error, RuntimeError, NotImplementedError) as exc:
+                    # corrupt archive, bad CRC, encrypted or unsupported
+                    # member, malformed CSV: this bundle only is rejected
                     out.add(bundle_id, ordinal, None, None, None, None, None, f"{type(exc).__name__}: {exc}")
                     continue
                 if not emitted:

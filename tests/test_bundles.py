@@ -133,3 +133,15 @@ def test_bad_row_rejects_whole_bundle(spark):
     out = bundles.bundle_rows_to_frame(long_rows, None)
     assert [(r.bundle_id, r.a, r.b) for r in out.collect()] == [("b0", "1", "2")]
     assert [r.bundle_id for r in bundles.rejected_bundles(long_rows).collect()] == ["b1"]
+
+
+def test_corrupt_member_rejects_only_its_bundle(spark):
+    good = zip_bytes([("a.csv", "x\n1\n")])
+    bad = bytearray(zip_bytes([("a.csv", "x\n" + "2\n" * 200)]))
+    # flip bytes inside the stored member data to break its CRC
+    pos = bad.find(b"2\n2\n")
+    bad[pos:pos + 4] = b"9\n9\n"
+    long_rows = bundles.extract_bundle_rows(frame(spark, [good, bytes(bad)]), "zip", None)
+    out = bundles.bundle_rows_to_frame(long_rows, None)
+    assert [(r.bundle_id, r.x) for r in out.collect()] == [("b0", "1")]
+    assert [r.bundle_id for r in bundles.rejected_bundles(long_rows).collect()] == ["b1"]
