@@ -45,6 +45,10 @@ BUNDLE_ROWS_SCHEMA = (
 
 _CHUNK = 20_000
 
+# pandas' reader has no per-field size limit; the csv module's default is
+# 128 KiB, which would reject valid reports with long text fields.
+csv.field_size_limit(2**31 - 1)
+
 # Provenance columns kept next to the parsed CSV columns.
 BUNDLE_KEYS = ("bundle_id", "bundle_ordinal", "member", "member_ordinal", "row_ordinal")
 

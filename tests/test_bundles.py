@@ -145,3 +145,10 @@ def test_corrupt_member_rejects_only_its_bundle(spark):
     out = bundles.bundle_rows_to_frame(long_rows, None)
     assert [(r.bundle_id, r.x) for r in out.collect()] == [("b0", "1")]
     assert [r.bundle_id for r in bundles.rejected_bundles(long_rows).collect()] == ["b1"]
+
+
+def test_long_fields_are_kept(spark):
+    long_text = "y" * 300_000
+    long_rows = bundles.extract_bundle_rows(frame(spark, [f"a,b\n1,{long_text}\n".encode()]), "csv", None)
+    out = bundles.bundle_rows_to_frame(long_rows, None).collect()
+    assert len(out) == 1 and len(out[0].b) == 300_000
