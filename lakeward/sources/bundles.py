@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import csv
 import io
+import re
 import zipfile
 import zlib
 
@@ -94,6 +95,21 @@ def _mangle(header: list[str]) -> list[str]:
     return out
 
 
+_LINE_END = re.compile(r"\r\n|\r|\n")
+
+
+def _skip_lines(text: str, n: int) -> str:
+    """Drop the first ``n`` lines; only ``\n``, ``\r\n`` and ``\r`` end a
+    line (as in pandas' reader; form feeds and Unicode separators do not)."""
+    pos = 0
+    for _ in range(n):
+        m = _LINE_END.search(text, pos)
+        if m is None:
+            return ""
+        pos = m.end()
+    return text[pos:]
+
+
 def parse_csv_text(
     text: str, skiprows: int = 0, delimiter: str | None = None, header: bool = True,
     na_tokens=PANDAS_NA_TOKENS,
@@ -105,8 +121,7 @@ def parse_csv_text(
     are padded.  With ``header`` the first remaining row names the columns.
     Raises :class:`EmptyCsv` when no row is left.
     """
-    lines = text.splitlines(keepends=True)[skiprows:]
-    reader = csv.reader(io.StringIO("".join(lines)), delimiter=delimiter or ",")
+    reader = csv.reader(io.StringIO(_skip_lines(text, skiprows)), delimiter=delimiter or ",")
     rows = (r for r in reader if r and not (len(r) == 1 and r[0] == ""))
     first = next(rows, None)
     if first is None:

@@ -152,3 +152,9 @@ def test_long_fields_are_kept(spark):
     long_rows = bundles.extract_bundle_rows(frame(spark, [f"a,b\n1,{long_text}\n".encode()]), "csv", None)
     out = bundles.bundle_rows_to_frame(long_rows, None).collect()
     assert len(out) == 1 and len(out[0].b) == 300_000
+
+
+def test_skiprows_counts_only_real_line_ends():
+    text = "title\x0cstill title\r\nsecond\rx,y\n1,2\n"
+    header, rows = bundles.parse_csv_text(text, skiprows=2)
+    assert header == ["x", "y"] and list(rows) == [["1", "2"]]
