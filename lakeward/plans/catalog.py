@@ -155,6 +155,36 @@ def q_last_per_user(spark, sf_dir):
     )
 
 
+def _scratch_schema(spark) -> str:
+    # a fresh schema whose tables live under the shared checkpoint folder
+    name = "lw_" + shared_dir(spark, unique=True).rsplit("/", 1)[-1][:12]
+    tables.create_schema(spark, name, shared_dir(spark, "warehouse", name))
+    return name
+
+
+def q_append_evolve(spark, sf_dir):
+    """Append into an all-text table: the first load creates it, the second
+    brings a column the table lacks (add-only evolution) and lacks one the
+    table has (null there)."""
+    schema = _scratch_schema(spark)
+    o = _t(spark, sf_dir, "orders")
+    finished = F.col("o_orderstatus") == "F"
+    tables.insert_data(spark, o.filter(finished).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"), "orders_raw", schema=schema)
+    tables.insert_data(spark, o.filter(~finished).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "orders_raw", schema=schema)
+    return spark.table(tables.fq_name("orders_raw", schema))
+
+
+def q_upsert_table(spark, sf_dir):
+    """Upsert into a key-bucketed all-text table: only the buckets the batch
+    touches are read and rewritten (staged, then swapped in)."""
+    schema = _scratch_schema(spark)
+    target, batch = _customer_summaries(spark, sf_dir)
+    tables.create_table_if_not_exists(spark, target.columns, "customer_summary", ["o_custkey"], schema, key_buckets=16)
+    tables.insert_data(spark, target, "customer_summary", schema=schema)
+    tables.insert_data(spark, batch, "customer_summary", conflict_fields=["o_custkey"], schema=schema)
+    return spark.table(tables.fq_name("customer_summary", schema)).drop(tables.KEY_BUCKET_COLUMN)
+
+
 def q_union_by_name(spark, sf_dir):
     """Customers and suppliers combined by column name; absent columns null."""
     c = _t(spark, sf_dir, "customer").select(
@@ -475,6 +505,8 @@ QUERIES = {
     "remove_duplicates": q_remove_duplicates,
     "latest_run": q_latest_run,
     "upsert_partial": q_upsert,
+    "append_evolve": q_append_evolve,
+    "upsert_table": q_upsert_table,
     "last_per_user": q_last_per_user,
     "union_by_name": q_union_by_name,
     "flatten_nested": q_flatten_nested,

@@ -249,6 +249,26 @@ SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows,
        min(l_orderkey) AS l_orderkey__min, max(l_orderkey) AS l_orderkey__max,
        min(l_shipdate) AS l_shipdate__min, max(l_shipdate) AS l_shipdate__max
 FROM lineitem
+""",
+    "append_evolve": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS VARCHAR) END AS o_orderdate,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+FROM orders
+""",
+    "upsert_table": """
+WITH t AS (
+  SELECT o_custkey, count(*) AS n_orders, max(o_orderdate) AS last_orderdate
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY o_custkey
+), b AS (
+  SELECT o_custkey, max(o_orderdate) AS last_orderdate, max(o_orderpriority) AS top_priority
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' GROUP BY o_custkey
+)
+SELECT CAST(coalesce(b.o_custkey, t.o_custkey) AS VARCHAR) AS o_custkey,
+       CAST(t.n_orders AS VARCHAR) AS n_orders,
+       CAST(CASE WHEN b.o_custkey IS NOT NULL THEN b.last_orderdate ELSE t.last_orderdate END AS VARCHAR) AS last_orderdate,
+       b.top_priority
+FROM t FULL OUTER JOIN b ON t.o_custkey = b.o_custkey
 """,
     "union_by_name": """
 SELECT c_custkey AS party_key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,

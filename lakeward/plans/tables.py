@@ -20,7 +20,7 @@ from ..functions.names import unique_index_name
 from ..operators.dedup import last_per_key, orderable, remove_duplicates
 from ..operators.quality import duplicate_keys, qcol
 from ..operators.records import cast_text, flatten
-from ..session import shared_dir
+from ..session import ensure_checkpoint_dir, shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -63,6 +63,14 @@ def key_bucket(columns: list, buckets: int):
 # ----------------------------------------------------------------- K02 / K08
 
 
+def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """Create a schema if missing, optionally with its folder (managed tables
+    of the schema are stored under it)."""
+    where = f" LOCATION {_sql_text(location)}" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(schema)}{where}")
+
+
+
 def create_table_if_not_exists(
     spark: SparkSession,
     columns: list[str],
@@ -313,10 +321,24 @@ def insert_data(
     Empty batch → warning, nothing written.  Nested fields are flattened,
     values cast to text, the table created and evolved as needed.  Returns the
     number of batch rows written."""
-    if data.isEmpty():
+    batch = cast_text(flatten(data))
+    existing_props = table_properties(spark, table, schema) if table_exists(spark, table, schema) else {}
+    reread = bool(conflict_fields) or UNIQUE_PROPERTY in existing_props
+    if reread:
+        # The batch is read several times below (emptiness, buckets, key
+        # checks, merge, count): materialise it once in the checkpoint
+        # folder, counting its rows in the same pass.
+        ensure_checkpoint_dir(spark)
+        counted = Observation("batch")
+        batch = batch.observe(counted, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        batch_rows = counted.get["n"]
+        empty = batch_rows == 0
+    else:
+        batch_rows = None
+        empty = batch.isEmpty()
+    if empty:
         log.warning("No data to insert into %s.%s", schema, table)
         return 0
-    batch = cast_text(flatten(data))
     create_table_if_not_exists(spark, batch.columns, table, primary_key, schema)
     alter_table(spark, [c for c in batch.columns if c != KEY_BUCKET_COLUMN], table, schema)
     target_name = fq_name(table, schema)
@@ -341,8 +363,8 @@ def insert_data(
         target, local = touched_part(spark.table(target_name), conflict_fields)
         merged = upsert_frames(target, batch, conflict_fields, on_duplicate, order_by)
         _stage_and_swap(spark, merged, table, schema, only_touched_partitions=local)
-        return batch.count()
-    unique = table_properties(spark, table, schema).get(UNIQUE_PROPERTY)
+        return batch_rows
+    unique = props.get(UNIQUE_PROPERTY)
     if unique:
         ukeys = unique.split(":", 1)[1].split(",")
         existing, _ = touched_part(spark.table(target_name), ukeys)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import positional_names
-from ..session import ship_library
+from ..session import ensure_checkpoint_dir, ship_library
 
 # The cell texts pandas' CSV reader turns into missing values by
 # default (its STR_NA_VALUES set).
@@ -254,6 +254,7 @@ def materialize(rows: DataFrame) -> DataFrame:
     the column discovery, the rows and the rejects all read the same result
     without parsing the bundles again.  Survives executor loss: the data is
     in the shared checkpoint folder, not on one executor."""
+    ensure_checkpoint_dir(rows.sparkSession)
     return rows.checkpoint(eager=True)
 
 
