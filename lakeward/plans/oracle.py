@@ -176,6 +176,16 @@ ORACLE_SQL: dict[str, str] = {
     "validate_dataframe": _ORDERS_SUITE,
     "check_not_null": _NOT_NULL,
     "landing_flow": _ORDERS_SUITE,
+    "bronze_promotion": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority, 'run-20240101' AS _run_id
+FROM orders
+""",
+    "incremental_bronze": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders
+""",
     "check_null_rate": _NULL_RATE,
     "check_no_duplicates": _NO_DUPLICATES,
     "duplicate_keys": """
