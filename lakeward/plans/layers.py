@@ -208,10 +208,7 @@ def merge_into_silver(
                 f"{lit(tables.BUCKETS_PROPERTY)} = {lit(str(int(key_buckets)))})"
             )
         return obs.get["n"]
-    existing = spark.table(name)
-    if key_buckets:
-        touched = [r[0] for r in typed.select(tables.KEY_BUCKET_COLUMN).distinct().collect()]
-        existing = existing.filter(F.col(tables.KEY_BUCKET_COLUMN).isin(touched))
+    existing, _ = tables.bucket_scope(spark, table, schema, typed, key_columns)
     keys = existing.select(*[quality.qcol(k).alias(f"__k{i}") for i, k in enumerate(key_columns)]).distinct()
     cond = None
     for i, k in enumerate(key_columns):

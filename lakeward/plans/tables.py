@@ -60,6 +60,27 @@ def key_bucket(columns: list, buckets: int):
     return F.pmod(F.xxhash64(*[(qcol(c) if isinstance(c, str) else c).cast("string") for c in columns]), F.lit(buckets)).cast("int")
 
 
+def bucket_scope(
+    spark: SparkSession, table: str, schema: str, rows: DataFrame, keys: list[str], props: dict | None = None
+) -> tuple[DataFrame, bool]:
+    """The part of ``schema.table`` that ``rows`` can share a key with.
+
+    On a key-bucketed table whose bucket key is covered by ``keys``: only the
+    buckets the rows hash to (at most ``N`` small integers reach the driver
+    and become a partition filter, so only those folders are read).
+    Otherwise the whole table.  Returns ``(frame, restricted)``."""
+    props = table_properties(spark, table, schema) if props is None else props
+    frame = spark.table(fq_name(table, schema))
+    buckets = int(props.get(BUCKETS_PROPERTY, "0"))
+    bucket_key = props.get(PK_PROPERTY, "").split(",") if buckets else []
+    if not buckets or not {k.lower() for k in bucket_key} <= {k.lower() for k in keys}:
+        return frame, False
+    by_lower = {c.lower(): c for c in rows.columns}
+    ids = rows.select(key_bucket([by_lower[k.lower()] for k in bucket_key], buckets).alias("b")).distinct()
+    touched = [r["b"] for r in ids.collect()]
+    return frame.filter(F.col(KEY_BUCKET_COLUMN).isin(touched)), True
+
+
 # ----------------------------------------------------------------- K02 / K08
 
 
@@ -349,25 +370,16 @@ def insert_data(
         by_lower = {c.lower(): c for c in batch.columns}
         batch = batch.withColumn(KEY_BUCKET_COLUMN, key_bucket([by_lower[k.lower()] for k in bucket_key], buckets))
 
-    def touched_part(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
-        # Rows that can share a key with the batch sit in the batch's
-        # buckets: read only those partitions (at most ``buckets`` small ints
-        # reach the driver and become a partition filter).
-        if buckets and {k.lower() for k in bucket_key} <= {c.lower() for c in keys}:
-            touched = [r[0] for r in batch.select(KEY_BUCKET_COLUMN).distinct().collect()]
-            return frame.filter(F.col(KEY_BUCKET_COLUMN).isin(touched)), True
-        return frame, False
-
     if conflict_fields:
         ensure_unique_constraint(spark, table, conflict_fields, schema)
-        target, local = touched_part(spark.table(target_name), conflict_fields)
+        target, local = bucket_scope(spark, table, schema, batch, conflict_fields, props)
         merged = upsert_frames(target, batch, conflict_fields, on_duplicate, order_by)
         _stage_and_swap(spark, merged, table, schema, only_touched_partitions=local)
         return batch_rows
     unique = props.get(UNIQUE_PROPERTY)
     if unique:
         ukeys = unique.split(":", 1)[1].split(",")
-        existing, _ = touched_part(spark.table(target_name), ukeys)
+        existing, _ = bucket_scope(spark, table, schema, batch, ukeys, props)
         check_incoming_keys(existing, batch, ukeys)
     cols = spark.table(target_name).columns
     by_lower = {c.lower(): c for c in batch.columns}
@@ -396,22 +408,11 @@ def remove_duplicates_table(
     On a key-bucketed table whose bucket key is part of ``key_columns``,
     ``touched_by`` (the rows just loaded) limits the work to their buckets:
     new duplicates can only involve keys that were just loaded."""
-    name = fq_name(table, schema)
-    df = spark.table(name)
-    props = table_properties(spark, table, schema)
-    buckets = int(props.get(BUCKETS_PROPERTY, "0"))
-    bucket_key = props.get(PK_PROPERTY, "").split(",") if buckets else []
-    local = (
-        touched_by is not None and buckets
-        and {k.lower() for k in bucket_key} <= {c.lower() for c in key_columns}
-    )
-    if local:
-        by_lower = {c.lower(): c for c in touched_by.columns}
-        touched = [
-            r[0] for r in touched_by.select(key_bucket([by_lower[k.lower()] for k in bucket_key], buckets)).distinct().collect()
-        ]
-        df = df.filter(F.col(KEY_BUCKET_COLUMN).isin(touched))
-    return _stage_and_swap(spark, remove_duplicates(df, key_columns, order_by), table, schema, only_touched_partitions=bool(local))
+    if touched_by is not None:
+        df, local = bucket_scope(spark, table, schema, touched_by, key_columns)
+    else:
+        df, local = spark.table(fq_name(table, schema)), False
+    return _stage_and_swap(spark, remove_duplicates(df, key_columns, order_by), table, schema, only_touched_partitions=local)
 
 
 def full_refresh(spark: SparkSession, data: DataFrame, table: str, schema: str = "raw") -> int:

@@ -75,23 +75,6 @@ def new_rows_only(batch: DataFrame, target: DataFrame, keys: list[str], order_by
     return first.join(existing, cond, "left_anti")
 
 
-def _touched_buckets(spark: SparkSession, spec: StreamSpec, batch: DataFrame) -> DataFrame:
-    """The bronze rows a micro-batch can collide with: on a key-bucketed
-    table only the batch's buckets are read, so the per-batch cost follows
-    the batch, not the table."""
-    target = spark.table(tables.fq_name(spec.table, spec.schema))
-    props = tables.table_properties(spark, spec.table, spec.schema)
-    buckets = int(props.get(tables.BUCKETS_PROPERTY, "0"))
-    bucket_key = props.get(tables.PK_PROPERTY, "").split(",") if buckets else []
-    if buckets and {k.lower() for k in bucket_key} <= {k.lower() for k in spec.key_columns}:
-        by_lower = {c.lower(): c for c in batch.columns}
-        touched = [
-            r[0] for r in batch.select(tables.key_bucket([by_lower[k.lower()] for k in bucket_key], buckets)).distinct().collect()
-        ]
-        target = target.filter(F.col(tables.KEY_BUCKET_COLUMN).isin(touched))
-    return target
-
-
 def gate_batch(spec: StreamSpec):
     """``foreachBatch`` function for :func:`start_incremental_promotion`."""
 
@@ -115,7 +98,8 @@ def gate_batch(spec: StreamSpec):
                 if spec.key_columns and tables.table_exists(spark, spec.table, spec.schema):
                     target = tables.fq_name(spec.table, spec.schema)
                     spark.catalog.refreshTable(target)
-                    existing = _touched_buckets(spark, spec, batch)
+                    # on a key-bucketed table only the batch's buckets are read
+                    existing, _ = tables.bucket_scope(spark, spec.table, spec.schema, batch, spec.key_columns)
                     to_write = new_rows_only(batch, existing, spec.key_columns, spec.order_by)
                 n = tables.insert_data(spark, to_write, spec.table, schema=spec.schema)
             else:
