@@ -202,7 +202,7 @@ def merge_into_silver(
             writer = writer.partitionBy(tables.KEY_BUCKET_COLUMN)
         writer.saveAsTable(name)
         if key_buckets:
-            lit = tables._sql_text
+            lit = tables.sql_text
             spark.sql(
                 f"ALTER TABLE {name} SET TBLPROPERTIES ({lit(tables.PK_PROPERTY)} = {lit(','.join(key_columns))}, "
                 f"{lit(tables.BUCKETS_PROPERTY)} = {lit(str(int(key_buckets)))})"

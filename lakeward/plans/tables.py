@@ -40,7 +40,7 @@ def fq_name(table: str, schema: str = "raw") -> str:
     return f"{_q(schema)}.{_q(table)}"
 
 
-def _sql_text(text: str) -> str:
+def sql_text(text: str) -> str:
     """A Spark SQL string literal (backslash escapes are on by default)."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -87,7 +87,7 @@ def bucket_scope(
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create a schema if missing, optionally with its folder (managed tables
     of the schema are stored under it)."""
-    where = f" LOCATION {_sql_text(location)}" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(schema)}{where}")
 
 
@@ -122,7 +122,7 @@ def create_table_if_not_exists(
         partitioning = f" PARTITIONED BY ({KEY_BUCKET_COLUMN})"
     tbl = ""
     if props:
-        tbl = " TBLPROPERTIES (" + ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in props.items()) + ")"
+        tbl = " TBLPROPERTIES (" + ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in props.items()) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {fq_name(table, schema)} ({cols}) USING parquet{partitioning}{tbl}")
 
 
@@ -181,7 +181,7 @@ def ensure_unique_constraint(
     if frame is None:
         spark.sql(
             f"ALTER TABLE {fq_name(table, schema)} SET TBLPROPERTIES "
-            f"({_sql_text(UNIQUE_PROPERTY)} = {_sql_text(recorded)})"
+            f"({sql_text(UNIQUE_PROPERTY)} = {sql_text(recorded)})"
         )
     return name
 
@@ -447,11 +447,11 @@ def apply_comments(
     stmts = []
     name = fq_name(table, schema)
     if table_comment:
-        stmts.append(f"COMMENT ON TABLE {name} IS {_sql_text(table_comment)}")
+        stmts.append(f"COMMENT ON TABLE {name} IS {sql_text(table_comment)}")
     for col, text in (column_comments or {}).items():
         if not text:
             continue
-        stmts.append(f"ALTER TABLE {name} ALTER COLUMN {_q(col)} COMMENT {_sql_text(text)}")
+        stmts.append(f"ALTER TABLE {name} ALTER COLUMN {_q(col)} COMMENT {sql_text(text)}")
     for s in stmts:
         execute_non_query(spark, s)
     return stmts

@@ -58,3 +58,9 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry(spark):
     out = se.entry(spark)
     assert out.columns == ["check_name", "passed", "message"] and out.count() == 6
+
+
+def test_every_query_is_documented():
+    from lakeward.plans.catalog import QUERIES
+
+    assert all(fn.__doc__ and fn.__doc__.strip() for fn in QUERIES.values())
