@@ -133,12 +133,15 @@ def q_bronze_promotion(spark, sf_dir):
 def q_incremental_bronze(spark, sf_dir):
     """Incremental promotion with Structured Streaming: a file stream over the
     entity's landing folder (availableNow), each micro-batch gated by the
-    suite and de-duplicated against bronze by key before it is appended."""
+    suite and de-duplicated against the key buckets it touches in a
+    key-bucketed bronze table before it is appended."""
     root = shared_dir(spark, "lake", unique=True)
     _land_orders_day(spark, sf_dir, root)
     schema = _scratch_schema(spark)
     landed = _t(spark, sf_dir, "orders").select(*BRONZE_COLUMNS).schema
-    spec = incremental.StreamSpec("orders", "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], order_by=["o_orderdate"])
+    spec = incremental.StreamSpec(
+        "orders", "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], order_by=["o_orderdate"], key_buckets=16
+    )
     # one file per trigger: every landed file is its own gated micro-batch,
     # and later batches are de-duplicated against what earlier ones wrote
     batches = incremental.run_available_now(

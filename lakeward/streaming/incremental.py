@@ -41,6 +41,9 @@ class StreamSpec:
     order_by: list[str] | None = None
     min_rows: int = 1
     quarantine: str | None = None
+    # create bronze partitioned by key bucket: the per-batch key check then
+    # reads only the batch's buckets instead of every bronze key
+    key_buckets: int | None = None
 
 
 def _results_table(spark: SparkSession, schema: str) -> str:
@@ -93,6 +96,10 @@ def gate_batch(spec: StreamSpec):
                 batch, spec.expected_columns, spec.not_null_columns, spec.key_columns, spec.min_rows
             )
             n = 0
+            if passed and spec.key_buckets and spec.key_columns and not tables.table_exists(spark, spec.table, spec.schema):
+                tables.create_table_if_not_exists(
+                    spark, [f.name for f in batch.schema.fields], spec.table, spec.key_columns, spec.schema, spec.key_buckets
+                )
             if passed:
                 to_write = batch
                 if spec.key_columns and tables.table_exists(spark, spec.table, spec.schema):

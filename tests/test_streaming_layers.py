@@ -173,3 +173,15 @@ def test_merge_into_silver_incremental(spark):
     after = {d: sorted(os.listdir(os.path.join(loc, d))) for d in os.listdir(loc) if d.startswith("_key_bucket=")}
     changed = {d for d in after if after[d] != before.get(d)}
     assert len(changed) == 1  # only the bucket of the new key 3 got a file
+
+
+def test_incremental_promotion_bucketed(spark, tmp_root):
+    root = f"{tmp_root}/lake"
+    spec = incremental.StreamSpec("b", "pedidos_b", "bronze_b", ["id", "name"], ["id"], ["id"], order_by=["id"], key_buckets=4)
+    tables.drop_table_if_exists(spark, "pedidos_b", "bronze_b")
+    ckpt = f"{tmp_root}/ckpt"
+    landing.write_landing(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA).coalesce(1), paths.build_landing_path(root, "erp", "p", dt.date(2024, 1, 1), "r1"))
+    landing.write_landing(spark.createDataFrame([(2, "b"), (3, "c")], SCHEMA).coalesce(1), paths.build_landing_path(root, "erp", "p", dt.date(2024, 1, 2), "r1"))
+    incremental.run_available_now(spark, f"{root}/erp/p", SCHEMA, spec, checkpoint_location=ckpt, max_files_per_trigger=1, timeout_seconds=120)
+    assert tables.table_properties(spark, "pedidos_b", "bronze_b")[tables.BUCKETS_PROPERTY] == "4"
+    assert sorted(r.id for r in spark.table("bronze_b.pedidos_b").collect()) == ["1", "2", "3"]
