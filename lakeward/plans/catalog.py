@@ -123,7 +123,8 @@ def q_bronze_promotion(spark, sf_dir):
     _land_orders_day(spark, sf_dir, root)
     schema = _scratch_schema(spark)
     res = layers.promote_landing_to_bronze(
-        spark, root, "erp", "orders", FLOW_DAY, "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], "run-20240101"
+        spark, root, "erp", "orders", FLOW_DAY, "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], "run-20240101",
+        key_buckets=16,
     )
     if not res.passed:
         raise RuntimeError(f"promotion blocked: {res.results}")

@@ -51,11 +51,14 @@ def promote_landing_to_bronze(
     min_rows: int = 1,
     contract=None,
     results_table: str | None = None,
+    key_buckets: int | None = None,
 ) -> PromotionResult:
     """Read the day (strict concat), run the suite in one job, and only when
     every check passes append the rows with bronze metadata (ingest time,
     run id, source file, schema hash).  ``results_table`` keeps the check
     results of every promotion (passed or not) in the same schema.
+    ``key_buckets`` creates a new bronze table partitioned by a bucket of
+    ``key_columns``, so later upserts and key checks stay bucket-local.
 
     The check job reads only the columns the checks need; the write scans
     the files again (column pruning makes the first scan cheap, and nothing
@@ -68,6 +71,8 @@ def promote_landing_to_bronze(
         log.warning("Promotion of %s/%s %s blocked: %s", source, entity, run_date, [r for r in results if not r.passed])
         return PromotionResult(False, results, files, 0)
     with_meta = records.add_bronze_metadata(df, run_id, F.col("_metadata.file_path"))
+    if key_buckets and key_columns and not tables.table_exists(spark, table, schema):
+        tables.create_table_if_not_exists(spark, with_meta.columns, table, key_columns, schema, key_buckets)
     n = tables.insert_data(spark, with_meta, table, schema=schema)
     return PromotionResult(True, results, files, n)
 
