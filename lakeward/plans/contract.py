@@ -102,12 +102,16 @@ def _footer_ddl(batches):
     for pdf in batches:
         ddl, rows = [], []
         for p in pdf["path"]:
-            fs, inner = _local_or_uri(p)
-            with fs.open_input_file(inner) as fh:
-                meta = pq.ParquetFile(fh).metadata
-                schema = meta.schema.to_arrow_schema()
-            ddl.append(",".join(f"{f.name}:{_arrow_to_spark(f.type)}" for f in schema))
-            rows.append(meta.num_rows)
+            try:
+                fs, inner = _local_or_uri(p)
+                with fs.open_input_file(inner) as fh:
+                    meta = pq.ParquetFile(fh).metadata
+                    schema = meta.schema.to_arrow_schema()
+                ddl.append(",".join(f"{f.name}:{_arrow_to_spark(f.type)}" for f in schema))
+                rows.append(meta.num_rows)
+            except Exception as exc:  # the file then does not conform
+                ddl.append(f"unreadable footer ({type(exc).__name__}: {exc})")
+                rows.append(None)
         yield pd.DataFrame({"path": pdf["path"], "ddl": ddl, "footer_rows": rows})
 
 

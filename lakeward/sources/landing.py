@@ -94,12 +94,13 @@ def _footer_schemas(batches):
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            fs, inner = _local_or_uri(p)
-            with fs.open_input_file(inner) as fh:
-                schema = pq.read_schema(fh)
-            out.append(
-                ", ".join(f"{f.name}: {f.type}" for f in schema)
-            )
+            try:
+                fs, inner = _local_or_uri(p)
+                with fs.open_input_file(inner) as fh:
+                    schema = pq.read_schema(fh)
+                out.append(", ".join(f"{f.name}: {f.type}" for f in schema))
+            except Exception as exc:  # reported per file by the caller
+                out.append(f"unreadable footer ({type(exc).__name__}: {exc})")
         yield pd.DataFrame({"path": pdf["path"], "schema": out})
 
 

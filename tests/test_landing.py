@@ -152,3 +152,16 @@ def test_latest_runs_per_day(spark, tmp_root):
     assert runs == {d1: "rerun", d2: "a"}
     _, df = landing.load_latest(spark, tmp_root, "s", "l", d1, d2)
     assert sorted(r.id for r in df.collect()) == [2, 3]
+
+
+def test_unreadable_file_is_reported(spark, tmp_root):
+    import os
+
+    day = dt.date(2024, 8, 1)
+    landing.write_landing(spark.createDataFrame([(1,)], "id long").coalesce(1), paths.build_landing_path(tmp_root, "s", "u", day, "r1"))
+    bad_dir = f"{tmp_root}/s/u/2024/08/01/r2.parquet"
+    os.makedirs(bad_dir)
+    with open(f"{bad_dir}/part-0.parquet", "wb") as fh:
+        fh.write(b"not parquet at all")
+    with pytest.raises(ValueError, match="unreadable footer"):
+        landing.load_landing(spark, tmp_root, "s", "u", day)
