@@ -32,6 +32,10 @@ SCALE_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # materialised batches (DataFrame.checkpoint) are removed from the shared
+    # folder once nothing references them; long-running streams would
+    # otherwise accumulate one per micro-batch
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
