@@ -124,7 +124,7 @@ def q_bronze_promotion(spark, sf_dir):
     schema = _scratch_schema(spark)
     res = layers.promote_landing_to_bronze(
         spark, root, "erp", "orders", FLOW_DAY, "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], "run-20240101",
-        key_buckets=16,
+        key_buckets=4,
     )
     if not res.passed:
         raise RuntimeError(f"promotion blocked: {res.results}")
@@ -141,7 +141,7 @@ def q_incremental_bronze(spark, sf_dir):
     schema = _scratch_schema(spark)
     landed = _t(spark, sf_dir, "orders").select(*BRONZE_COLUMNS).schema
     spec = incremental.StreamSpec(
-        "orders", "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], order_by=["o_orderdate"], key_buckets=16
+        "orders", "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], order_by=["o_orderdate"], key_buckets=4
     )
     # one file per trigger: every landed file is its own gated micro-batch,
     # and later batches are de-duplicated against what earlier ones wrote
@@ -231,7 +231,7 @@ def q_upsert_table(spark, sf_dir):
     touches are read and rewritten (staged, then swapped in)."""
     schema = _scratch_schema(spark)
     target, batch = _customer_summaries(spark, sf_dir)
-    tables.create_table_if_not_exists(spark, target.columns, "customer_summary", ["o_custkey"], schema, key_buckets=16)
+    tables.create_table_if_not_exists(spark, target.columns, "customer_summary", ["o_custkey"], schema, key_buckets=4)
     tables.insert_data(spark, target, "customer_summary", schema=schema)
     tables.insert_data(spark, batch, "customer_summary", conflict_fields=["o_custkey"], schema=schema)
     return spark.table(tables.fq_name("customer_summary", schema)).drop(tables.KEY_BUCKET_COLUMN)
