@@ -103,6 +103,19 @@ def name_violations(objects: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def catalog_objects(spark: SparkSession, schemas: list[str] | None = None) -> DataFrame:
+    """The live catalog as ``(schema_name, object_name, object_type)`` for
+    :func:`name_violations` (metadata only; one row per table or view)."""
+    names = schemas or [d.name for d in spark.catalog.listDatabases()]
+    rows = []
+    for db in names:
+        for t in spark.catalog.listTables(db):
+            if t.isTemporary:
+                continue
+            rows.append((db, t.name, "view" if (t.tableType or "").upper() == "VIEW" else "table"))
+    return spark.createDataFrame(rows, "schema_name string, object_name string, object_type string")
+
+
 def tag_violations(pipelines: DataFrame) -> DataFrame:
     """Tag rules over ``(pipeline_id, tags ARRAY<STRING>)``: every tag is
     ``{dimension}:{snake_value}`` with a known dimension, and a ``sistema``

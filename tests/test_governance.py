@@ -141,3 +141,15 @@ def test_lineage_closure_cycle_and_diamonds(spark):
     e = spark.createDataFrame(edges, "src string, dst string")
     got = {(r.src, r.dst): r.depth for r in g.lineage_closure(spark, e, max_depth=40).collect()}
     assert got[("n0", "n6")] == 12 and got[("n6", "n6")] == 13
+
+
+def test_name_lint_on_live_catalog(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS `002_slv_lint_demo`")
+    spark.sql("CREATE TABLE IF NOT EXISTS `002_slv_lint_demo`.itens (a STRING) USING parquet")
+    spark.sql("CREATE TABLE IF NOT EXISTS `002_slv_lint_demo`.slv_itens (a STRING) USING parquet")
+    spark.sql("CREATE OR REPLACE VIEW `002_slv_lint_demo`.vw_itens_mes AS SELECT * FROM `002_slv_lint_demo`.itens")
+    objs = g.catalog_objects(spark, ["002_slv_lint_demo"])
+    assert sorted((r.object_name, r.object_type) for r in objs.collect()) == [
+        ("itens", "table"), ("slv_itens", "table"), ("vw_itens_mes", "view")
+    ]
+    assert [(r.object_name, r.rule) for r in g.name_violations(objs).collect()] == [("slv_itens", "table_has_layer_prefix")]
