@@ -162,6 +162,47 @@ def model_classification(columns: DataFrame) -> DataFrame:
     )
 
 
+# Schema prefixes of the layers.  Model metadata lives in table
+# properties under ``lakeward.`` (Spark reserves a bare ``owner``).
+LAYER_BY_PREFIX = {"000_ref": "reference", "001_bnz": "bronze", "002_slv": "silver", "003_gld": "gold"}
+MODEL_PROPERTIES = ("owner", "origin", "classification", "business_question")
+PROPERTY_PREFIX = "lakeward."
+
+
+def catalog_documentation(spark: SparkSession, schemas: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(models, columns)`` for :func:`documentation_violations`, read from
+    the live catalog: table comments and properties (``owner``, ``origin``,
+    ``classification``, ``business_question``, each under ``lakeward.``;
+    ``lakeward.calculation_rule.{column}`` marks a calculated column) and
+    column comments, i.e. what :func:`lakeward.plans.tables.apply_comments`
+    and table properties record.  Metadata only; one row per table and per
+    column."""
+    models, cols = [], []
+    for db in schemas:
+        layer = next((v for k, v in LAYER_BY_PREFIX.items() if db.startswith(k + "_")), None)
+        for t in spark.catalog.listTables(db):
+            if t.isTemporary:
+                continue
+            name = f"{db}.{t.name}"
+            props = {
+                r["key"]: r["value"]
+                for r in spark.sql(f"SHOW TBLPROPERTIES `{db}`.`{t.name}`").collect()
+            }
+            models.append((name, layer, t.description, *[props.get(PROPERTY_PREFIX + k) for k in MODEL_PROPERTIES]))
+            for c in spark.catalog.listColumns(t.name, db):
+                rule_key = f"{PROPERTY_PREFIX}calculation_rule.{c.name}"
+                cols.append((name, c.name, c.description, props.get(rule_key), rule_key in props))
+    m = spark.createDataFrame(
+        models,
+        "model string, layer string, description string, owner string, origin string, "
+        "classification string, business_question string",
+    )
+    c = spark.createDataFrame(
+        cols, "model string, column string, description string, calculation_rule string, is_calculated boolean"
+    )
+    return m, c
+
+
 def documentation_violations(models: DataFrame, columns: DataFrame) -> DataFrame:
     """Documentation rules by layer.
 

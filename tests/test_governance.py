@@ -153,3 +153,18 @@ def test_name_lint_on_live_catalog(spark):
         ("itens", "table"), ("slv_itens", "table"), ("vw_itens_mes", "view")
     ]
     assert [(r.object_name, r.rule) for r in g.name_violations(objs).collect()] == [("slv_itens", "table_has_layer_prefix")]
+
+
+def test_documentation_from_live_catalog(spark):
+    from lakeward.plans import tables
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS `002_slv_docs_demo`")
+    spark.sql("CREATE TABLE IF NOT EXISTS `002_slv_docs_demo`.itens (codigo STRING, valor STRING) USING parquet")
+    tables.apply_comments(spark, "002_slv_docs_demo", "itens", "items per month", {"codigo": "item code"})
+    spark.sql(
+        "ALTER TABLE `002_slv_docs_demo`.itens SET TBLPROPERTIES "
+        "('lakeward.owner' = 'team_a', 'lakeward.origin' = 'siads', 'lakeward.classification' = 'interno')"
+    )
+    models, cols = g.catalog_documentation(spark, ["002_slv_docs_demo"])
+    got = sorted((r.column or "", r.rule) for r in g.documentation_violations(models, cols).collect())
+    assert got == [("valor", "column_description")]
