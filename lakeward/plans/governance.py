@@ -189,7 +189,7 @@ def catalog_documentation(spark: SparkSession, schemas: list[str]) -> tuple[Data
                 for r in spark.sql(f"SHOW TBLPROPERTIES `{db}`.`{t.name}`").collect()
             }
             models.append((name, layer, t.description, *[props.get(PROPERTY_PREFIX + k) for k in MODEL_PROPERTIES]))
-            for c in spark.catalog.listColumns(t.name, db):
+            for c in spark.catalog.listColumns(f"`{db}`.`{t.name}`"):
                 rule_key = f"{PROPERTY_PREFIX}calculation_rule.{c.name}"
                 cols.append((name, c.name, c.description, props.get(rule_key), rule_key in props))
     m = spark.createDataFrame(
