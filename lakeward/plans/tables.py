@@ -6,6 +6,12 @@ while they are being read, so every rewrite is *staged*: the new content is
 written once under the shared folder, checked, and then swapped in with an
 ``INSERT OVERWRITE`` that reads the staged files.  Readers are not isolated
 during the swap (no table format with snapshots is assumed).
+
+Tables created with ``key_buckets`` are partitioned by a hash bucket of the
+primary key; upserts, uniqueness checks and load de-duplication then read
+and rewrite only the buckets the incoming rows touch (:func:`bucket_scope`).
+A batch that is read several times (upserts, checked appends) is
+materialised once in the checkpoint folder.
 """
 
 from __future__ import annotations
