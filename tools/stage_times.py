@@ -1,7 +1,10 @@
 """Summarise a Spark event log: per job group (query) the wall time of each
 stage, its task count and the longest vs median task (a skew signal).
 
-    python tools/stage_times.py <event log file or folder> [--top N]
+    python tools/stage_times.py <event log file or folder> [--top N] [--by-group]
+
+``--by-group`` sums stage time per job group (bench queries are named
+``{query}#{attempt}``; a stream's micro-batches run under its run id).
 """
 
 from __future__ import annotations
@@ -73,6 +76,15 @@ def main() -> None:
         t = tasks.get(sid) or [0.0]
         rows.append((info["secs"], stage_group.get(sid, "-"), sid, info["tasks"], max(t), statistics.median(t), info["name"]))
     rows.sort(reverse=True)
+    if "--by-group" in sys.argv:
+        totals: dict[str, list[float]] = defaultdict(lambda: [0.0, 0])
+        for secs, group, *_ in rows:
+            totals[group][0] += secs
+            totals[group][1] += 1
+        print(f"{'secs':>7} {'stages':>6}  group")
+        for group, (secs, n) in sorted(totals.items(), key=lambda kv: -kv[1][0])[:top]:
+            print(f"{secs:7.2f} {n:6d}  {group}")
+        return
     print(f"{'secs':>6} {'group':24} {'stage':>5} {'tasks':>5} {'max_task':>8} {'median':>7}  name")
     for secs, group, sid, n, mx, med, name in rows[:top]:
         print(f"{secs:6.2f} {group[:24]:24} {sid:5d} {n:5d} {mx:8.2f} {med:7.2f}  {name}")
