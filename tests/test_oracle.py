@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from lakeward.plans.catalog import QUERIES
+from lakeward.plans.oracle import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -41,10 +43,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(se.queries()) == set(se.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -61,6 +63,4 @@ def test_entry(spark):
 
 
 def test_every_query_is_documented():
-    from lakeward.plans.catalog import QUERIES
-
     assert all(fn.__doc__ and fn.__doc__.strip() for fn in QUERIES.values())
