@@ -7,13 +7,13 @@ set at 0.8).  Three orders are used: each puts the shingles that most documents
 hold last, and otherwise sorts by a hash of its own.  A candidate must share a
 prefix shingle in all three before its sets are compared.
 
-Candidates are not all pairs of a shingle's documents.  Where documents share a
-prefix shingle, a task compares them with one of their own (the least key), and
-the buckets compare those of the tasks with each other.  What this verifies is
-joined into components; then pairs of a shingle's documents that are still in
+Candidates are not all pairs of a shingle's documents.  First, where documents
+share a prefix shingle, a few of them are centres and the others are compared
+with those; what this verifies is joined into components, and the next round
+takes other centres.  Then pairs of a shingle's documents that are still in
 different components, and only those, are tested.  A pair within a component
 needs no test, so no link between components is missed and components are
-exact, while a group of near copies costs a row per member.
+exact, while a group of near copies costs a few rows per member.
 
 Nodes are distinct texts, named by 64 bits.  Texts without words have an empty
 set and link with nothing, a null text is empty, copies and repeated rows share
@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +38,16 @@ from .texts import Folder, keyed, partitions, text_key
 SHINGLE = 5
 MIN_PERCENT = 80
 #: Shingles put last in every order: at most so many, by document frequency.
-MAX_COMMON = 1 << 16
+MAX_COMMON = 1 << 18
 #: A task reports a shingle that so many of its held documents have.
-LOCAL_COMMON = 4
+LOCAL_COMMON = 3
 FLUSH = 1 << 22
 ORDERS = 3
 #: Rounds of stars at most, and centres a shingle takes in each.
-STAR_ROUNDS = 4
-PIVOTS = 8
+STAR_ROUNDS = 2
+PIVOTS = 4  # one in the first round
+#: A shingle with more texts takes them all as nodes, without a test.
+MANY = 512
 
 _WORDS = V.Polynomial(5)
 _POLY = V.Polynomial(6)
@@ -141,38 +142,42 @@ def _sizes(size: int):
     return run
 
 
-SENT = "bucket int, low binary, x1 binary, at binary, shared boolean"
+SENT = "bucket int, low binary, x1 binary, at binary, n binary, shared boolean"
 
 
 def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int):
-    """Tasks: prefix shingles of their distinct texts in the first order.  A
-    shingle that several of them have goes to its bucket with the least key
-    only; all its holders follow as a row that is known to be shared."""
+    """Tasks: prefix shingles of their distinct texts in the first order, with
+    their positions.  A shingle that several of them have goes to its bucket
+    once; all its holders follow as a row that is known to be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, total = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            shingles, x1, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            shingles, x1, at, n = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((x1, shingles))
-            shingles, x1, at = shingles[order], x1[order], at[order].astype(np.uint32)
+            shingles, x1, at, n = shingles[order], x1[order], at[order], n[order]
             same = shingles[1:] == shingles[:-1]
             later = np.concatenate([[False], same])
             several = later | np.concatenate([same, [False]])
             bucket = ((shingles >> V.U(32)) * V.U(buckets) >> V.U(32)).astype(np.int64)
+            low = shingles.astype(np.uint32)
             for chosen, shared in ((~later, False), (several, True)):
-                b, low, x, i = bucket[chosen], shingles[chosen].astype(np.uint32), x1[chosen], at[chosen]
-                cuts = np.searchsorted(b, np.arange(buckets + 1))
+                values = [v[chosen] for v in (low, x1, at, n)]
+                cuts = np.searchsorted(bucket[chosen], np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cuts))
-                cells = [[v[cuts[k] : cuts[k + 1]].tobytes() for k in full] for v in (low, x, i)]
+                cells = [[v[cuts[k] : cuts[k + 1]] for k in full] for v in values]
+                cells = [[v.tobytes() for v in c] for c in cells[:2]] + [
+                    [V.narrow(v).tobytes() for v in c] for c in cells[2:]
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full.astype(np.int32)),
                         *(pa.array(c, pa.binary()) for c in cells),
                         pa.array(np.full(len(full), shared)),
                     ],
-                    ["bucket", "low", "x1", "at", "shared"],
+                    ["bucket", "low", "x1", "at", "n", "shared"],
                 )
 
         for batch in batches:
@@ -183,7 +188,7 @@ def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int
             for a, b, data, offsets in V.blocks(rows.column(1), 1 << 20):
                 hashes, bounds = shingle_sets(data, offsets, size)
                 row, shingle, at = prefixes(hashes, bounds, 0, common, min_percent)
-                held.append((shingle, names[a:b][row], at))
+                held.append((shingle, names[a:b][row], at, np.diff(bounds)[row]))
                 total += len(row)
             if total >= FLUSH:
                 yield from flush()
@@ -194,39 +199,34 @@ def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int
     return run
 
 
-SHARED = "token long, pivot long, x1 long, at long"
+SHARED = "token long, x1 long, at long, n long"
 
 
 def _meet(key: tuple, table: pa.Table) -> pa.Table:
-    """A bucket: (shingle, least key, key, its position) where texts meet."""
-    out = []
-    for shared in (False, True):
-        part = table.filter(pc.equal(table.column("shared"), shared))
-        kinds = {"low": np.uint32, "x1": np.int64, "at": np.uint32}
-        rows = [
-            tuple(np.frombuffer(c.as_buffer(), k) for c, k in zip(cells, kinds.values(), strict=True))
-            for cells in zip(*(part.column(n) for n in kinds), strict=True)
-        ]
+    """A bucket: (shingle, text, position, set size) where texts meet."""
+    parts: dict[bool, list] = {False: [], True: []}
+    for low, x, i, m, shared in zip(*(table.column(c) for c in ("low", "x1", "at", "n", "shared")), strict=True):
+        x1 = np.frombuffer(x.as_buffer(), np.int64)
+        parts[shared.as_py()].append(
+            (np.frombuffer(low.as_buffer(), np.uint32), x1, V.wide(i, len(x1)), V.wide(m, len(x1)))
+        )
+    out = [np.zeros((0, 4), np.int64)]
+    for shared, rows in parts.items():
         if not rows:
             continue
-        # stars of the tasks keep their own centre; across tasks there is one
-        groups = rows if shared else [tuple(np.concatenate(x) for x in zip(*rows, strict=True))]
-        for low, x1, at in groups:
-            order = np.lexsort((at, x1, low))
-            low, x1, at = low[order], x1[order], at[order]
-            new = np.ones(len(low), bool)
-            new[1:] = (low[1:] != low[:-1]) | (x1[1:] != x1[:-1])
-            low, x1, at = low[new], x1[new], at[new]
-            first = np.ones(len(low), bool)
-            first[1:] = low[1:] != low[:-1]
-            start = np.flatnonzero(first)
-            count = np.diff(np.concatenate([start, [len(low)]]))
-            many = np.repeat(count > 1, count)
-            pivot = np.repeat(x1[start], count)
-            out.append((low[many], pivot[many], x1[many], at[many]))
-    low, pivot, x1, at = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
-    token = low.astype(np.int64) | key[0].as_py() << 32
-    return pa.table({"token": token, "pivot": pivot, "x1": x1, "at": at.astype(np.int64)})
+        low, x1, at, n = (np.concatenate(x) for x in zip(*rows, strict=True))
+        order = np.lexsort((x1, low))
+        low, x1, at, n = low[order], x1[order], at[order], n[order]
+        new = np.ones(len(low), bool)  # a text may come from several tasks
+        new[1:] = (low[1:] != low[:-1]) | (x1[1:] != x1[:-1])
+        low, x1, at, n = low[new], x1[new], at[new], n[new]
+        if not shared:
+            same = low[1:] == low[:-1]
+            many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            low, x1, at, n = low[many], x1[many], at[many], n[many]
+        out.append(np.column_stack([low.astype(np.int64) | key[0].as_py() << 32, x1, at, n]))
+    found = np.unique(np.concatenate(out), axis=0)
+    return pa.table({c: found[:, i] for i, c in enumerate(("token", "x1", "at", "n"))})
 
 
 SETS = "x1 long, n long, shingles binary, prefixes binary"
@@ -302,7 +302,10 @@ def _verify(min_percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """The linked ones of candidate ``pairs`` (a, b)."""
+    """The linked ones of candidate ``pairs`` (a, b).  Only sets of texts in a
+    pair are moved."""
+    named = pairs.select(F.col("a").alias("x1")).union(pairs.select("b")).distinct()
+    sets = sets.join(named, "x1", "left_semi")
     left = sets.select(F.col("x1").alias("a"), F.col("shingles").alias("sa"), F.col("prefixes").alias("pa"))
     right = sets.select(F.col("x1").alias("b"), F.col("shingles").alias("sb"), F.col("prefixes").alias("pb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb", "pa", "pb")
@@ -319,6 +322,35 @@ def _possible(n, at, m, other, min_percent):
     return (np.minimum(n - at, m - other) >= need) & (100 * np.minimum(n, m) >= min_percent * np.maximum(n, m))
 
 
+def _groups(table: pa.Table, *columns: str) -> Iterator[tuple]:
+    """(shingle, columns...) of every shingle in a table, texts by set size."""
+    token, x1, n = (table.column(c).to_numpy() for c in ("token", "x1", "n"))
+    order = np.lexsort((x1, n, token))
+    token, values = token[order], [table.column(c).to_numpy()[order] for c in columns]
+    cuts = np.flatnonzero(np.diff(token)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(token)], strict=True):
+        if hi > lo:
+            yield int(token[lo]), *(v[lo:hi] for v in values)
+
+
+def _nodes(min_percent: int):
+    """Texts with a possible partner for some shingle; all texts of a shingle
+    that very many have."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)]
+        for _, x1, n, at in _groups(table, "x1", "n", "at"):
+            keep = np.full(len(x1), len(x1) > MANY)
+            for i in range(len(x1) if len(x1) <= MANY else 0):
+                can = _possible(n[i], at[i], n[i + 1 :], at[i + 1 :], min_percent)
+                keep[i + 1 :] |= can
+                keep[i] |= can.any()
+            found.append(x1[keep])
+        return pa.table({"x1": np.unique(np.concatenate(found))})
+
+    return run
+
+
 def _between(min_percent: int, turn: int):
     """Per shingle: pairs of different components that can link with it as the
     first shared shingle.  At turn 0 all of them; else only those with a few
@@ -326,35 +358,46 @@ def _between(min_percent: int, turn: int):
 
     def of(token: int, x1, root, n, at) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if not turn:
-            order = np.argsort(n, kind="stable")
-            x1, root, n, at = x1[order], root[order], n[order], at[order]
             upto = np.searchsorted(n, n * 100 // min_percent, "right")
             firsts = [(i, np.arange(i + 1, upto[i])) for i in range(len(x1))]
         else:
             names, counts = np.unique(root, return_counts=True)
-            largest = np.flatnonzero(root == names[np.argmax(counts)])
-            salt = V.mix64(np.array([token], np.int64).view(V.U) + V.U(turn))
+            largest = np.flatnonzero(root == names[np.argmax(counts)]) if counts.max() > 1 else np.arange(len(x1))
+            # at first the same centre for all shingles of a group of copies
+            salt = V.mix64(np.array([token if turn > 1 else 0], np.int64).view(V.U) + V.U(turn))
             dealt = V.mix64(x1[largest].view(V.U) ^ salt)
-            firsts = [(i, np.arange(len(x1))) for i in largest[np.argsort(dealt)[:PIVOTS]]]
+            chosen = largest[np.argsort(dealt)[: PIVOTS if turn > 1 else 1]]
+            firsts = [(i, np.arange(len(x1))) for i in chosen]
         for i, others in firsts:
             others = others[(root[others] != root[i]) & _possible(n[i], at[i], n[others], at[others], min_percent)]
             if len(others):
                 yield np.full(len(others), x1[i]), x1[others]
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        token, x1, root, n, at = (table.column(c).to_numpy() for c in ("token", "x1", "root", "n", "at"))
-        order = np.lexsort((x1, token))
-        token, x1, root, n, at = token[order], x1[order], root[order], n[order], at[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            out += of(int(token[lo]), x1[lo:hi], root[lo:hi], n[lo:hi], at[lo:hi])
+        for group in _groups(table, "x1", "root", "n", "at"):
+            out += of(*group)
         a, b = (np.concatenate(v) for v in zip(*out, strict=True))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
 
 
+def _merged(roots: DataFrame, links: DataFrame, folder: Folder, turn: int) -> DataFrame:
+    """Components after new ``links``, found on the components so far: many
+    links between two components are one edge."""
+    left = roots.select(F.col("id").alias("a"), F.col("root").alias("ra"))
+    right = roots.select(F.col("id").alias("b"), F.col("root").alias("rb"))
+    edges = links.join(left, "a", "left").join(right, "b", "left")
+    edges = edges.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+    joined = connected_components(edges, folder, f"merge-{turn}").withColumnRenamed("root", "top")
+    old = roots.join(joined.withColumnRenamed("id", "root"), "root", "left")
+    new = joined.join(roots.select("id"), "id", "left_anti")
+    both = old.select("id", F.coalesce("top", "root").alias("root")).union(new.select("id", "top"))
+    return folder.keep(both, f"roots-{turn}")
+
+
 def similar_documents(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -376,33 +419,32 @@ def similar_documents(
 
     sent = rows.select("x1", "text").mapInArrow(_send_prefixes(shingle, min_percent, common, buckets), SENT)
     shared = folder.keep(sent.groupBy("bucket").applyInArrow(_meet, SHARED), "shared")
-    stars = shared.filter("pivot <> x1").select(F.col("pivot").alias("a"), F.col("x1").alias("b")).distinct()
-    pairs = folder.keep(stars, "pairs")
-    nodes = pairs.select(F.col("a").alias("x1")).union(pairs.select("b")).distinct()
+    bucket = F.shiftright("token", 32).alias("bucket")
+    nodes = shared.select("*", bucket).groupBy("bucket").applyInArrow(_nodes(min_percent), "x1 long").distinct()
     x1, _ = text_key(text_col)
     texts = docs.select(x1.alias("x1"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.groupBy("x1").agg(F.first("text").alias("text")).join(nodes, "x1")
     sets = folder.keep(texts.select("x1", "text").mapInArrow(_sets(shingle, min_percent, common), SETS), "sets")
+    meetings = folder.keep(shared.join(sets.select("x1"), "x1"), "meetings")
 
-    links = folder.keep(verified(pairs, sets, min_percent), "links")
-    roots = connected_components(links, folder, "roots-0")
-    # more stars while they still link, then every pair that is left between components
-    turn, last = 1, False
+    # stars while they link, then every pair that is left between components
+    tested = spark.createDataFrame([], CROSS)
+    roots = spark.createDataFrame([], "id long, root long")
+    turn, last, joined = 1, False, True
     while not last:
-        last = turn > STAR_ROUNDS or turn > 1 and not joined
-        sizes = sets.select("x1", "n").join(roots.withColumnRenamed("id", "x1"), "x1", "left")
-        sizes = folder.keep(sizes.withColumn("root", F.coalesce("root", "x1")), f"sizes-{turn}")
-        held = shared.groupBy("token", "x1").agg(F.min("at").alias("at")).join(sizes, "x1")
+        last = turn > STAR_ROUNDS or not joined
+        held = meetings.join(roots.withColumnRenamed("id", "x1"), "x1", "left")
+        held = folder.keep(held.withColumn("root", F.coalesce("root", "x1")), f"held-{turn}")
         apart = held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-        split = held.join(apart.select("token"), "token", "left_semi").withColumn("bucket", F.shiftright("token", 32))
+        split = held.join(apart.select("token"), "token", "left_semi").select("*", bucket)
         step = _between(min_percent, 0 if last else turn)
         found = split.groupBy("bucket").applyInArrow(step, CROSS).distinct()
-        fresh = folder.keep(found.join(pairs, ["a", "b"], "left_anti"), f"pairs-{turn}")
+        fresh = folder.keep(found.join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
         more = folder.keep(verified(fresh, sets, min_percent), f"links-{turn}")
         joined = not more.isEmpty()
         if joined:
-            pairs, links = pairs.union(fresh), links.union(more)
-            roots = connected_components(links, folder, f"roots-{turn}")
+            tested = tested.union(fresh)
+            roots = _merged(roots, more, folder, turn)
         turn += 1
 
     firsts = plain.filter("n > 0").groupBy("x1").agg(F.min("doc_id").alias("first"))

@@ -81,15 +81,6 @@ class ByteUnits(Windows):
         return _BYTES.values[data], offsets, at, at + 1
 
 
-def _narrow(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.uint16 if not len(values) or int(values.max()) < 1 << 16 else np.uint32)
-
-
-def _wide(data: pa.Scalar, n: int) -> np.ndarray:
-    raw = data.as_buffer()
-    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype(np.int64)
-
-
 def _positions_by_text(x1: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     order = np.lexsort((pos, x1))
     x1, pos = x1[order], pos[order]
@@ -113,7 +104,7 @@ def _send_anchors(windows: Windows, buckets: int):
 
         def row(bucket: int, hashes, x1, pos) -> pa.RecordBatch:
             cells = [pa.array([bucket], pa.int32())]
-            cells += [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (hashes, x1, _narrow(pos))]
+            cells += [pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (hashes, x1, V.narrow(pos))]
             return pa.RecordBatch.from_arrays(cells, ["bucket", "hashes", "x1", "pos"])
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -164,7 +155,7 @@ def _find_anchors(key: tuple, table: pa.Table) -> pa.Table:
     parts = []
     for h, x, p in zip(table.column("hashes"), table.column("x1"), table.column("pos"), strict=True):
         x1 = np.frombuffer(x.as_buffer(), np.int64)
-        parts.append((np.frombuffer(h.as_buffer(), np.uint32), x1, _wide(p, len(x1))))
+        parts.append((np.frombuffer(h.as_buffer(), np.uint32), x1, V.wide(p, len(x1))))
     x1, pos = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
     if key[0].as_py() >= 0:
         hashes = np.concatenate([p[0] for p in parts])

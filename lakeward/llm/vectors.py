@@ -162,6 +162,17 @@ def covered(positions: np.ndarray, length: int, total: int) -> np.ndarray:
     return flags
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Non-negative numbers below 2**32 in 16 bits each if they fit, else 32."""
+    return values.astype(np.uint16 if not len(values) or int(values.max()) < 1 << 16 else np.uint32)
+
+
+def wide(cell: pa.Scalar, n: int) -> np.ndarray:
+    """``n`` numbers of a binary cell that ``narrow`` made."""
+    raw = cell.as_buffer()
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32).astype(np.int64)
+
+
 def binary_array(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """Binary cells of the bytes of ``values[cuts[i]:cuts[i + 1]]``."""
     values = np.ascontiguousarray(values)
