@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm import decontamination, jaccard, packing, quality, substrings
-from lakeward.llm.texts import Folder, text_key
+from lakeward.llm.texts import Folder, text_key, without_keys
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the divergence limits.  Verdicts
     are joined back by id and text, so rows that repeat an id stay apart."""
     named = docs.withColumn("__key", F.struct("doc_id", *text_key("text")))
-    verdicts = quality.judge(named, id_col="__key").filter(~F.col("kept")).select("__key").distinct()
-    return named.join(verdicts, "__key", "left_anti").select(*docs.columns)
+    rejected = quality.judge(named, id_col="__key").filter(~F.col("kept")).select("__key").distinct()
+    rejected = Folder(spark, "rejected").keep(rejected, "keys")
+    return without_keys(named, rejected, ["__key"]).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

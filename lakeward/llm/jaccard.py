@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import vectors as V
 from .components import connected_components
-from .texts import Folder, keyed, partitions, text_key
+from .texts import Folder, keyed, mark_possible, partitions, text_key, without_keys
 
 SHINGLE = 5
 MIN_PERCENT = 80
@@ -302,10 +302,10 @@ def _verify(min_percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """The linked ones of candidate ``pairs`` (a, b).  Only sets of texts in a
-    pair are moved."""
+    """The linked ones of candidate ``pairs`` (a, b).  Sets that are surely in
+    no pair are not moved."""
     named = pairs.select(F.col("a").alias("x1")).union(pairs.select("b")).distinct()
-    sets = sets.join(named, "x1", "left_semi")
+    sets = mark_possible(sets, named, ["x1"]).filter("__possible")
     left = sets.select(F.col("x1").alias("a"), F.col("shingles").alias("sa"), F.col("prefixes").alias("pa"))
     right = sets.select(F.col("x1").alias("b"), F.col("shingles").alias("sb"), F.col("prefixes").alias("pb"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb", "pa", "pb")
@@ -422,7 +422,9 @@ def similar_documents(
     bucket = F.shiftright("token", 32).alias("bucket")
     nodes = shared.select("*", bucket).groupBy("bucket").applyInArrow(_nodes(min_percent), "x1 long").distinct()
     x1, _ = text_key(text_col)
+    nodes = folder.keep(nodes, "nodes")
     texts = docs.select(x1.alias("x1"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = mark_possible(texts, nodes, ["x1"]).filter("__possible")
     texts = texts.groupBy("x1").agg(F.first("text").alias("text")).join(nodes, "x1")
     sets = folder.keep(texts.select("x1", "text").mapInArrow(_sets(shingle, min_percent, common), SETS), "sets")
     meetings = folder.keep(shared.join(sets.select("x1"), "x1"), "meetings")
@@ -463,6 +465,6 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The row of each component that names it; the others go.  Of rows that
     repeat that id one stays; texts without words all stay."""
     found = similar_documents(docs, id_col=id_col, text_col=text_col)
-    gone = found.filter("n_shingles > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
-    return kept
+    gone = found.filter("n_shingles > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias(id_col))
+    gone = Folder(docs.sparkSession, "gone").keep(gone.distinct(), "ids")
+    return without_keys(docs, gone, [id_col])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_library
+from .urls import bloom_block, bloom_blocks, bloom_hit
 
 
 def text_key(column: Column | str) -> tuple[Column, Column]:
@@ -59,3 +60,27 @@ class Folder:
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle partitions: the caller's sizing for the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def mark_possible(rows: DataFrame, keys: DataFrame, columns: list[str], blocks: int = 1 << 14) -> DataFrame:
+    """``rows`` with ``__possible``: false only if no row of ``keys`` has the
+    same ``columns``.  A blocked Bloom filter of at most ``blocks`` rows of 68
+    bytes is broadcast, whatever the number of keys."""
+    code = F.xxhash64(*columns)
+    bloom = bloom_blocks(keys.select(code.alias("canonical")), blocks)
+    probed = rows.withColumn("__code", code).withColumn("block", bloom_block(F.col("__code"), blocks))
+    probed = probed.join(F.broadcast(bloom), "block", "left")
+    hit = F.coalesce(bloom_hit(F.col("__code")), F.lit(False))
+    return probed.withColumn("__possible", hit).select(*rows.columns, "__possible")
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` whose ``columns`` (nulls equal) are not in ``keys``; only rows
+    that pass the filter are shuffled to the exact anti-join."""
+    marked = mark_possible(rows, keys, columns)
+    listed = keys.select(*[F.col(c).alias(f"__{c}") for c in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    maybe = marked.filter("__possible").drop("__possible").join(listed, same, "left_anti")
+    return marked.filter("not __possible").drop("__possible").unionByName(maybe)

@@ -78,7 +78,7 @@ def canonical(url: Column) -> Column:
     return F.when(host != "", F.concat(host, F.regexp_replace(path_of(url), r"/+$", ""), tail))
 
 
-def _block(key: Column, blocks: int) -> Column:
+def bloom_block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
@@ -91,12 +91,20 @@ def _masks(key: Column) -> list[Column]:
     ]
 
 
+def bloom_hit(key: Column) -> Column:
+    """Whether all bits of a key are set in the joined block's words."""
+    hit = F.lit(True)
+    for i, m in enumerate(_masks(key)):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
+    return hit
+
+
 def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
     """The filter of a ``canonical`` column: (block, w0 .. w7), one row per
     block in use, hence never more than ``blocks`` rows of 68 bytes."""
     masks = [m.alias(f"m{i}") for i, m in enumerate(_masks(F.col("canonical")))]
     return (
-        listed.select(_block(F.col("canonical"), blocks).alias("block"), *masks)
+        listed.select(bloom_block(F.col("canonical"), blocks).alias("block"), *masks)
         .groupBy("block")
         .agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(8)])
     )
@@ -131,12 +139,9 @@ def filter_urls(
     ruled = parts.withColumn("rule", F.coalesce(*[F.when(fits[r.text], F.lit(r.text)) for r in longest], F.lit(None)))
     keys = listed.select(canonical(F.col("url")).alias("canonical")).dropna().distinct()
     bloom = bloom_blocks(keys, blocks)  # at most ``blocks`` rows
-    masks = _masks(F.col("canonical"))
-    hit = F.lit(True)
-    for i, m in enumerate(masks):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
+    hit = bloom_hit(F.col("canonical"))
     probed = (
-        ruled.withColumn("block", F.when(F.col("rule").isNull(), _block(F.col("canonical"), blocks)))
+        ruled.withColumn("block", F.when(F.col("rule").isNull(), bloom_block(F.col("canonical"), blocks)))
         .join(F.broadcast(bloom), "block", "left")
         .withColumn("possible", F.coalesce(hit, F.lit(False)))
         .select(id_col, "host", "path", "canonical", "rule", "possible")
