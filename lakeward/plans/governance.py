@@ -44,7 +44,7 @@ def _matches_without_deeper_folder(rel: Column, pattern: str) -> Column:
     # Text up to the end of the leftmost match: a lazy prefix before the
     # pattern finds the leftmost start, as a regex search does.
     upto = F.regexp_extract(rel, f"(?s)^.*?(?:{pattern})", 0)
-    rest = F.regexp_replace(F.substring(rel, F.length(upto) + 1, 1 << 30), "^/+", "")
+    rest = F.regexp_replace(F.substr(rel, F.length(upto) + 1), "^/+", "")
     return F.regexp_like(rel, F.lit(pattern)) & ~rest.contains("/")
 
 
@@ -62,7 +62,7 @@ def select_paths(df: DataFrame, path_column: str, selector_text: str | None, roo
     root_prefix = root if root.endswith("/") else root + "/"
     path = qcol(path_column)
     inside = path.startswith(root_prefix)
-    rel = F.substring(path, len(root_prefix) + 1, 1 << 30)
+    rel = F.substr(path, F.lit(len(root_prefix) + 1))
     if patterns:
         any_match = reduce(lambda a, b: a | b, [_matches_without_deeper_folder(rel, p) for p in patterns])
     else:
@@ -266,26 +266,36 @@ def lineage_breaks(outputs: DataFrame, inputs: DataFrame, final_layers=("gold",)
     return outputs.filter(~F.lower(F.col("layer")).isin(*final_layers)).join(consumed, "dataset", "left_anti")
 
 
-def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32) -> DataFrame:
+def lineage_closure(
+    spark: SparkSession, edges: DataFrame, max_depth: int | None = None, roots: DataFrame | None = None
+) -> DataFrame:
     """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)``
-    with the shortest depth, up to ``max_depth`` steps.
+    with the shortest depth; with ``roots`` (src), those from the roots only,
+    which is what grows with the graph and not with its square.  Steps go on
+    until no new pair is found; if ``max_depth`` is given and pairs beyond it
+    exist, ``ValueError`` is raised instead of returning a part.
 
     Semi-naive breadth-first search: each step joins only the pairs found in
     the previous step (the frontier) with the edges and keeps the pairs not
     reached before (left-anti join), so the work is bounded by the number of
     distinct pairs, however many walks a dense or cyclic graph has.  Each
     step's result is checkpointed to the shared folder, which cuts the
-    lineage (the driver loop is bounded by ``max_depth``, not by data)."""
+    lineage; steps are bounded by the longest shortest path."""
     ensure_checkpoint_dir(spark)
     e = edges.select("src", "dst").distinct().checkpoint()
-    steps = [e.withColumn("depth", F.lit(1))]
     frontier = e
+    if roots is not None:
+        begin = e.join(roots.select("src").distinct(), "src", "left_semi")
+        frontier = begin.select(*[F.col(c).alias(c) for c in ("src", "dst")]).checkpoint()  # columns of its own
+    steps = [frontier.withColumn("depth", F.lit(1))]
 
     def seen() -> DataFrame:
         # union of checkpointed steps: every branch is a shallow scan
         return reduce(lambda a, b: a.unionByName(b), [s.select("src", "dst") for s in steps])
 
-    for depth in range(2, int(max_depth) + 1):
+    depth = 1
+    while True:
+        depth += 1
         step = (
             frontier.alias("f")
             .join(e.alias("e"), F.col("f.dst") == F.col("e.src"))
@@ -296,6 +306,8 @@ def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int = 32)
         )
         if step.isEmpty():
             break
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"the lineage goes on beyond {max_depth} steps")
         steps.append(step.withColumn("depth", F.lit(depth)))
         frontier = step
     return reduce(lambda a, b: a.unionByName(b), steps)

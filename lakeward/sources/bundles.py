@@ -69,6 +69,8 @@ def decode_payload(raw: bytes) -> str | None:
     raw = bytes(raw)
     if raw.startswith(codecs.BOM_UTF8):
         text = raw.decode("utf-8-sig", errors="replace")
+    elif raw.startswith((codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE)):  # the former begins like UTF-16's
+        text = raw.decode("utf-32", errors="replace")
     elif raw.startswith(codecs.BOM_UTF16_LE) or raw.startswith(codecs.BOM_UTF16_BE):
         text = raw.decode("utf-16", errors="replace")
     else:

@@ -92,39 +92,46 @@ def _footer_schemas(batches):
     import pyarrow.parquet as pq
 
     for pdf in batches:
-        out = []
+        out, errors = [], []
         for p in pdf["path"]:
             try:
                 fs, inner = _local_or_uri(p)
                 with fs.open_input_file(inner) as fh:
                     schema = pq.read_schema(fh)
                 out.append(", ".join(f"{f.name}: {f.type}" for f in schema))
+                errors.append(None)
             except Exception as exc:  # reported per file by the caller
-                out.append(f"unreadable footer ({type(exc).__name__}: {exc})")
-        yield pd.DataFrame({"path": pdf["path"], "schema": out})
+                out.append(None)
+                errors.append(f"{type(exc).__name__}: {exc}")
+        yield pd.DataFrame({"path": pdf["path"], "schema": out, "error": errors})
 
 
 def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``(path, schema)`` for every file, read from the Parquet footers on the
-    executors (only the footer bytes are fetched)."""
+    """``(path, schema, error)`` for every file, read from the Parquet footers
+    on the executors (only the footer bytes are fetched); an unreadable footer
+    has an error and no schema."""
     ship_library(spark)
     paths = spark.createDataFrame([(f,) for f in files], "path string")
-    return paths.mapInPandas(_footer_schemas, "path string, schema string")
+    return paths.mapInPandas(_footer_schemas, "path string, schema string, error string")
 
 
 def assert_same_schema(spark: SparkSession, files: list[str]) -> None:
     """Raise ``ValueError`` unless every file has the same columns and types
-    in the same order.  Only the distinct schemas (at most two) reach the
-    driver, with one example file each."""
-    if len(files) <= 1:
+    in the same order, and every footer can be read.  Only the distinct
+    schemas (at most two) and one unreadable file reach the driver."""
+    if not files:
         return
-    distinct = (
+    read = (
         file_schemas(spark, files)
-        .groupBy("schema")
-        .agg(F.min("path").alias("example"), F.count(F.lit(1)).alias("n"))
-        .limit(2)
+        .groupBy("schema", F.col("error").isNotNull().alias("bad"))
+        .agg(F.min("path").alias("example"), F.min("error").alias("error"))
+        .orderBy(F.desc("bad"))
+        .limit(3)
         .collect()
     )
+    if read and read[0]["bad"]:
+        raise ValueError(f"Landing file {read[0]['example']} has an unreadable footer ({read[0]['error']})")
+    distinct = read[:2]
     if len(distinct) > 1:
         a, b = distinct
         raise ValueError(

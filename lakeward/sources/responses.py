@@ -66,7 +66,7 @@ def strict_payloads(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     as_array = F.try_variant_get(parsed, "$", "array<variant>")
     is_obj = F.try_variant_get(parsed, "$", "map<string,variant>").isNotNull()
     reason = (
-        F.when(~ok_status | F.col("status").isNull(), F.concat(F.lit("status "), F.col("status").cast("string")))
+        F.when(~ok_status | F.col("status").isNull(), F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("missing"))))
         .when(parsed.isNull(), F.lit("body is not JSON"))
         .when(~(is_obj | F.col("__array").isNotNull()), F.lit("JSON body is neither object nor array"))
     )

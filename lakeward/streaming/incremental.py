@@ -163,7 +163,9 @@ def run_available_now(
     q = start_incremental_promotion(
         spark, entity_root, schema, spec, checkpoint_location, True, max_files_per_trigger
     )
-    q.awaitTermination(timeout_seconds)
+    if q.awaitTermination(timeout_seconds) is False:
+        q.stop()
+        raise TimeoutError(f"stream {spec.name} had not finished after {timeout_seconds} s; it was stopped")
     if q.exception() is not None:
         raise q.exception()
     for t in (tables.fq_name(spec.table, spec.schema), f"`{spec.schema}`.`_stream_batches`"):
