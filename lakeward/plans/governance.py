@@ -266,13 +266,9 @@ def lineage_breaks(outputs: DataFrame, inputs: DataFrame, final_layers=("gold",)
     return outputs.filter(~F.lower(F.col("layer")).isin(*final_layers)).join(consumed, "dataset", "left_anti")
 
 
-def lineage_closure(
-    spark: SparkSession, edges: DataFrame, max_depth: int | None = None, roots: DataFrame | None = None
-) -> DataFrame:
+def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All ``(src, dst, depth)`` reachable pairs over ``edges (src, dst)``
-    with the shortest depth; with ``roots`` (src), those from the roots only,
-    which is what grows with the graph and not with its square.  Steps go on
-    until no new pair is found; if ``max_depth`` is given and pairs beyond it
+    with the shortest depth.  Steps go on until no new pair is found; if ``max_depth`` is given and pairs beyond it
     exist, ``ValueError`` is raised instead of returning a part.
 
     Semi-naive breadth-first search: each step joins only the pairs found in
@@ -284,9 +280,6 @@ def lineage_closure(
     ensure_checkpoint_dir(spark)
     e = edges.select("src", "dst").distinct().checkpoint()
     frontier = e
-    if roots is not None:
-        begin = e.join(roots.select("src").distinct(), "src", "left_semi")
-        frontier = begin.select(*[F.col(c).alias(c) for c in ("src", "dst")]).checkpoint()  # columns of its own
     steps = [frontier.withColumn("depth", F.lit(1))]
 
     def seen() -> DataFrame:
