@@ -33,7 +33,7 @@ from .tokens import Encoder, vocabulary_path, with_end
 
 CAPACITY = 2048
 END_ID = 0
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PACKED = PIECES + ", sequence_id long, offset long"

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from . import vectors as V
 
 #: Distinct words that a Python worker remembers before it starts afresh.
-MAX_KNOWN = 1 << 19
+MAX_KNOWN = 1 << 17
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
