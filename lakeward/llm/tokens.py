@@ -4,14 +4,12 @@ The vocabulary's pre-tokenizer never joins characters across white space, nor
 an ASCII letter or digit with a following ``. , ; : ! ?``, so the ids of a text
 are those of its pieces in order.  A task encodes each distinct piece once and
 puts texts together with numpy; words stay known to the Python worker between
-tasks, up to ``MAX_KNOWN`` of them.  A text that spells a special token is
-encoded whole.
+tasks, up to ``MAX_KNOWN`` of them.  A text that spells a special token is encoded
+whole.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +17,10 @@ import pyarrow.compute as pc
 from . import vectors as V
 
 #: Distinct words that a Python worker remembers before it starts afresh.
-MAX_KNOWN = 1 << 17
+MAX_KNOWN = 1 << 19
+#: Lower-case words of Latin letters, one piece each and unchanged by the
+#: normaliser: the model is asked directly.
+PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u00ff]+$"
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -60,22 +61,13 @@ class Encoder:
         self.ids = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(1 << 18, np.int64)
 
-    def _plain(self, word: str) -> bool:
-        """A lower-case word of Latin letters: one piece, left as it is by the
-        normaliser, so the model can be asked directly."""
-        return (
-            word.isalpha()
-            and max(word) < "ɐ"
-            and word == word.lower()
-            and (word.isascii() or unicodedata.is_normalized("NFC", word))
-        )
-
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         model, letters = self.library.model, self._letters
+        plain = pc.match_substring_regex(pa.array(words, pa.large_string()), PLAIN).to_pylist()
         out: list[list[int]] = [[]] * len(words)
         others = []
-        for k, w in enumerate(words):
-            if self._plain(w):
+        for k, (w, simple) in enumerate(zip(words, plain, strict=True)):
+            if simple:
                 shown = w if w.isascii() else w.encode().decode("latin-1").translate(letters)
                 out[k] = [t.id for t in model.tokenize(shown)]
             else:
