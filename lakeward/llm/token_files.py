@@ -50,7 +50,7 @@ class WaveletMatrix:
         narrow = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, zeros, ranks = [], [], []
         for level in reversed(range(levels)):
-            bits = (narrow >> level) & 1 > 0
+            bits = narrow & narrow.dtype.type(1 << level) != 0
             plane = np.packbits(bits)
             plane = np.concatenate([plane, np.zeros(-len(plane) % (BLOCK_BITS // 8), np.uint8)])
             planes.append(plane)
@@ -128,10 +128,10 @@ class WaveletMatrix:
         levels = len(self.planes)
         ids = np.zeros(self.n, np.uint16 if levels <= 16 else np.uint32)
         for level in reversed(range(levels)):
-            bits = np.unpackbits(self.planes[level], count=self.n).astype(bool)
-            sorted_ids, ids = ids, np.empty_like(ids)
-            ids[~bits] = sorted_ids[: self.zeros[level]]
-            ids[bits] = sorted_ids[self.zeros[level] :] | ids.dtype.type(1 << (levels - 1 - level))
+            bits = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            sorted_ids, ids, zeros = ids, np.empty_like(ids), self.zeros[level]
+            ids[~bits] = sorted_ids[:zeros]
+            ids[np.flatnonzero(bits)] = sorted_ids[zeros:] | ids.dtype.type(1 << (levels - 1 - level))
         return ids.astype(np.uint32)
 
 

@@ -10,6 +10,8 @@ whole.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -63,7 +65,7 @@ class Encoder:
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         model, letters = self.library.model, self._letters
-        plain = pc.match_substring_regex(pa.array(words, pa.large_string()), PLAIN).to_pylist()
+        plain = V.values(pc.match_substring_regex(pa.array(words, pa.large_string()), PLAIN))
         out: list[list[int]] = [[]] * len(words)
         others = []
         for k, (w, simple) in enumerate(zip(words, plain, strict=True)):
@@ -89,7 +91,7 @@ class Encoder:
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), total - len(self.ids)), np.uint32)])
         if count > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), count - len(self.ends)), np.int64)])
-        self.ids[start:total] = np.fromiter((i for x in found for i in x), np.uint32, total - start)
+        self.ids[start:total] = np.fromiter(chain.from_iterable(found), np.uint32, total - start)
         self.ends[first:count] = ends
         self.known.update(zip(words, range(first, count), strict=True))
 
@@ -104,12 +106,15 @@ class Encoder:
         pieces = pc.ascii_split_whitespace(spaced)
         bounds = pieces.offsets.to_numpy().astype(np.int64)
         coded = pieces.flatten().dictionary_encode()
-        unique = coded.dictionary.to_pylist()
+        unique = V.values(coded.dictionary)
         if len(self.known) + len(unique) > MAX_KNOWN:
             self._forget()
-        if new := [w for w in unique if w not in self.known]:
-            self._learn(new)
-        place = np.fromiter(map(self.known.__getitem__, unique), np.int64, len(unique))
+        # in order of appearance, unknown words get the next places
+        place = np.array([self.known.get(w, -1) for w in unique], np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = np.arange(len(new)) + len(self.known)
+            self._learn([unique[i] for i in new.tolist()])
         ends = self.ends[place]
         starts = np.where(place > 0, self.ends[place - 1], 0)
         at = coded.indices.to_numpy().astype(np.int64)

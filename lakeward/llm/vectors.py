@@ -90,6 +90,11 @@ def rebased(column: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, parts)
 
 
+def values(column: pa.Array) -> list:
+    """Python values of a column without nulls."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def blocks(column: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, end row, bytes, offsets) of runs of whole texts with
     at most ``max_bytes`` together; a longer text is a block of its own."""
