@@ -56,7 +56,7 @@ class WaveletMatrix:
             planes.append(plane)
             zeros.append(len(ids) - int(np.count_nonzero(bits)))
             ranks.append(cls._ranks(plane))
-            narrow = np.concatenate([narrow[~bits], narrow[bits]])
+            narrow = np.concatenate([np.compress(~bits, narrow), np.compress(bits, narrow)])
         return cls(len(ids), planes, zeros, ranks)
 
     @staticmethod
