@@ -110,6 +110,19 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return os.path.join(base, *pieces) if pieces else base
 
 
+def durable_dir(spark: SparkSession, *parts: str) -> str:
+    """A folder that the next application finds again: below the configured
+    ``spark.checkpoint.dir`` itself, not below the folder that Spark adds to it
+    for each application.  Where nothing is configured (local sessions) it
+    lasts as long as the application's own folder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    if not configured:
+        return shared_dir(spark, *parts)
+    return "/".join([configured.rstrip("/"), *(p.strip("/") for p in parts if p)])
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -5,9 +5,13 @@ stream over the entity root sees each run exactly once.  Each micro-batch is
 gated by the quality suite: a passing batch is appended to the bronze table
 (de-duplicated against it when keys are given), a failing one is written to
 a quarantine folder.  The outcome of every batch is recorded in a results
-table keyed by ``(stream, batch_id)``; a replayed batch (after a failure
-between the write and the commit of the stream's offsets) finds its record
-and is skipped, so the sink is idempotent.
+table keyed by ``(stream, checkpoint, batch_id)``: a batch replayed from the
+same checkpoint after its record was written is skipped, while a stream that
+starts from another checkpoint counts its batches anew and skips none.
+Writing the rows and writing the record are two steps.  After a failure
+between them the replay writes the batch again: rows with a key are left out
+by the de-duplication against the table, rows without keys (none given, or a
+null part) are appended twice.
 """
 
 from __future__ import annotations
@@ -23,11 +27,13 @@ from pyspark.sql import types as T
 from ..operators import dedup, quality
 from ..operators.quality import qcol
 from ..plans import tables
-from ..session import shared_dir
+from ..session import durable_dir
 
 log = logging.getLogger(__name__)
 
-RESULTS_SCHEMA = "stream string, batch_id long, passed boolean, n_rows long, messages string"
+RESULTS_SCHEMA = (
+    "stream string, checkpoint string, batch_id long, passed boolean, n_rows long, messages string"
+)
 
 
 @dataclass
@@ -50,18 +56,17 @@ def _results_table(spark: SparkSession, schema: str) -> str:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
     name = f"`{schema}`.`_stream_batches`"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (stream STRING, batch_id BIGINT, passed BOOLEAN, "
+        f"CREATE TABLE IF NOT EXISTS {name} (stream STRING, checkpoint STRING, batch_id BIGINT, passed BOOLEAN, "
         "n_rows BIGINT, messages STRING) USING parquet"
     )
     return name
 
 
-def _already_done(spark: SparkSession, results: str, stream: str, batch_id: int) -> bool:
-    return (
-        spark.table(results)
-        .filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id))
-        .limit(1).count() > 0
-    )
+def _already_done(spark: SparkSession, results: str, stream: str, checkpoint: str | None, batch_id: int) -> bool:
+    same = (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+    if checkpoint is not None:
+        same = same & (F.col("checkpoint") == checkpoint)
+    return spark.table(results).filter(same).limit(1).count() > 0
 
 
 def new_rows_only(batch: DataFrame, target: DataFrame, keys: list[str], order_by: list[str] | None) -> DataFrame:
@@ -78,13 +83,15 @@ def new_rows_only(batch: DataFrame, target: DataFrame, keys: list[str], order_by
     return first.join(existing, cond, "left_anti")
 
 
-def gate_batch(spec: StreamSpec):
-    """``foreachBatch`` function for :func:`start_incremental_promotion`."""
+def gate_batch(spec: StreamSpec, checkpoint: str | None = None):
+    """``foreachBatch`` function for :func:`start_incremental_promotion`.
+    Batch ids belong to a ``checkpoint``; without one a batch counts as done
+    if any checkpoint of the stream recorded its id."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         results = _results_table(spark, spec.schema)
-        if _already_done(spark, results, spec.name, batch_id):
+        if _already_done(spark, results, spec.name, checkpoint, batch_id):
             log.info("Batch %s of %s already processed; skipped", batch_id, spec.name)
             return
         # The micro-batch is read by the checks, the de-duplication and the
@@ -110,10 +117,11 @@ def gate_batch(spec: StreamSpec):
                     to_write = new_rows_only(batch, existing, spec.key_columns, spec.order_by)
                 n = tables.insert_data(spark, to_write, spec.table, schema=spec.schema)
             else:
-                target = spec.quarantine or shared_dir(spark, "quarantine", spec.name)
+                target = spec.quarantine or durable_dir(spark, "quarantine", spec.name)
                 batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
             msgs = "; ".join(f"{c.check_name}: {c.message}" for c in checks if not c.passed)
-            spark.createDataFrame([(spec.name, batch_id, passed, n, msgs)], RESULTS_SCHEMA).write.insertInto(results)
+            record = (spec.name, checkpoint, batch_id, passed, n, msgs)
+            spark.createDataFrame([record], RESULTS_SCHEMA).write.insertInto(results)
         finally:
             batch.unpersist()
 
@@ -133,7 +141,8 @@ def start_incremental_promotion(
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental job); otherwise the query keeps running.  The checkpoint
-    lives in the shared folder unless given.  The file source lists its path
+    lives below ``spark.checkpoint.dir`` unless given, where the next
+    application finds it.  The file source lists its path
     on every trigger; with a long history, point ``entity_root`` at a glob
     over the date folders still receiving runs (e.g. ``…/entity/2024/*/*``)
     so listing stays proportional to the open period, and bound each
@@ -142,8 +151,8 @@ def start_incremental_promotion(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(entity_root)
-    ckpt = checkpoint_location or shared_dir(spark, "streams", spec.name)
-    writer = stream.writeStream.foreachBatch(gate_batch(spec)).option("checkpointLocation", ckpt)
+    ckpt = checkpoint_location or durable_dir(spark, "streams", spec.schema, spec.name)
+    writer = stream.writeStream.foreachBatch(gate_batch(spec, ckpt)).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

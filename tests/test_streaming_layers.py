@@ -4,9 +4,11 @@ import datetime as dt
 import io
 import zipfile
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.plans import layers, tables
+from lakeward.session import durable_dir
 from lakeward.sources import landing, paths
 from lakeward.streaming import incremental
 
@@ -185,3 +187,27 @@ def test_incremental_promotion_bucketed(spark, tmp_root):
     incremental.run_available_now(spark, f"{root}/erp/p", SCHEMA, spec, checkpoint_location=ckpt, max_files_per_trigger=1, timeout_seconds=120)
     assert tables.table_properties(spark, "pedidos_b", "bronze_b")[tables.BUCKETS_PROPERTY] == "4"
     assert sorted(r.id for r in spark.table("bronze_b.pedidos_b").collect()) == ["1", "2", "3"]
+
+
+def test_a_new_checkpoint_skips_no_new_run(spark, tmp_root, tmp_path):
+    """A second application without the first one's checkpoint sees all runs
+    again from batch 0; keys that bronze holds stay single, new ones arrive."""
+    day = dt.date(2024, 5, 1)
+    tables.drop_table_if_exists(spark, "pedidos_c", "bronze_c")
+    tables.drop_table_if_exists(spark, "_stream_batches", "bronze_c")
+    spec = incremental.StreamSpec("c", "pedidos_c", "bronze_c", ["id", "name"], ["id"], ["id"], order_by=["id"])
+    for run, ids in (("r1", range(0, 10)), ("r2", range(5, 20))):
+        layers.land(spark.createDataFrame([(i, run) for i in ids], SCHEMA).coalesce(1), tmp_root, "erp", "c", day, run)
+        incremental.run_available_now(
+            spark, f"{tmp_root}/erp/c", SCHEMA, spec, checkpoint_location=str(tmp_path / run),
+            max_files_per_trigger=1, timeout_seconds=120,
+        )
+    got = sorted((r.id, r.name) for r in spark.table("bronze_c.pedidos_c").select(F.col("id").cast("long"), "name").collect())
+    assert got == [(i, "r1" if i < 10 else "r2") for i in range(20)]
+    done = spark.table("bronze_c._stream_batches").groupBy("checkpoint").count().collect()
+    assert sorted(r["count"] for r in done) == [1, 2]
+
+
+def test_durable_folder_has_no_part_of_one_application(spark):
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+    assert durable_dir(spark, "streams", "x") == f"{root}/streams/x"
