@@ -152,7 +152,7 @@ def ingest_mailed_report(
     rows, rejected = messages.process_mailed_reports(
         mail, sender_email, subject, column_mapping, skiprows, target_date, subject_suffix, delimiter
     )
-    for r in rejected.limit(20).collect():
+    for r in rejected.toLocalIterator():
         log.warning("Bundle %s skipped: %s", r["bundle_id"], r["error"])
     if rows.isEmpty():
         log.warning("No CSV processed")

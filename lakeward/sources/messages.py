@@ -69,10 +69,13 @@ def attachments_as_bundles(
     attachments: DataFrame, id_columns: list[str], ordinal_columns: list[str]
 ) -> DataFrame:
     """Shape selected attachments for :func:`bundles.extract_bundle_rows`:
-    ``bundle_id`` from ``id_columns`` (+ file name), ``bundle_ordinal`` from
+    ``bundle_id`` from ``id_columns`` (a null part is empty), the file name and
+    a hash of the payload, so that two mails of one day with the same subject
+    and file name are judged apart; ``bundle_ordinal`` from
     a deterministic hash-free ordering key (a long built from
     ``ordinal_columns``, most significant first)."""
-    bundle_id = F.concat_ws("/", *[F.col(c).cast("string") for c in id_columns], F.col("filename"))
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_columns]
+    bundle_id = F.concat_ws("/", *named, F.col("filename"), F.sha2(F.coalesce(F.col("payload"), F.lit(b"")), 256))
     ordinal = F.lit(0).cast("long")
     for c in ordinal_columns:
         ordinal = ordinal * F.lit(1 << 16) + F.col(c).cast("long")

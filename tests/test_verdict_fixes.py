@@ -1,11 +1,14 @@
 """Bad branches that once passed in silence."""
 
 import codecs
+import datetime as dt
+import io
+import zipfile
 
 import pytest
 
 from lakeward.plans import governance
-from lakeward.sources import bundles, landing, responses
+from lakeward.sources import bundles, landing, messages, responses
 
 
 def test_a_missing_status_is_not_a_good_response(spark):
@@ -33,3 +36,17 @@ def test_lineage_closure_is_whole_or_fails(spark):
     assert governance.lineage_closure(spark, edges).count() == 78
     with pytest.raises(ValueError, match="beyond 4"):
         governance.lineage_closure(spark, edges, max_depth=4)
+
+
+def test_a_corrupt_mail_takes_no_rows_of_its_namesake(spark):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("r.csv", "id;name\n1;x\n2;y\n")
+    day = dt.date(2024, 1, 5)
+    mails = [(day, "bot@gov.br", "Report", [("a.zip", raw)]) for raw in (buf.getvalue(), b"not a zip")]
+    frame = spark.createDataFrame(
+        mails, "date date, sender string, subject string, attachments array<struct<filename: string, payload: binary>>"
+    )
+    rows, rejected = messages.process_mailed_reports(frame, "bot@gov.br", "report", None, delimiter=";", target_date=day)
+    assert sorted((r.id, r.name) for r in rows.collect()) == [("1", "x"), ("2", "y")]
+    assert rejected.count() == 1
