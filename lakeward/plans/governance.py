@@ -22,22 +22,9 @@ from ..session import ensure_checkpoint_dir
 INCLUDE_ALL = "*"
 
 
-def parse_selector(text: str | None) -> tuple[bool, list[str]]:
-    """Selector text → ``(include_all, patterns)``.  No text (no selector
-    file) includes everything; blank lines and ``#`` comments are ignored;
-    a ``*`` line includes everything."""
-    if text is None:
-        return True, []
-    include_all, patterns = False, []
-    for raw in text.splitlines():
-        line = raw.strip()
-        if not line or line.startswith("#"):
-            continue
-        if line == INCLUDE_ALL:
-            include_all = True
-            continue
-        patterns.append(line)
-    return include_all, patterns
+def selector_lines(text: str) -> list[str]:
+    """The lines of a selector that count: not blank, not a ``#`` comment."""
+    return [line for line in map(str.strip, text.splitlines()) if line and line[0] != "#"]
 
 
 def _matches_without_deeper_folder(rel: Column, pattern: str) -> Column:
@@ -53,11 +40,11 @@ def select_paths(df: DataFrame, path_column: str, selector_text: str | None, roo
 
     A pattern includes a path (relative to ``root``) when it matches
     somewhere and no deeper folder follows the match.  Paths outside ``root``
-    are kept.  The patterns come from one small selector text, so they are
+    are kept; no selector, or one with a ``*`` line, keeps all.  The patterns come from one small selector text, so they are
     compiled into one filter expression (no join, no broadcast).
     """
-    include_all, patterns = parse_selector(selector_text)
-    if include_all:
+    patterns = [INCLUDE_ALL] if selector_text is None else selector_lines(selector_text)
+    if INCLUDE_ALL in patterns:
         return df
     root_prefix = root if root.endswith("/") else root + "/"
     path = qcol(path_column)
