@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import vectors as V
 from .components import connected_components
-from .texts import Folder, keyed, mark_possible, partitions, text_key, without_keys
+from .texts import Folder, keyed, mark_possible, partitions, text_key
 
 SHINGLE = 5
 MIN_PERCENT = 80
@@ -398,15 +398,11 @@ def _merged(roots: DataFrame, links: DataFrame, folder: Folder, turn: int) -> Da
     return folder.keep(both, f"roots-{turn}")
 
 
-def similar_documents(
-    docs: DataFrame,
-    shingle: int = SHINGLE,
-    min_percent: int = MIN_PERCENT,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the least doc_id that links
-    reach) and x1, the key of its text."""
+def _grouped_texts(
+    docs: DataFrame, shingle: int, min_percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, x1, n) of every row; (x1, first, copies, root) of every text
+    with words: the least doc_id of its rows, their number, its component."""
     spark = docs.sparkSession
     folder = Folder(spark, "jaccard")
     buckets = max(16, partitions(spark))
@@ -449,8 +445,21 @@ def similar_documents(
             roots = _merged(roots, more, folder, turn)
         turn += 1
 
-    firsts = plain.filter("n > 0").groupBy("x1").agg(F.min("doc_id").alias("first"))
+    firsts = plain.filter("n > 0").groupBy("x1").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     named = firsts.join(roots.withColumnRenamed("id", "x1"), "x1", "left").withColumn("root", F.coalesce("root", "x1"))
+    return plain, named
+
+
+def similar_documents(
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    min_percent: int = MIN_PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the least doc_id that links
+    reach) and x1, the key of its text."""
+    plain, named = _grouped_texts(docs, shingle, min_percent, id_col, text_col)
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_text = named.join(least, "root").select("x1", "component_id")
     return plain.join(by_text, "x1", "left").select(
@@ -462,9 +471,23 @@ def similar_documents(
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row of each component that names it; the others go.  Of rows that
-    repeat that id one stays; texts without words all stay."""
-    found = similar_documents(docs, id_col=id_col, text_col=text_col)
-    gone = found.filter("n_shingles > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias(id_col))
-    gone = Folder(docs.sparkSession, "gone").keep(gone.distinct(), "ids")
-    return without_keys(docs, gone, [id_col])
+    """One row of each component: that with the least id, nulls last, then the
+    least text key, then the least of all its columns; of rows that repeat one
+    another one stays.  Texts without words all stay."""
+    _, named = _grouped_texts(docs, SHINGLE, MIN_PERCENT, id_col, text_col)
+    folder = Folder(docs.sparkSession, "gone")
+    named = folder.keep(named, "texts")
+    order = F.struct(F.col("first").isNull(), "first", "x1")
+    best = named.groupBy("root").agg(F.min(order)["x1"].alias("best"))
+    crowded = named.join(best, "root").filter("copies > 1 or x1 <> best")
+    crowded = folder.keep(crowded.select(F.col("x1").alias("__x1"), (F.col("x1") == F.col("best")).alias("stays")), "crowded")
+
+    x1, x2 = text_key(text_col)
+    wordy = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    whole = F.struct(F.col(id_col).isNull(), F.col(id_col).cast("long"), x2, F.struct("*").alias("row"))
+    rows = docs.select(whole.alias("__whole"), x1.alias("__x1"), wordy.alias("__wordy"))
+    rows = mark_possible(rows, crowded, ["__x1"]).withColumn("__possible", F.col("__possible") & F.col("__wordy"))
+    # a text that only the filter takes for crowded has one row, and keeps it
+    firsts = rows.filter("__possible").groupBy("__x1").agg(F.min("__whole").alias("__whole"))
+    firsts = firsts.join(crowded.filter("not stays"), "__x1", "left_anti")
+    return rows.filter("not __possible").select("__whole").union(firsts.select("__whole")).select("__whole.row.*")

@@ -115,6 +115,38 @@ def test_jaccard_components(docs, rows, empty):
     assert jaccard.similar_documents(empty).collect() == []
 
 
+def test_near_duplicates_keeps_one_row_a_group(spark):
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    swapped = lambda t, w: " ".join([*t.split()[:50], w, *t.split()[51:]])
+    clean, a, b, c, d, lone, shared = (prose(100) for _ in range(7))
+    rows = [(1, clean), (1, clean)]  # repeated rows
+    rows += [(2, a), (3, swapped(a, "x")), (3, shared)]  # id 3 carries an unrelated text as well
+    rows += [(4, b), (None, swapped(b, "x")), (None, lone)]  # only one null id is in a group
+    rows += [(None, c), (None, swapped(c, "x")), (None, swapped(c, "y")), (None, c)]  # no id at all
+    rows += [(5, d), (5, swapped(d, "x"))]  # one id, two near copies
+    rows += [(6, ""), (6, ""), (None, " \n"), (None, " \n"), (7, None)]  # no words
+    names = "doc_id long, text string, lang string, source string, n_chars int, block int"
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", 7, k) for k, (i, t) in enumerate(rows)], names)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and sets[j] and 100 * len(s & sets[j]) >= 80 * len(s | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF).collect()]
+    at = sorted(r[5] for r in got)
+    assert all(r[:2] == rows[r[5]] and r[3] == f"s{r[5]}" for r in got)
+    assert [k for k in at if not sets[k]] == [k for k, s in enumerate(sets) if not s]
+    assert sorted(group[k] for k in at if sets[k]) == sorted({g for g, s in zip(group, sets, strict=True) if s})
+    for k in at:
+        ids = [rows[j][0] for j in range(len(rows)) if sets[k] and group[j] == group[k] and rows[j][0] is not None]
+        assert rows[k][0] == min(ids, default=rows[k][0])
+    # a clean document that was repeated is whole after the next stage
+    kept = spark.createDataFrame(got, names)
+    assert {r["text"] for r in corpus_pipeline.repeated_passages(spark, kept, SF).collect()} >= {clean, lone, shared}
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(1, rows[10][1]), (2, "One two."), (3, None), (4, "..."), (1, rows[10][1])]
     bench = spark.createDataFrame(items, "item_id int, text string")
