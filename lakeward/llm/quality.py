@@ -5,9 +5,11 @@ windows that the text repeats.  Then the method: a document's histogram of
 character classes and its histogram of a language's common words are compared
 with that language's reference by the Jensen-Shannon distance (base 2, 0 to 1).
 A reference is the mean histogram of all documents of the language that reach
-the minimum lengths, so it is made of whole corpus statistics; a document below
-a minimum length, or of a language without a reference, is not judged by that
-histogram.
+the minimum lengths, pass the base rules and have a least share of common words
+(where the language has a list), so it is made of whole corpus statistics that
+junk does not shift; a document below a minimum length, or of a language without
+a reference, is not judged by that histogram.  The limit for common words is a
+share of the distance that a text without any of them has.
 
 Per-document features come from one pass over the texts and are written to the
 shared folder; references and verdicts read only those.  A null text has no
@@ -30,7 +32,10 @@ MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 50
 #: Largest distances kept.
 MAX_CLASS_DISTANCE = 0.31
-MAX_WORD_DISTANCE = 0.295
+#: As a share of the distance of a text without common words.
+MAX_WORD_DISTANCE_SHARE = 0.975
+#: Least share of common words in texts that make up a reference.
+MIN_COMMON_SHARE = 0.05
 #: Common words by language (fixed values).
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "this"],
@@ -118,6 +123,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Dat
         F.coalesce(F.aggregate(spans, F.lit(0), lambda a, c: a + c), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.when(F.col("n_chars") >= MIN_CHARS_JUDGED, F.concat(shares, F.array(rest))).alias("class_shares"),
         F.when(F.col("n_words") >= MIN_WORDS_JUDGED, word_shares).alias("word_shares"),
+        F.when(F.col("listed").isNotNull() & (F.col("n_words") > 0), F.size("hits") / F.col("n_words")).alias("common_share"),
     ).withColumn(
         "word_shares",
         F.concat("word_shares", F.array(1.0 - F.aggregate("word_shares", F.lit(0.0), lambda a, c: a + c))),
@@ -147,15 +153,19 @@ def judge(
     text_col: str = "text",
     lang_col: str = "lang",
     max_class_distance: float = MAX_CLASS_DISTANCE,
-    max_word_distance: float = MAX_WORD_DISTANCE,
+    max_word_distance_share: float = MAX_WORD_DISTANCE_SHARE,
 ) -> DataFrame:
     """One row per document: counts, distances, ``base_failed`` and ``kept``."""
     folder = Folder(docs.sparkSession, "quality")
     feats = folder.keep(_features(docs, id_col, text_col, lang_col), "features")
     bins = 1 + max(map(len, COMMON_WORDS.values()))
-    reference = feats.groupBy(F.col("lang").alias("of")).agg(
+    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    typical = ~base_failed & (F.coalesce("common_share", F.lit(1.0)) >= MIN_COMMON_SHARE)
+    reference = feats.filter(typical).groupBy(F.col("lang").alias("of")).agg(
         _mean("class_shares", 6).alias("class_reference"), _mean("word_shares", bins).alias("word_reference")
     )
+    without = F.array(*[F.lit(0.0)] * (bins - 1), F.lit(1.0))
+    reference = reference.withColumn("none_distance", js_distance(without, F.col("word_reference")))
     joined = feats.join(reference, F.col("lang").eqNullSafe(F.col("of")), "left")
     measured = joined.select(
         F.col("doc_id").alias(id_col),
@@ -164,13 +174,12 @@ def judge(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias(
-            "base_failed"
-        ),
+        base_failed.alias("base_failed"),
         js_distance(F.col("class_shares"), F.col("class_reference")).alias("class_distance"),
         js_distance(F.col("word_shares"), F.col("word_reference")).alias("word_distance"),
+        (max_word_distance_share * F.col("none_distance")).alias("__word_limit"),
     )
     odd = (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance) | (
-        F.coalesce("word_distance", F.lit(0.0)) > max_word_distance
+        F.coalesce(F.col("word_distance") > F.col("__word_limit"), F.lit(False))
     )
-    return measured.withColumn("kept", ~F.col("base_failed") & ~odd)
+    return measured.withColumn("kept", ~F.col("base_failed") & ~odd).drop("__word_limit")

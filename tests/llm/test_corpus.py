@@ -243,6 +243,21 @@ def test_quality_rules(docs, rows, empty):
     assert got.filter("base_failed and kept").count() == 0 and quality.judge(empty).collect() == []
 
 
+@pytest.mark.parametrize("n_junk", [4, 60])
+def test_quality_references_are_not_shifted_by_junk(spark, n_junk):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("bcfghjklmnoprstu", k=6))
+    listed = quality.COMMON_WORDS["de"]
+    prose = [" ".join(rng.choice(listed) if rng.random() < 0.2 else word() for _ in range(150)) for _ in range(40)]
+    junk = [" ".join(word() for _ in range(150)) for _ in range(n_junk)]  # passes the base rules
+    again = [" ".join([word()] * 150) for _ in range(n_junk)]  # does not
+    texts = prose + junk + again + ["kurz", None]
+    docs = spark.createDataFrame([(i, t, "de") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert {i for i, r in got.items() if r["kept"]} == set(range(40))
+    assert not any(got[i]["base_failed"] for i in range(40 + n_junk))
+
+
 def test_url_filter(spark):
     pages = [(1, None), (2, "no scheme"), (3, "http://A.net/x"), (4, "https://www.Example.com/p/?utm_x=1&b=2#f"), (5, "http://ok.org/fr/a"), (6, "http://z.com")]
     frame = spark.createDataFrame([(*p, 1) for p in pages], "page_id int, url string, block int")
