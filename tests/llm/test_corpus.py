@@ -126,7 +126,7 @@ def test_near_duplicates_keeps_one_row_a_group(spark):
     rows += [(None, c), (None, swapped(c, "x")), (None, swapped(c, "y")), (None, c)]  # no id at all
     rows += [(5, d), (5, swapped(d, "x"))]  # one id, two near copies
     rows += [(6, ""), (6, ""), (None, " \n"), (None, " \n"), (7, None)]  # no words
-    names = "doc_id long, text string, lang string, source string, n_chars int, block int"
+    names = "doc_id long, text string, lang string, source string, n_chars int, place int"
     docs = spark.createDataFrame([(i, t, "en", f"s{k}", 7, k) for k, (i, t) in enumerate(rows)], names)
     sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for _, t in rows)]
     group = list(range(len(rows)))
