@@ -11,9 +11,12 @@ Candidates are not all pairs of a shingle's documents.  First, where documents
 share a prefix shingle, a few of them are centres and the others are compared
 with those; what this verifies is joined into components, and the next round
 takes other centres.  Then pairs of a shingle's documents that are still in
-different components, and only those, are tested.  A pair within a component
-needs no test, so no link between components is missed and components are
-exact, while a group of near copies costs a few rows per member.
+different components, and only those, are tested, so no link between components
+is missed and components are exact.
+
+Links lie within components.  There all pairs are tested, in blocks: a large
+component's texts are dealt to blocks, and every pair of blocks is one group of
+its own that gives a number of links per text and not a row per link.
 
 Nodes are distinct texts, named by 64 bits.  Texts without words have an empty
 set and link with nothing, a null text is empty, copies and repeated rows share
@@ -48,6 +51,10 @@ STAR_ROUNDS = 2
 PIVOTS = 4  # one in the first round
 #: A shingle with more texts takes them all as nodes, without a test.
 MANY = 512
+#: Texts and shingles of a block on average, and shingles compared at a time.
+BLOCK_TEXTS = 1024
+BLOCK_SHINGLES = 1 << 21
+COLUMNS = 4096
 
 _WORDS = V.Polynomial(5)
 _POLY = V.Polynomial(6)
@@ -398,11 +405,121 @@ def _merged(roots: DataFrame, links: DataFrame, folder: Folder, turn: int) -> Da
     return folder.keep(both, f"roots-{turn}")
 
 
+def _incidence(values: np.ndarray, rows: np.ndarray, n: int, common: np.ndarray):
+    """Per chunk of ``common``: which of ``n`` texts hold which shingle."""
+    at = np.searchsorted(common, values)
+    at[at == len(common)] = 0
+    good = common[at] == values
+    at, rows = at[good], rows[good]
+    order = np.argsort(at, kind="stable")
+    at, rows = at[order], rows[order]
+    for lo in range(0, len(common), COLUMNS):
+        a, b = np.searchsorted(at, [lo, lo + COLUMNS])
+        chunk = np.zeros((n, min(COLUMNS, len(common) - lo)), np.float32)
+        chunk[rows[a:b], at[a:b] - lo] = 1
+        yield chunk
+
+
+def all_links(left: list[np.ndarray], right: list[np.ndarray] | None, min_percent: int) -> np.ndarray:
+    """Which sets of ``left`` link with which of ``right``, or with which
+    others of ``left``; overlaps below 2^24 are exact."""
+    sides = [left] if right is None else [left, right]
+    values = [np.concatenate(s) for s in sides]
+    sizes = [np.array([len(x) for x in s]) for s in sides]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    if right is None:
+        found, counts = np.unique(values[0], return_counts=True)
+        common = found[counts > 1]
+    else:
+        common = np.intersect1d(*values)
+    shared = np.zeros((len(left), len(sides[-1])), np.float32)
+    chunks = [_incidence(v, r, len(n), common) for v, r, n in zip(values, rows, sizes, strict=True)] if len(common) else []
+    for a, *b in zip(*chunks, strict=True):
+        shared += a @ (b[0] if b else a).T
+    both = sizes[0][:, None] + sizes[-1][None, :]
+    shared = shared.astype(np.int64)
+    links = (shared > 0) & (100 * shared >= min_percent * (both - shared))
+    if right is None:
+        np.fill_diagonal(links, False)
+    return links
+
+
+def _count_links(min_percent: int):
+    """(x1, links): rows that link with a text, per pair of blocks.  Rows of a
+    pair of blocks follow one another."""
+
+    def of(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        x1, copies, second = (table.column(c).to_numpy() for c in ("x1", "copies", "second"))
+        sets = [np.frombuffer(v.as_buffer(), V.U) for v in table.column("shingles")]
+        a, b = np.flatnonzero(~second), np.flatnonzero(second)
+        if table.column("p")[0].as_py() == table.column("q")[0].as_py():
+            return x1, all_links(sets, None, min_percent) @ copies
+        counts = np.zeros(len(x1), np.int64)
+        if len(a) and len(b):
+            links = all_links([sets[i] for i in a], [sets[i] for i in b], min_percent)
+            counts[a], counts[b] = links @ copies[b], links.T @ copies[a]
+        return x1, counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            if not len(batch):
+                continue
+            done = []
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("root", "p", "q")])
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+                key = tuple(keys[lo])
+                if held and key != last:
+                    done.append(of(held))
+                    held = []
+                last = key
+                held.append(batch.slice(lo, hi - lo))
+            if done:
+                x1, counts = (np.concatenate(v) for v in zip(*done, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(x1), pa.array(counts)], ["x1", "links"])
+        if held:
+            x1, counts = of(held)
+            yield pa.RecordBatch.from_arrays([pa.array(x1), pa.array(counts)], ["x1", "links"])
+
+    return run
+
+
+def text_links(named: DataFrame, sets: DataFrame, roots: DataFrame, folder: Folder, min_percent: int) -> DataFrame:
+    """(x1, links) of texts in components of several: rows with another text
+    that links with this one."""
+    members = named.join(roots.select(F.col("id").alias("x1")), "x1", "left_semi")
+    members = folder.keep(members.select("x1", "root", "copies"), "members")
+    chosen = mark_possible(sets.select("x1", "n", "shingles"), members, ["x1"]).filter("__possible")
+    chosen = chosen.join(members, "x1").drop("__possible")
+    size = sets.select("x1", "n").join(members, "x1").groupBy("root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
+    blocks = F.ceil(F.greatest(F.col("k") / BLOCK_TEXTS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    # every large component has many texts or shingles: these are few
+    large = folder.keep(size.select("root", blocks).filter("blocks > 1"), "large")
+    dealt = chosen.join(F.broadcast(large), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("x1"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = dealt.select(
+        "root",
+        F.least("own", "other").alias("p"),
+        F.greatest("own", "other").alias("q"),
+        (F.col("own") > F.col("other")).alias("second"),
+        "x1",
+        "copies",
+        "shingles",
+    )
+    pairs = pairs.repartition("root", "p", "q").sortWithinPartitions("root", "p", "q")
+    counts = pairs.mapInArrow(_count_links(min_percent), "x1 long, links long")
+    return folder.keep(counts.groupBy("x1").agg(F.sum("links").alias("links")), "counts")
+
+
 def _grouped_texts(
     docs: DataFrame, shingle: int, min_percent: int, id_col: str, text_col: str
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Folder]:
     """(doc_id, x1, n) of every row; (x1, first, copies, root) of every text
-    with words: the least doc_id of its rows, their number, its component."""
+    with words: the least doc_id of its rows, their number, its component; the
+    sets of texts with a possible partner; (id, root) of linked texts."""
     spark = docs.sparkSession
     folder = Folder(spark, "jaccard")
     buckets = max(16, partitions(spark))
@@ -447,7 +564,7 @@ def _grouped_texts(
 
     firsts = plain.filter("n > 0").groupBy("x1").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     named = firsts.join(roots.withColumnRenamed("id", "x1"), "x1", "left").withColumn("root", F.coalesce("root", "x1"))
-    return plain, named
+    return plain, named, sets, roots, folder
 
 
 def similar_documents(
@@ -458,14 +575,19 @@ def similar_documents(
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least doc_id that links
-    reach) and x1, the key of its text."""
-    plain, named = _grouped_texts(docs, shingle, min_percent, id_col, text_col)
+    reach), n_links (other rows that link with it, copies included) and x1, the
+    key of its text."""
+    plain, named, sets, roots, folder = _grouped_texts(docs, shingle, min_percent, id_col, text_col)
+    named = folder.keep(named, "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_text = named.join(least, "root").select("x1", "component_id")
+    links = text_links(named, sets, roots, folder, min_percent)
+    n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    by_text = named.join(least, "root").join(links, "x1", "left").select("x1", "component_id", n_links)
     return plain.join(by_text, "x1", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
         "x1",
     )
 
@@ -474,7 +596,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row of each component: that with the least id, nulls last, then the
     least text key, then the least of all its columns; of rows that repeat one
     another one stays.  Texts without words all stay."""
-    _, named = _grouped_texts(docs, SHINGLE, MIN_PERCENT, id_col, text_col)
+    _, named, *_ = _grouped_texts(docs, SHINGLE, MIN_PERCENT, id_col, text_col)
     folder = Folder(docs.sparkSession, "gone")
     named = folder.keep(named, "texts")
     order = F.struct(F.col("first").isNull(), "first", "x1")

@@ -25,8 +25,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Component and shingle count of every document."""
-    return jaccard.similar_documents(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+    """Component, shingle count and number of links of every document."""
+    found = jaccard.similar_documents(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,6 +115,27 @@ def test_jaccard_components(docs, rows, empty):
     assert jaccard.similar_documents(empty).collect() == []
 
 
+def test_jaccard_counts_all_links(spark, monkeypatch):
+    rng = random.Random(3)
+    words = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    base, texts = words(120), []
+    for k in range(25):  # one component in which many pairs do not link
+        t = list(base)
+        for at in range(0, k % 5):
+            t[7 + 20 * at + k % 3] = f"x{k}"
+        texts.append(" ".join(t))
+    texts += [texts[0], texts[0], texts[7], " ".join(words(40)), "", "", None]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for t in texts)]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(link(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+    assert len(set(want.values())) > 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for size in (1024, 4):  # one block, and several
+        monkeypatch.setattr(jaccard, "BLOCK_TEXTS", size)
+        got = jaccard.similar_documents(docs).select("doc_id", "n_links").collect()
+        assert len(got) == len(texts) and dict(map(tuple, got)) == want
+
+
 def test_near_duplicates_keeps_one_row_a_group(spark):
     rng = random.Random(11)
     prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
