@@ -7,7 +7,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard, packing, quality, sharding, substrings, suffixes, token_files, toxicity, urls
+from . import (
+    alignment,
+    collocations,
+    decontamination,
+    jaccard,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    suffixes,
+    token_files,
+    toxicity,
+    urls,
+)
 from .texts import Folder
 
 
@@ -87,6 +100,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(_documents(spark, sf_dir)))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned tokens of two vocabularies for all documents, with the scores
+    that the corpus-wide pair counts give them."""
+    return alignment.align(_documents(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +124,8 @@ QUERIES = {
         op8_sharding,
         op9_substring_dedup,
         op10_packing,
+        op11_alignment,
+        op12_collocations,
     )
 }
 
@@ -142,4 +168,39 @@ SELECT doc_id, slot, list_extract({list(sharding.SHARDS)!r},
 FROM slots
 """
 
-ORACLE_SQL = {"op4_url_filters": _OP4, "op8_sharding": _OP8}
+_OP12 = r"""
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+worded AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM (SELECT lang, unnest(pieces) AS piece FROM lowered)),
+placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+grams AS (
+  SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, k FROM placed, (VALUES (1), (2), (3), (4)) sizes(k)
+  WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, phrase, k AS size, count(*) AS f FROM grams GROUP BY lang, phrase, k HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM worded GROUP BY lang),
+split AS (SELECT lang, phrase, string_split(phrase, ' ') AS words, size, f AS a FROM f WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM split)),
+valued AS (
+  SELECT c.lang, c.phrase, c.a, c.k, h.f AS l, t.f AS r,
+         ((2000000::HUGEINT * c.a) // (h.f::HUGEINT + t.f))::BIGINT AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail),
+chosen AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM valued) WHERE nth = 1),
+held AS (
+  SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM split WHERE size > 2))
+  GROUP BY 1, 2),
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, encode(c.phrase)) AS rank
+  FROM chosen c LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase
+  WHERE h.longer IS NULL OR 100::HUGEINT * h.longer < 80::HUGEINT * c.a)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
+ORACLE_SQL = {"op4_url_filters": _OP4, "op8_sharding": _OP8, "op12_collocations": _OP12}
