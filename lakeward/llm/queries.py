@@ -11,6 +11,7 @@ from . import (
     alignment,
     collocations,
     decontamination,
+    extraction,
     jaccard,
     packing,
     quality,
@@ -111,6 +112,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir))
 
 
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extraction.extract(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,6 +133,7 @@ QUERIES = {
         op10_packing,
         op11_alignment,
         op12_collocations,
+        op13_extraction,
     )
 }
 
