@@ -347,10 +347,9 @@ def read_planes(blob: bytes, n_pairs: int) -> Iterator[tuple[np.ndarray, np.ndar
         counts = take("<u4", n_pairs).astype(np.int64)
         gaps = take("u1", int(n)).astype(np.int64)
         gaps[gaps == 255] = take("<u4", int(n_wide))
-        total = np.cumsum(gaps)
-        before = np.cumsum(counts) - counts
-        base = np.where(before > 0, total[np.maximum(before - 1, 0)], 0)[counts > 0]
-        yield np.repeat(np.arange(n_pairs), counts), total - np.repeat(base, counts[counts > 0]) - 1
+        total = np.concatenate([[0], np.cumsum(gaps)])
+        base = total[np.cumsum(counts) - counts]
+        yield np.repeat(np.arange(n_pairs), counts), total[1:] - np.repeat(base, counts) - 1
 
 
 class _Container:
