@@ -12,7 +12,7 @@ def connected_components(links: DataFrame, folder: Folder, name: str) -> DataFra
     """(id, root) for every id in ``links`` (a, b): root is the least id that
     links reach.  Each round takes the least root among neighbours, then jumps
     to the root's root, until nothing changes; rounds grow with the logarithm
-    of the longest chain.  Labels are written after each round."""
+    of the longest chain.  Labels are written after each round, and the round's before dropped."""
     edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     edges = folder.keep(edges.union(edges.select("dst", "src")).filter("src <> dst").distinct(), f"{name}-edges")
     labels = folder.keep(
@@ -31,6 +31,8 @@ def connected_components(links: DataFrame, folder: Folder, name: str) -> DataFra
         moved = closer.join(jump, "next").select("id", F.least("next", "far").alias("root"), (F.least("next", "far") != F.col("root")).alias("moved"))
         turn += 1
         labels = folder.keep(moved, f"{name}-{turn}")
+        folder.drop(f"{name}-{turn - 1}")
         if labels.filter("moved").isEmpty():
+            folder.drop(f"{name}-edges")
             return labels.select("id", "root")
         labels = labels.select("id", "root")

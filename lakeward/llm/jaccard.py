@@ -44,7 +44,7 @@ MIN_PERCENT = 80
 MAX_COMMON = 1 << 18
 #: A task reports a shingle that so many of its held documents have.
 LOCAL_COMMON = 3
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 ORDERS = 3
 #: Rounds of stars at most, and centres a shingle takes in each.
 STAR_ROUNDS = 2
@@ -55,6 +55,8 @@ MANY = 512
 BLOCK_TEXTS = 1024
 BLOCK_SHINGLES = 1 << 21
 COLUMNS = 4096
+#: Bins of a set's sketch.
+BINS = 256
 
 _WORDS = V.Polynomial(5)
 _POLY = V.Polynomial(6)
@@ -236,30 +238,34 @@ def _meet(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({c: found[:, i] for i, c in enumerate(("token", "x1", "at", "n"))})
 
 
-SETS = "x1 long, n long, shingles binary, prefixes binary"
+SETS = "x1 long, n long, shingles binary, bins binary"
 
 
-def _sets(size: int, min_percent: int, common: np.ndarray):
-    """Each text's set, and its prefixes in all orders (32 bits a shingle)."""
+def bin_counts(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A sketch of each set: how many shingles fall in each of ``BINS`` bins,
+    255 at most.  The overlap of two sets is at most the sum of their bins'
+    lesser counts (a bin that is full in both says nothing)."""
+    n = len(bounds) - 1
+    rows = np.repeat(np.arange(n), np.diff(bounds))
+    bins = (V.mix64(hashes ^ V.U(BINS)) >> V.U(56)).astype(np.int64)
+    return np.minimum(np.bincount(rows * BINS + bins, minlength=n * BINS), 255).astype(np.uint8).reshape(n, BINS)
+
+
+def _sets(size: int):
+    """Each text's set, and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in V.blocks(batch.column(1), 1 << 20):
                 hashes, bounds = shingle_sets(data, offsets, size)
-                parts = [prefixes(hashes, bounds, k, common, min_percent) for k in range(ORDERS)]
-                rows = np.concatenate([p[0] for p in parts])
-                kinds = np.repeat(np.arange(ORDERS), [len(p[0]) for p in parts])
-                low = np.concatenate([p[1] for p in parts]).astype(np.uint32)
-                low = low[np.lexsort((low, kinds, rows))]
-                sizes = prefix_size(np.diff(bounds), min_percent) * ORDERS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
                         pa.array(np.diff(bounds)),
                         V.binary_array(hashes, bounds),
-                        V.binary_array(low, np.concatenate([[0], np.cumsum(sizes)])),
+                        V.binary_array(bin_counts(hashes, bounds).ravel(), np.arange(b - a + 1) * BINS),
                     ],
-                    ["x1", "n", "shingles", "prefixes"],
+                    ["x1", "n", "shingles", "bins"],
                 )
 
     return run
@@ -278,45 +284,82 @@ def _meets(a: np.ndarray, b: np.ndarray) -> bool:
     return bool((a[at] == b).any())
 
 
-def linked(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, min_percent: int) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, pa_: list, pb: list, min_percent: int) -> bool:
     """Sizes, then prefixes in every order, then the sets themselves."""
     n, m = len(a), len(b)
     if 100 * min(n, m) < min_percent * max(n, m) or not n:
         return False
-    p, q = len(pa_) // ORDERS, len(pb) // ORDERS
-    for k in range(ORDERS):
-        if not _meets(pa_[k * p : (k + 1) * p], pb[k * q : (k + 1) * q]):
-            return False
+    if not all(_meets(x, y) for x, y in zip(pa_, pb, strict=True)):
+        return False
     shared = _overlap(a, b)
     return 100 * shared >= min_percent * (n + m - shared)
 
 
-def _verify(min_percent: int):
+def _prefix_cells(hashes: np.ndarray, bounds: np.ndarray, common: np.ndarray, min_percent: int) -> list[list]:
+    """Each set's prefix in every order, ascending."""
+    cuts = np.concatenate([[0], np.cumsum(prefix_size(np.diff(bounds), min_percent))])
+    cells = []
+    for k in range(ORDERS):
+        rows, shingles, _ = prefixes(hashes, bounds, k, common, min_percent)
+        shingles = shingles[np.lexsort((shingles, rows))]
+        cells.append([shingles[cuts[i] : cuts[i + 1]] for i in range(len(cuts) - 1)])
+    return [list(x) for x in zip(*cells, strict=True)]
+
+
+def _verify(min_percent: int, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [batch.column(i) for i in range(2, 6)]
-            good = [
-                linked(
-                    *(np.frombuffer(c[i].as_buffer(), V.U) for c in cells[:2]),
-                    *(np.frombuffer(c[i].as_buffer(), np.uint32) for c in cells[2:]),
-                    min_percent,
-                )
-                for i in range(len(batch))
-            ]
+            cells = [[np.frombuffer(c.as_buffer(), V.U) for c in batch.column(i)] for i in (2, 3)]
+            good: list[bool] = []
+            room = np.cumsum([len(a) + len(b) for a, b in zip(*cells, strict=True)]) // BLOCK_SHINGLES
+            cuts = [0, *(np.flatnonzero(np.diff(room)) + 1).tolist(), len(room)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                sides = [c[lo:hi] for c in cells]
+                firsts = []
+                for side in sides:
+                    bounds = np.concatenate([[0], np.cumsum([len(x) for x in side])]).astype(np.int64)
+                    firsts.append(_prefix_cells(np.concatenate(side), bounds, common, min_percent) if side else [])
+                good += [linked(*x, min_percent) for x in zip(*sides, *firsts, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """The linked ones of candidate ``pairs`` (a, b).  Sets that are surely in
-    no pair are not moved."""
+def _sketched(min_percent: int):
+    """Pairs whose sketches leave room for the overlap they need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            ba, bb = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("ba", "bb")
+            )
+            most = np.where((ba == 255) & (bb == 255), 1 << 40, np.minimum(ba, bb)).sum(1, dtype=np.int64)
+            most = np.minimum(most, np.minimum(n, m))
+            good = 100 * most >= min_percent * (n + m - most)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` (a, b) with ``columns`` of both sides' sets; sets that are
+    surely in no pair are not moved."""
     named = pairs.select(F.col("a").alias("x1")).union(pairs.select("b")).distinct()
-    sets = mark_possible(sets, named, ["x1"]).filter("__possible")
-    left = sets.select(F.col("x1").alias("a"), F.col("shingles").alias("sa"), F.col("prefixes").alias("pa"))
-    right = sets.select(F.col("x1").alias("b"), F.col("shingles").alias("sb"), F.col("prefixes").alias("pb"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb", "pa", "pb")
-    return both.mapInArrow(_verify(min_percent), "a long, b long")
+    sets = mark_possible(sets.select("x1", *columns), named, ["x1"]).filter("__possible")
+    sides = [sets.select(F.col("x1").alias(s), *[F.col(c).alias(f"{c[0]}{s}") for c in columns]) for s in "ab"]
+    both = pairs.join(sides[1], "b").join(sides[0], "a")
+    return both.select("a", "b", *[f"{c[0]}{s}" for c in columns for s in "ab"])
+
+
+def verified(
+    pairs: DataFrame, sets: DataFrame, folder: Folder, name: str, common: np.ndarray, min_percent: int = MIN_PERCENT
+) -> DataFrame:
+    """The linked ones of candidate ``pairs`` (a, b).  Sketches go first; sets
+    move only for pairs that these leave."""
+    near = _both(pairs, sets, ["n", "bins"]).mapInArrow(_sketched(min_percent), CROSS)
+    near = folder.keep(near, f"near-{name}")
+    return _both(near, sets, ["shingles"]).mapInArrow(_verify(min_percent, common), CROSS)
 
 
 CROSS = "a long, b long"
@@ -539,13 +582,14 @@ def _grouped_texts(
     texts = docs.select(x1.alias("x1"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = mark_possible(texts, nodes, ["x1"]).filter("__possible")
     texts = texts.groupBy("x1").agg(F.first("text").alias("text")).join(nodes, "x1")
-    sets = folder.keep(texts.select("x1", "text").mapInArrow(_sets(shingle, min_percent, common), SETS), "sets")
+    sets = folder.keep(texts.select("x1", "text").mapInArrow(_sets(shingle), SETS), "sets")
     meetings = folder.keep(shared.join(sets.select("x1"), "x1"), "meetings")
+    folder.drop("shared", "nodes")
 
     # stars while they link, then every pair that is left between components
     tested = spark.createDataFrame([], CROSS)
     roots = spark.createDataFrame([], "id long, root long")
-    turn, last, joined = 1, False, True
+    turn, merged, last, joined = 1, 0, False, True
     while not last:
         last = turn > STAR_ROUNDS or not joined
         held = meetings.join(roots.withColumnRenamed("id", "x1"), "x1", "left")
@@ -555,12 +599,16 @@ def _grouped_texts(
         step = _between(min_percent, 0 if last else turn)
         found = split.groupBy("bucket").applyInArrow(step, CROSS).distinct()
         fresh = folder.keep(found.join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        more = folder.keep(verified(fresh, sets, min_percent), f"links-{turn}")
+        more = folder.keep(verified(fresh, sets, folder, str(turn), common, min_percent), f"links-{turn}")
+        folder.drop(f"held-{turn}", f"near-{turn}")
         joined = not more.isEmpty()
         if joined:
             tested = tested.union(fresh)
             roots = _merged(roots, more, folder, turn)
+            folder.drop(f"links-{turn}", f"roots-{merged}")
+            merged = turn
         turn += 1
+    folder.drop("meetings")
 
     firsts = plain.filter("n > 0").groupBy("x1").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     named = firsts.join(roots.withColumnRenamed("id", "x1"), "x1", "left").withColumn("root", F.coalesce("root", "x1"))

@@ -56,6 +56,13 @@ class Folder:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later step reads."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle partitions: the caller's sizing for the data."""
