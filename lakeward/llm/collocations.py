@@ -47,9 +47,9 @@ WORD_GAPS = b" \t"
 LONGEST = 4
 LEAST = 30
 TOP = 2000
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
 #: Phrase occurrences per range of keys.
-RANGE_ENTRIES = 2_000_000
+RANGE_ENTRIES = 1_000_000
 
 SHARDS = "shard long, lang string, words array<string>, counts array<long>, numbers binary, opens binary"
 FILTERS = "size int, part int, filter binary"
