@@ -247,6 +247,19 @@ def _suite(df, expected_columns, not_null_columns, key_columns, min_rows):
     ]
 
 
+def evaluate(
+    df: DataFrame,
+    expected_columns: list[str],
+    not_null_columns: list[str],
+    key_columns: list[str] | None,
+    min_rows: int = 1,
+) -> list[CheckResult]:
+    """The standard suite in one aggregation; without ``key_columns`` (None)
+    duplicates are not checked."""
+    suite = _suite(df, expected_columns, not_null_columns, key_columns or [], min_rows)
+    return _evaluate(df, suite if key_columns is not None else suite[:-1])
+
+
 def validate_dataframe(
     df: DataFrame,
     expected_columns: list[str],

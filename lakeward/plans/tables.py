@@ -105,6 +105,7 @@ def create_table_if_not_exists(
     primary_key: list[str] | None = None,
     schema: str = "raw",
     key_buckets: int | None = None,
+    partition_columns: list[str] | None = None,
 ) -> None:
     """Create the schema and an all-text table if missing.  Spark does not
     enforce keys, so the primary key is kept as a table property and asserted
@@ -112,20 +113,22 @@ def create_table_if_not_exists(
 
     ``key_buckets`` partitions the table by a hash bucket of the primary key
     (``_key_bucket``): an upsert then rewrites only the buckets its batch
-    touches instead of the whole table."""
+    touches instead of the whole table.  ``partition_columns`` (text) come
+    before it."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(schema)}")
-    data_cols = [c for c in columns if c != KEY_BUCKET_COLUMN]
+    parts = list(partition_columns or [])
+    data_cols = [c for c in columns if c != KEY_BUCKET_COLUMN and c not in parts] + parts
     cols = ", ".join(f"{_q(c)} STRING" for c in data_cols)
     props = {}
     if primary_key:
         props[PK_PROPERTY] = ",".join(primary_key)
-    partitioning = ""
     if key_buckets:
         if not primary_key:
             raise ValueError("key_buckets needs a primary_key to hash")
         props[BUCKETS_PROPERTY] = str(int(key_buckets))
         cols += f", {KEY_BUCKET_COLUMN} INT"
-        partitioning = f" PARTITIONED BY ({KEY_BUCKET_COLUMN})"
+        parts.append(KEY_BUCKET_COLUMN)
+    partitioning = f" PARTITIONED BY ({', '.join(map(_q, parts))})" if parts else ""
     tbl = ""
     if props:
         tbl = " TBLPROPERTIES (" + ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in props.items()) + ")"

@@ -109,7 +109,7 @@ def test_incremental_promotion(spark, tmp_root):
     batches = spark.table("bronze_stream._stream_batches").orderBy("batch_id").collect()
     assert [b.passed for b in batches] == [True, True, False]
     # replaying a recorded batch is a no-op
-    incremental.gate_batch(spec)(spark.createDataFrame([(9, "z")], SCHEMA), batches[0].batch_id)
+    incremental.gate_batch(spec, ckpt)(spark.createDataFrame([(9, "z")], SCHEMA), batches[0].batch_id)
     spark.catalog.refreshTable("bronze_stream.pedidos")
     assert spark.table("bronze_stream.pedidos").count() == 3
 
