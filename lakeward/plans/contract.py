@@ -10,14 +10,12 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import CheckResult, qcol
-from ..session import ship_library
-from ..sources.landing import _local_or_uri
+from ..sources import footers
 
 
 def as_struct(contract) -> T.StructType:
@@ -59,71 +57,18 @@ def check_contract(df: DataFrame, contract, allow_extra: bool = True) -> list[Ch
     return [CheckResult("contract", not v, "Contract OK" if not v else "; ".join(v))]
 
 
-# Arrow → Spark type names for footer checks (the Parquet writer's mapping).
-def _arrow_to_spark(t) -> str:
-    import pyarrow as pa
-
-    if pa.types.is_int64(t):
-        return "bigint"
-    if pa.types.is_int32(t):
-        return "int"
-    if pa.types.is_int16(t):
-        return "smallint"
-    if pa.types.is_int8(t):
-        return "tinyint"
-    if pa.types.is_float64(t):
-        return "double"
-    if pa.types.is_float32(t):
-        return "float"
-    if pa.types.is_boolean(t):
-        return "boolean"
-    if pa.types.is_string(t) or pa.types.is_large_string(t):
-        return "string"
-    if pa.types.is_binary(t) or pa.types.is_large_binary(t):
-        return "binary"
-    if pa.types.is_date32(t):
-        return "date"
-    if pa.types.is_timestamp(t):
-        return "timestamp" if t.tz else "timestamp_ntz"
-    if pa.types.is_decimal(t):
-        return f"decimal({t.precision},{t.scale})"
-    if pa.types.is_list(t) or pa.types.is_large_list(t):
-        return f"array<{_arrow_to_spark(t.value_type)}>"
-    if pa.types.is_struct(t):
-        return "struct<" + ",".join(f"{f.name}:{_arrow_to_spark(f.type)}" for f in t) + ">"
-    if pa.types.is_map(t):
-        return f"map<{_arrow_to_spark(t.key_type)},{_arrow_to_spark(t.item_type)}>"
-    return str(t)
-
-
-def _footer_ddl(batches):
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        ddl, rows = [], []
-        for p in pdf["path"]:
-            try:
-                fs, inner = _local_or_uri(p)
-                with fs.open_input_file(inner) as fh:
-                    meta = pq.ParquetFile(fh).metadata
-                    schema = meta.schema.to_arrow_schema()
-                ddl.append(",".join(f"{f.name}:{_arrow_to_spark(f.type)}" for f in schema))
-                rows.append(meta.num_rows)
-            except Exception as exc:  # the file then does not conform
-                ddl.append(f"unreadable footer ({type(exc).__name__}: {exc})")
-                rows.append(None)
-        yield pd.DataFrame({"path": pdf["path"], "ddl": ddl, "footer_rows": rows})
-
-
 def file_conformance(spark: SparkSession, files: list[str], contract) -> DataFrame:
     """Per file: does its footer schema (names and types, in order) equal the
-    contract?  Footers are read on the executors.  Output ``path, ddl,
-    footer_rows, conforms``."""
-    ship_library(spark)
-    expected = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in as_struct(contract).fields)
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
-    out = paths.mapInPandas(_footer_ddl, "path string, ddl string, footer_rows long")
-    return out.withColumn("conforms", F.col("ddl") == F.lit(expected))
+    contract?  Output ``path, ddl, footer_rows, conforms``; a file whose footer
+    cannot be read does not conform and has the reason as its ``ddl``."""
+    found = footers.footers(spark, files)
+    ddl = footers.ddl_of(F.col("schema"))
+    return found.select(
+        "path",
+        F.coalesce(ddl, F.concat(F.lit("unreadable footer ("), "error", F.lit(")"))).alias("ddl"),
+        F.col("n_rows").alias("footer_rows"),
+        F.coalesce(ddl == F.lit(footers.schema_ddl(as_struct(contract))), F.lit(False)).alias("conforms"),
+    )
 
 
 def file_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -147,43 +92,96 @@ def file_checksums(spark: SparkSession, files: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ manifests
 
+MANIFEST = footers.FOOTERS.replace("error string, ", "") + ", version string, length long, sha256 string"
+
 
 def manifest_path(prefix: str, version: str) -> str:
     return f"{prefix.rstrip('/')}/_manifests/v={version}"
 
 
 def write_manifest(
-    spark: SparkSession, prefix: str, version: str, files: list[str], contract=None
+    spark: SparkSession, prefix: str, version: str, files: list[str], contract=None, checksums: bool = True
 ) -> DataFrame:
-    """Write the manifest of one dataset version: ``version, path, length,
-    sha256, footer_rows, ddl``.  A version is written once
-    (``errorifexists``).  Returns the manifest as read back."""
-    sums = file_checksums(spark, files)
-    feet = file_conformance(spark, files, contract) if contract is not None else None
-    man = sums
-    if feet is not None:
-        bad = feet.filter(~F.col("conforms")).select("path").limit(1).collect()
-        if bad:
-            raise ValueError(f"File does not conform to the contract: {bad[0]['path']}")
-        man = sums.join(feet.select("path", "footer_rows", "ddl"), "path")
+    """Write the manifest of one dataset version: a row per file with its
+    schema, rows and the nulls, minimum and maximum of each column, all from
+    the footers, its length and (``checksums``) the SHA-256 of its bytes, for
+    which the files are read once, in parallel.  A version is written once
+    (``errorifexists``); a file without a readable footer, or one that does not
+    conform to the ``contract``, stops it.  Returns the manifest as read back."""
+    found = footers.footers(spark, files)
+    expected = None if contract is None else footers.schema_ddl(as_struct(contract))
+    wrong = F.col("error").isNotNull()
+    if expected is not None:
+        wrong = wrong | F.coalesce(footers.ddl_of(F.col("schema")) != F.lit(expected), F.lit(True))
+    bad = found.filter(wrong).orderBy("path").limit(1).collect()
+    if bad:
+        why = "has an unreadable footer" if bad[0]["error"] else "does not conform to the contract"
+        raise ValueError(f"File {why}: {bad[0]['path']}")
+    sizes = file_checksums(spark, files) if checksums else file_lengths(spark, files)
+    rows = found.join(sizes.withColumnRenamed("path", "listed"), _plain_path(F.col("path")) == _plain_path(F.col("listed")))
     target = manifest_path(prefix, version)
-    man.withColumn("version", F.lit(version)).coalesce(1).write.mode("errorifexists").json(target)
-    return spark.read.json(target)
+    rows.withColumn("version", F.lit(version)).select(*T.StructType.fromDDL(MANIFEST).fieldNames()).write.mode(
+        "errorifexists"
+    ).json(target)
+    return read_manifest(spark, prefix, version)
+
+
+def _plain_path(path) -> F.Column:
+    """A path without the scheme that only some of Spark's sources show."""
+    return F.regexp_replace(path, r"^file:/*", "/")
+
+
+def file_lengths(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``path, length, sha256`` (null) of each file; contents are not read."""
+    listed = spark.read.format("binaryFile").load(files).select("path", "length")
+    return listed.withColumn("sha256", F.lit(None).cast("string"))
+
+
+def read_manifest(spark: SparkSession, prefix: str, version: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(manifest_path(prefix, version))
 
 
 def read_manifest_files(spark: SparkSession, prefix: str, version: str) -> list[str]:
     """File list of a version (as long as the version's file count)."""
-    rows = spark.read.json(manifest_path(prefix, version)).select("path").collect()
+    rows = read_manifest(spark, prefix, version).select("path").collect()
     return sorted(r["path"] for r in rows)
 
 
-def read_version(spark: SparkSession, prefix: str, version: str, contract=None) -> DataFrame:
+def matching_files(spark: SparkSession, prefix: str, version: str, ranges: dict, contract=None) -> list[str]:
+    """Files of a version whose statistics leave room for a row in all
+    ``ranges``: column -> (least, most), inclusive, None for an open end."""
+    manifest = read_manifest(spark, prefix, version)
+    one = manifest.select("schema").first()
+    if one is None:
+        return []
+    schema = as_struct(contract) if contract is not None else as_struct(one["schema"])
+    can = F.lit(True)
+    for name, (low, high) in ranges.items():
+        can = can & footers.may_match(name, schema[name].dataType, low, high)
+    return sorted(r["path"] for r in manifest.filter(can).select("path").collect())
+
+
+def read_version(spark: SparkSession, prefix: str, version: str, contract=None, ranges: dict | None = None) -> DataFrame:
     """Read exactly the files of an approved version (optionally with the
-    contract as read schema)."""
+    contract as read schema).
+
+    With ``ranges`` (column -> (least, most), inclusive, None for an open end)
+    only rows in all of them, from the files whose statistics in the manifest
+    leave room for one; the others are not opened."""
     files = read_manifest_files(spark, prefix, version)
     if not files:
         raise ValueError(f"Manifest {version} under {prefix} lists no files")
     reader = spark.read
     if contract is not None:
         reader = reader.schema(as_struct(contract))
-    return reader.parquet(*files)
+    if not ranges:
+        return reader.parquet(*files)
+    chosen = matching_files(spark, prefix, version, ranges, contract)
+    df = reader.parquet(*(chosen or files[:1]))
+    for name, (low, high) in ranges.items():
+        kind = df.schema[name].dataType
+        if low is not None:
+            df = df.filter(qcol(name) >= F.lit(low).cast(kind))
+        if high is not None:
+            df = df.filter(qcol(name) <= F.lit(high).cast(kind))
+    return df if chosen else df.limit(0)

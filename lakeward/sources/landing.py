@@ -15,18 +15,19 @@ from __future__ import annotations
 import logging
 from datetime import date
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import parse_landing_path
-from ..session import ship_library
-from .paths import landing_prefix
+from . import footers
+from .paths import landing_prefix, window_patterns
 
 log = logging.getLogger(__name__)
 
+LISTING = "path string, length long, modificationTime timestamp"
+
 
 def write_landing(df: DataFrame, path: str, overwrite: bool = False) -> str:
     """Write a frame as one landing run and return the path.
@@ -58,9 +59,7 @@ def list_files_df(spark: SparkSession, prefix: str, ext: str = "parquet") -> Dat
         )
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame(
-                [], "path string, length long, modificationTime timestamp"
-            )
+            return spark.createDataFrame([], LISTING)
         raise
 
 
@@ -76,43 +75,11 @@ def list_files(spark: SparkSession, prefix: str, ext: str = "parquet") -> list[s
 # ------------------------------------------------------------ footers (U01)
 
 
-def _local_or_uri(path: str):
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    if path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
-def _footer_schemas(batches):
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        out, errors = [], []
-        for p in pdf["path"]:
-            try:
-                fs, inner = _local_or_uri(p)
-                with fs.open_input_file(inner) as fh:
-                    schema = pq.read_schema(fh)
-                out.append(", ".join(f"{f.name}: {f.type}" for f in schema))
-                errors.append(None)
-            except Exception as exc:  # reported per file by the caller
-                out.append(None)
-                errors.append(f"{type(exc).__name__}: {exc}")
-        yield pd.DataFrame({"path": pdf["path"], "schema": out, "error": errors})
-
-
 def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
-    """``(path, schema, error)`` for every file, read from the Parquet footers
-    on the executors (only the footer bytes are fetched); an unreadable footer
-    has an error and no schema."""
-    ship_library(spark)
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
-    return paths.mapInPandas(_footer_schemas, "path string, schema string, error string")
+    """``(path, schema, error)`` of every file, from the footers; ``schema`` is
+    its columns with Spark's types."""
+    found = footers.footers(spark, files)
+    return found.select("path", footers.ddl_of(F.col("schema")).alias("schema"), "error")
 
 
 def assert_same_schema(spark: SparkSession, files: list[str]) -> None:
@@ -144,11 +111,23 @@ def assert_conforms(spark: SparkSession, files: list[str], contract: T.StructTyp
     """Raise ``ValueError`` when a file's footer schema (names and types, in
     order) differs from the contract; footers are read on the executors and
     only the first offending file reaches the driver."""
-    from ..plans.contract import file_conformance
-
-    bad = file_conformance(spark, files, contract).filter(~F.col("conforms")).limit(1).collect()
+    expected = footers.schema_ddl(contract)
+    same = F.coalesce(F.col("schema") == F.lit(expected), F.lit(False))
+    bad = file_schemas(spark, files).filter(~same).orderBy("path").limit(1).collect()
     if bad:
-        raise ValueError(f"Landing file does not match the contract: {bad[0]['path']} has [{bad[0]['ddl']}]")
+        has = bad[0]["schema"] or f"unreadable footer ({bad[0]['error']})"
+        raise ValueError(f"Landing file does not match the contract: {bad[0]['path']} has [{has}]")
+
+
+def _read_files(spark: SparkSession, files: list[str], schema: T.StructType | None, strict: bool = True) -> DataFrame:
+    """Files as one frame, after the footer check."""
+    if strict:
+        if schema is not None:
+            assert_conforms(spark, files, schema)
+        else:
+            assert_same_schema(spark, files)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*files)
 
 
 def load_landing(
@@ -171,15 +150,7 @@ def load_landing(
     files = list_files(spark, prefix)
     if not files:
         raise ValueError(f"No Parquet files found at: {prefix}")
-    if strict:
-        if schema is not None:
-            assert_conforms(spark, files, schema)
-        else:
-            assert_same_schema(spark, files)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(*files)
+    df = _read_files(spark, files, schema, strict)
     log.info("Loaded %d file(s) under %s", len(files), prefix)
     return files, df
 
@@ -216,10 +187,23 @@ def latest_run_files(
     return sorted(row["files"]) if row else []
 
 
-def entity_files(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
-    """Every landing file of an entity with its parsed ``run_date`` and
-    ``run_id`` (metadata only: one listing, no file content read)."""
-    files = list_files_df(spark, f"{root}/{source}/{entity}")
+def entity_files(
+    spark: SparkSession, root: str, source: str, entity: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """Landing files of an entity with their parsed ``run_date`` and ``run_id``
+    (metadata only, no file content read).
+
+    With a window only its days are listed: the layout has no ``key=value``
+    folders that Spark could prune, so the days become path patterns
+    (:func:`paths.window_patterns`), and days that do not exist cost nothing.
+    Spark lists many folders in parallel, on the executors."""
+    if start is not None and end is not None:
+        patterns = window_patterns(root, source, entity, start, end)
+        files = spark.createDataFrame([], LISTING)
+        for pattern in patterns:
+            files = files.unionByName(list_files_df(spark, pattern))
+    else:
+        files = list_files_df(spark, f"{root}/{source}/{entity}")
     parsed = parse_landing_path(F.col("path"))
     return files.select("path", "length", "modificationTime", parsed["run_date"].alias("run_date"), parsed["run_id"].alias("run_id"))
 
@@ -230,6 +214,14 @@ def landing_days(spark: SparkSession, root: str, source: str, entity: str) -> li
     return sorted(r["run_date"] for r in rows if r["run_date"] is not None)
 
 
+def _window_paths(files: DataFrame, what: str) -> list[str]:
+    """Sorted paths of a window, which Spark's reader takes from the driver."""
+    paths = sorted(r["path"] for r in files.select("path").collect())
+    if not paths:
+        raise ValueError(f"No Parquet files found for {what}")
+    return paths
+
+
 def load_window(
     spark: SparkSession,
     root: str,
@@ -240,38 +232,25 @@ def load_window(
     schema: T.StructType | None = None,
     strict: bool = True,
 ) -> tuple[list[str], DataFrame]:
-    """All runs of the days in ``[start, end]`` (window reprocessing).
-
-    The layout is not hive-style, so the date filter is applied to the
-    listing (parsed from each path) and only the selected files are read."""
-    sel = (
-        entity_files(spark, root, source, entity)
-        .filter((F.col("run_date") >= F.lit(start)) & (F.col("run_date") <= F.lit(end)))
-        .select("path")
-        .collect()
+    """All runs of the days in ``[start, end]`` (window reprocessing); only
+    those days are listed."""
+    files = _window_paths(
+        entity_files(spark, root, source, entity, start, end), f"{source}/{entity} between {start} and {end}"
     )
-    files = sorted(r["path"] for r in sel)
-    if not files:
-        raise ValueError(f"No Parquet files found for {source}/{entity} between {start} and {end}")
-    if strict:
-        if schema is not None:
-            assert_conforms(spark, files, schema)
-        else:
-            assert_same_schema(spark, files)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return files, reader.parquet(*files)
+    return files, _read_files(spark, files, schema, strict)
 
 
-def latest_runs(spark: SparkSession, root: str, source: str, entity: str) -> DataFrame:
-    """The newest run of every day of an entity: ``run_date, run_id,
-    modified, files`` (one row per day; a re-run adds a run rather than
-    replacing one, so readers that want one version per day take this)."""
+def latest_runs(
+    spark: SparkSession, root: str, source: str, entity: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """The newest run of every day of an entity (or of a window of days):
+    ``run_date, run_id, modified, files`` (one row per day; a re-run adds a run
+    rather than replacing one, so readers that want one version per day take
+    this)."""
     from ..operators.dedup import latest_per_group
 
     runs = (
-        entity_files(spark, root, source, entity)
+        entity_files(spark, root, source, entity, start, end)
         .filter(F.col("run_date").isNotNull())
         .groupBy("run_date", "run_id")
         .agg(F.max("modificationTime").alias("modified"), F.collect_list("path").alias("files"))
@@ -289,18 +268,8 @@ def load_latest(
     schema: T.StructType | None = None,
 ) -> tuple[list[str], DataFrame]:
     """Read only the newest run of each day in ``[start, end]``."""
-    rows = (
-        latest_runs(spark, root, source, entity)
-        .filter((F.col("run_date") >= F.lit(start)) & (F.col("run_date") <= F.lit(end)))
-        .select(F.explode("files").alias("path"))
-        .collect()
+    newest = latest_runs(spark, root, source, entity, start, end)
+    files = _window_paths(
+        newest.select(F.explode("files").alias("path")), f"{source}/{entity} between {start} and {end}"
     )
-    files = sorted(r["path"] for r in rows)
-    if not files:
-        raise ValueError(f"No Parquet files found for {source}/{entity} between {start} and {end}")
-    if schema is not None:
-        assert_conforms(spark, files, schema)
-    else:
-        assert_same_schema(spark, files)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return files, reader.parquet(*files)
+    return files, _read_files(spark, files, schema)

@@ -62,6 +62,35 @@ def day_prefixes(root: str, source: str, entity: str, start: date, end: date) ->
     ]
 
 
+def _escaped(path: str) -> str:
+    """A path whose characters mean nothing in a path pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def window_patterns(root: str, source: str, entity: str, start: date, end: date) -> list[str]:
+    """Path patterns for the day folders in ``[start, end]``, at most three: one
+    for whole years, one for whole months, one for single days.  A pattern
+    names what may exist; folders that do not are no error."""
+    base = "/".join([root, *(_escaped(x) for x in (source, entity))])
+    years, months, days = [], [], []
+    day = start
+    while day <= end:
+        next_year = date(day.year + 1, 1, 1)
+        next_month = date(day.year + day.month // 12, day.month % 12 + 1, 1)
+        if day.month == day.day == 1 and next_year - timedelta(days=1) <= end:
+            years.append(f"{day.year:04d}")
+            day = next_year
+        elif day.day == 1 and next_month - timedelta(days=1) <= end:
+            months.append(f"{day.year:04d}/{day.month:02d}")
+            day = next_month
+        else:
+            days.append(f"{day.year:04d}/{day.month:02d}/{day.day:02d}")
+            day += timedelta(days=1)
+    two = "[0-9][0-9]"
+    parts = [(years, f"/{two}/{two}"), (months, f"/{two}"), (days, "")]
+    return [f"{base}/{{{','.join(found)}}}{rest}" for found, rest in parts if found]
+
+
 def expired_prefixes(
     root: str, source: str, entity: str, days_present: list[date], keep_days: int, today: date
 ) -> list[str]:
