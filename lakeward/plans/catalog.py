@@ -22,8 +22,7 @@ from ..functions.text import iso_text, landing_path_col, parse_landing_path, uni
 from ..operators import dedup, quality, records
 from ..sources import bundles, landing, messages, responses
 from ..session import shared_dir
-from ..streaming import incremental
-from . import contract, governance, layers, tables
+from . import contract, flows, governance, layers, tables
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,30 +130,6 @@ def q_bronze_promotion(spark, sf_dir):
     return spark.table(tables.fq_name("orders", schema)).select(*BRONZE_COLUMNS, "_run_id")
 
 
-def q_incremental_bronze(spark, sf_dir):
-    """Incremental promotion with Structured Streaming: a file stream over the
-    entity's landing folder (availableNow), each micro-batch gated by the
-    suite and de-duplicated against the key buckets it touches in a
-    key-bucketed bronze table before it is appended."""
-    root = shared_dir(spark, "lake", unique=True)
-    _land_orders_day(spark, sf_dir, root)
-    schema = _scratch_schema(spark)
-    landed = _t(spark, sf_dir, "orders").select(*BRONZE_COLUMNS).schema
-    spec = incremental.StreamSpec(
-        "orders", "orders", schema, BRONZE_COLUMNS, ["o_orderkey"], ["o_orderkey"], order_by=["o_orderdate"], key_buckets=4
-    )
-    # one file per trigger: every landed file is its own gated micro-batch,
-    # and later batches are de-duplicated against what earlier ones wrote
-    batches = incremental.run_available_now(
-        spark, f"{root}/erp/orders", landed, spec,
-        checkpoint_location=shared_dir(spark, "streams", unique=True), max_files_per_trigger=1,
-    )
-    failed = batches.filter(~F.col("passed")).limit(1).collect()
-    if failed:
-        raise RuntimeError(f"micro-batch blocked: {failed[0]['messages']}")
-    return spark.table(tables.fq_name("orders", schema)).select(*BRONZE_COLUMNS)
-
-
 # ------------------------------------------------------- dedup / upsert / set
 
 
@@ -550,7 +525,6 @@ QUERIES = {
     "check_not_null": q_not_null,
     "landing_flow": q_landing_flow,
     "bronze_promotion": q_bronze_promotion,
-    "incremental_bronze": q_incremental_bronze,
     "check_null_rate": q_null_rate,
     "check_no_duplicates": q_no_duplicates,
     "duplicate_keys": q_duplicate_keys,
@@ -582,4 +556,5 @@ QUERIES = {
     "source_watermark": q_source_watermark,
     "silver_lineitem": q_silver_lineitem,
     "gold_region_orders": q_gold_region_revenue,
+    **flows.QUERIES,
 }

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from . import flows
+
 _ISO = (
     "CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
     "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END"
@@ -180,11 +182,6 @@ ORACLE_SQL: dict[str, str] = {
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
        CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority, 'run-20240101' AS _run_id
 FROM orders
-""",
-    "incremental_bronze": """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
-       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
-FROM orders
 """,
     "check_null_rate": _NULL_RATE,
     "check_no_duplicates": _NO_DUPLICATES,
@@ -338,4 +335,5 @@ JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 GROUP BY r_name, year(o_orderdate)
 """,
+    **flows.SQL,
 }

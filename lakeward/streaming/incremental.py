@@ -27,6 +27,7 @@ import hashlib
 import logging
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -176,9 +177,9 @@ def quarantine_root(spark: SparkSession, spec: StreamSpec) -> str:
     return spec.quarantine or durable_dir(spark, "quarantine", spec.schema, spec.name)
 
 
-def gate_batch(spec: StreamSpec, checkpoint: str):
+def gate_batch(spec: StreamSpec, checkpoint: str, redo: bool = False):
     """``foreachBatch`` function of the stream with the ``checkpoint``
-    location."""
+    location; ``redo`` writes a batch again that has a record."""
     known: list[str] = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -186,7 +187,7 @@ def gate_batch(spec: StreamSpec, checkpoint: str):
         if not known:
             known.append(checkpoint_id(spark, checkpoint))
         results = _results_table(spark, spec.schema)
-        if _recorded(spark, results, spec.name, known[0], batch_id):
+        if not redo and _recorded(spark, results, spec.name, known[0], batch_id):
             log.info("Batch %s of %s already processed; skipped", batch_id, spec.name)
             return
         name = batch_name(known[0], batch_id)
@@ -239,6 +240,25 @@ def start_incremental_promotion(
     return writer.start()
 
 
+def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
+    """Files of a micro-batch, from the file source's log in the checkpoint."""
+    entry = F.from_json("value", "path string, batchId long").alias("e")
+    log_lines = spark.read.text(f"{checkpoint.rstrip('/')}/sources/0").filter(F.col("value").startswith("{"))
+    rows = log_lines.select(entry).select("e.*").filter(F.col("batchId") == batch_id).distinct().collect()
+    return sorted(unquote(r["path"]) for r in rows)
+
+
+def replay(spark: SparkSession, spec: StreamSpec, checkpoint: str, batch_id: int, schema: T.StructType) -> None:
+    """Gate and write a batch again from its files, whatever its record says:
+    after a rule changed, or to prove that a replay changes nothing.  Later
+    batches compare themselves with the batch as it was."""
+    files = batch_files(spark, checkpoint, batch_id)
+    if not files:
+        raise ValueError(f"{checkpoint} has no batch {batch_id}")
+    gate_batch(spec, checkpoint, redo=True)(spark.read.schema(schema).parquet(*files), batch_id)
+    spark.catalog.refreshTable(tables.fq_name(spec.table, spec.schema))
+
+
 def _finished(query, name: str, timeout_seconds: int | None) -> None:
     if query.awaitTermination(timeout_seconds) is False:
         query.stop()
