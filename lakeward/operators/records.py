@@ -207,22 +207,45 @@ def apply_types(
     ``reject_column`` adds the number of cells per row that were not null
     before and null after the cast, so the caller can count rejects.
     """
-    cols, rejects = [], []
-    for c in df.columns:
-        if c in contract:
-            target = contract[c]
-            target_t = T.DataType.fromDDL(target) if isinstance(target, str) else target
-            typed = qcol(c).try_cast(target_t)
-            rejects.append(F.when(qcol(c).isNotNull() & typed.isNull(), 1).otherwise(0))
-            cols.append(typed.alias(c))
-        else:
-            cols.append(qcol(c))
+    cols = _typed_columns(df, contract)
     if reject_column:
-        total = reduce(lambda a, b: a + b, rejects, F.lit(0))
-        cols.append(total.alias(reject_column))
+        lost = [
+            F.when(qcol(c).isNotNull() & qcol(c).try_cast(_kind(contract[c])).isNull(), 1).otherwise(0)
+            for c in df.columns
+            if c in contract
+        ]
+        cols.append(reduce(lambda a, b: a + b, lost, F.lit(0)).alias(reject_column))
     return df.select(*cols)
 
 
+def _kind(target: T.DataType | str) -> T.DataType:
+    return T.DataType.fromDDL(target) if isinstance(target, str) else target
+
+
+def _typed_columns(df: DataFrame, contract: dict) -> list:
+    return [qcol(c).try_cast(_kind(contract[c])).alias(c) if c in contract else qcol(c) for c in df.columns]
+
+
+REJECTS = "_rejects"
+
+
+def typed_with_rejects(df: DataFrame, contract: dict[str, T.DataType | str]) -> DataFrame:
+    """Columns typed as :func:`apply_types` does, and ``_rejects``: for each
+    cell that did not convert, its column, its text and the type it should
+    have had."""
+    cells = []
+    for c in df.columns:
+        if c in contract:
+            kind = _kind(contract[c])
+            cell = F.struct(
+                F.lit(c).alias("column"), qcol(c).cast("string").alias("value"), F.lit(kind.simpleString()).alias("type")
+            )
+            cells.append(F.when(qcol(c).isNotNull() & qcol(c).try_cast(kind).isNull(), cell))
+    none = F.array().cast("array<struct<column: string, value: string, type: string>>")
+    rejects = F.filter(F.array(*cells), lambda x: x.isNotNull()) if cells else none
+    return df.select(*_typed_columns(df, contract), rejects.alias(REJECTS))
+
+
 # ---------------------------------------------------------------- set ops
 
 

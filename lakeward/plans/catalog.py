@@ -373,15 +373,12 @@ def q_mailed_reports(spark, sf_dir):
     mode), stamp the ingest time, and keep the first loaded report per
     (user, event type)."""
     msgs = _messages_from_events(spark, sf_dir)
-    rows, _rejected = messages.process_mailed_reports(
-        msgs, "@reports.example.org", "daily report", None, target_date=date(2024, 1, 15),
-        ext="csv", id_columns=["message_id"],
-    )
-    stamped = records.stamp_ingest(rows)
-    deduped = dedup.remove_duplicates(
-        stamped, ["user_id", "event_type"], ["dt_ingest", "bundle_id", "row_ordinal"]
+    schema = _scratch_schema(spark)
+    layers.ingest_mailed_report(
+        spark, msgs, "@reports.example.org", "daily report", None, "reports", schema, target_date=date(2024, 1, 15),
+        key_columns=["user_id", "event_type"], ext="csv", id_columns=["message_id"],
     )
-    return deduped.select("event_id", "user_id", "event_type")
+    return spark.table(tables.fq_name("reports", schema)).select("event_id", "user_id", "event_type")
 
 
 @F.pandas_udf(T.BinaryType())
@@ -485,16 +482,35 @@ def q_source_watermark(spark, sf_dir):
 
 
 def q_silver_lineitem(spark, sf_dir):
-    """Bronze text → silver: de-duplicate, type by contract, standard names."""
+    """Bronze text → silver: names to standardise, typed by contract with the
+    rejected cells beside it (the tax of returned lines reads "n/a"),
+    de-duplicated; returns the silver table after its counts are checked."""
+    schema = _scratch_schema(spark)
+    result = _promote_lineitem(spark, sf_dir, schema)
+    if not result.passed or result.rejected_cells != result.rejected_rows:
+        raise RuntimeError(f"promotion to silver: {result}")
+    return spark.table(tables.fq_name("lineitem", schema))
+
+
+def q_silver_rejects(spark, sf_dir):
+    """Cells that the promotion of ``lineitem`` could not type."""
+    schema = _scratch_schema(spark)
+    _promote_lineitem(spark, sf_dir, schema)
+    return spark.table(tables.fq_name("lineitem_rejects", schema)).drop("rejected_at")
+
+
+def _promote_lineitem(spark, sf_dir, schema):
     bronze = records.cast_text(_t(spark, sf_dir, "lineitem"))
+    bronze = bronze.withColumn("l_tax", F.expr("if(l_returnflag = 'R', 'n/a', l_tax)"))
+    bronze = bronze.toDF(*[c.replace("l_", "L ").replace("key", " Key") for c in bronze.columns])
     contract = {
-        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+        "l_order_key": "bigint", "l_part_key": "bigint", "l_supp_key": "bigint", "l_linenumber": "int",
         "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
         "l_shipdate": "timestamp_ntz",
     }
-    typed = records.apply_types(bronze, contract)
-    deduped = dedup.remove_duplicates(typed, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
-    return records.standardize_columns(deduped)
+    return layers.promote_to_silver(
+        spark, bronze, "lineitem", schema, contract, ["l_order_key", "l_linenumber"], ["l_shipdate"], max_reject_share=0.9
+    )
 
 
 def q_gold_region_revenue(spark, sf_dir):
@@ -555,6 +571,7 @@ QUERIES = {
     "response_classify": q_response_classify,
     "source_watermark": q_source_watermark,
     "silver_lineitem": q_silver_lineitem,
+    "silver_rejects": q_silver_rejects,
     "gold_region_orders": q_gold_region_revenue,
     **flows.QUERIES,
 }

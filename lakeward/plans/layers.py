@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, quality, records
 from ..operators.quality import CheckResult
+from ..session import remove_folder, shared_dir
 from ..sources import bundles, landing, messages
 from ..sources.paths import build_landing_path
 from . import governance, tables
@@ -104,6 +105,76 @@ def bronze_to_silver(
     return dedup.remove_duplicates(typed, key_columns, order_by)
 
 
+@dataclass
+class SilverResult:
+    """``rejected_rows`` are rows with a cell that did not convert; the cells
+    are in the reject table, whether the promotion passed or not."""
+
+    passed: bool
+    rows_read: int
+    rejected_rows: int
+    rejected_cells: int
+    rows_written: int = 0
+
+    @property
+    def share(self) -> float:
+        return self.rejected_rows / self.rows_read if self.rows_read else 0.0
+
+
+def promote_to_silver(
+    spark: SparkSession,
+    bronze: DataFrame,
+    table: str,
+    schema: str,
+    contract: dict,
+    key_columns: list[str],
+    order_by: list,
+    max_reject_share: float = 0.0,
+    reject_table: str | None = None,
+) -> SilverResult:
+    """Bronze → silver with the rejected cells as a table beside it.
+
+    Names are standardised and cells typed in one pass over bronze, which
+    writes the typed rows once and counts rows, rejected rows and rejected
+    cells on the way.  From there go two sinks: ``reject_table`` (default
+    ``{table}_rejects``) gets one row per rejected cell with the row's keys,
+    column, text and type; silver gets the first row per key, with null in
+    rejected cells, if no more than ``max_reject_share`` of the rows had one.
+    Otherwise silver stays as it was."""
+    typed = records.typed_with_rejects(records.standardize_columns(bronze), contract)
+    seen = Observation("typed")
+    count = F.size(records.REJECTS)
+    staging = shared_dir(spark, "staging", f"{schema}.{table}", unique=True)
+    typed.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(count > 0).alias("bad"), F.coalesce(F.sum(count), F.lit(0)).alias("cells")
+    ).write.parquet(staging)
+    n = seen.get
+    staged = spark.read.schema(typed.schema).parquet(staging)
+    result = SilverResult(True, n["rows"], n["bad"], n["cells"])
+    result.passed = result.share <= max_reject_share
+    if result.rejected_cells:
+        keys = [F.col(f"`{k}`").cast("string").alias(k) for k in key_columns]
+        cells = staged.filter(count > 0).select(*keys, F.inline(records.REJECTS))
+        _append(spark, cells.withColumn("rejected_at", F.current_timestamp()), reject_table or f"{table}_rejects", schema)
+        log.warning("%s.%s: %d cells of %d rows did not convert", schema, table, result.rejected_cells, result.rejected_rows)
+    if result.passed:
+        first = dedup.remove_duplicates(staged.drop(records.REJECTS), key_columns, order_by)
+        result.rows_written = tables.replace_content(spark, first, table, schema)
+    remove_folder(spark, staging)
+    return result
+
+
+def _append(spark: SparkSession, frame: DataFrame, table: str, schema: str) -> int:
+    """Append a typed frame to a table, created when missing; returns the
+    number of rows, observed during the write."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    seen = Observation("appended")
+    frame.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").format("parquet").saveAsTable(
+        tables.fq_name(table, schema)
+    )
+    return seen.get["n"]
+
+
 def publish_gold(
     spark: SparkSession,
     df: DataFrame,
@@ -112,20 +183,19 @@ def publish_gold(
     model: str,
     models: DataFrame,
     columns: DataFrame,
+    violations_table: str | None = None,
 ) -> int:
     """Write a gold table only when its documentation is complete (model
     description, owner, origin, class, business question; every column
-    described, calculated columns with their rule)."""
-    v = governance.documentation_violations(models.filter(F.col("model") == model), columns.filter(F.col("model") == model))
-    bad = v.limit(20).collect()
-    if bad:
-        raise ValueError(f"Gold model {model} is not documented: {[tuple(r) for r in bad]}")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    obs = Observation("gold")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format("parquet").saveAsTable(
-        f"`{schema}`.`{table}`"
-    )
-    return obs.get["n"]
+    described, calculated columns with their rule).  What is missing goes to
+    ``violations_table`` (default ``{table}_documentation_gaps``), all of it.
+    The table keeps its properties and comments when it is replaced."""
+    gaps = governance.documentation_violations(models.filter(F.col("model") == model), columns.filter(F.col("model") == model))
+    if not gaps.isEmpty():
+        where = violations_table or f"{table}_documentation_gaps"
+        n = _append(spark, gaps.withColumn("checked_at", F.current_timestamp()), where, schema)
+        raise ValueError(f"Gold model {model} is not documented: {n} gap(s), listed in {schema}.{where}")
+    return tables.replace_content(spark, df, table, schema)
 
 
 def ingest_mailed_report(
@@ -141,19 +211,25 @@ def ingest_mailed_report(
     subject_suffix: str | None = None,
     delimiter: str | None = None,
     key_buckets: int | None = None,
+    key_columns: list[str] | None = None,
+    **selection,
 ) -> tuple[int, int]:
     """Mailed ZIP reports → table: select, extract, stamp ``dt_ingest``,
-    append, then remove duplicates on the mapped business columns keeping
-    the first loaded row.  Returns ``(rows appended, rows kept)``;
-    ``(0, 0)`` when nothing valid arrived.
+    append, then remove duplicates on ``key_columns`` (default: the mapped
+    business columns, or all) keeping the first loaded row.  Returns ``(rows
+    appended, rows kept)``; ``(0, 0)`` when nothing valid arrived.  Rejected
+    bundles go to ``{table}_rejected`` with their error.  ``selection`` goes to
+    :func:`lakeward.sources.messages.process_mailed_reports` (``ext``,
+    ``id_columns``).
 
     ``key_buckets`` (for a new table) buckets it by the business columns, so
     each load de-duplicates only the buckets it touched."""
     rows, rejected = messages.process_mailed_reports(
-        mail, sender_email, subject, column_mapping, skiprows, target_date, subject_suffix, delimiter
+        mail, sender_email, subject, column_mapping, skiprows, target_date, subject_suffix, delimiter, **selection
     )
-    for r in rejected.toLocalIterator():
-        log.warning("Bundle %s skipped: %s", r["bundle_id"], r["error"])
+    if not rejected.isEmpty():
+        n = _append(spark, rejected.withColumn("rejected_at", F.current_timestamp()), f"{table}_rejected", schema)
+        log.warning("%d bundle(s) skipped, listed in %s.%s_rejected", n, schema, table)
     if rows.isEmpty():
         log.warning("No CSV processed")
         return 0, 0
@@ -165,7 +241,7 @@ def ingest_mailed_report(
     )
     business = [c for c in rows.columns if c not in bundles.BUNDLE_KEYS]
     staged = records.stamp_ingest(rows.select(*[quality.qcol(c) for c in business], load_key.alias("_load_key")))
-    keys = list(column_mapping.values()) if column_mapping else business
+    keys = key_columns or (list(column_mapping.values()) if column_mapping else business)
     if key_buckets and not tables.table_exists(spark, table, schema):
         tables.create_table_if_not_exists(spark, staged.columns, table, keys, schema, key_buckets)
     appended = tables.insert_data(spark, staged, table, schema=schema)
@@ -204,7 +280,7 @@ def merge_into_silver(
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
         writer = typed.observe(obs, F.count(F.lit(1)).alias("n")).write.format("parquet")
         if key_buckets:
-            writer = writer.partitionBy(tables.KEY_BUCKET_COLUMN)
+            writer = writer.partitionBy(tables.KEY_BUCKET_COLUMN).option(tables.OVERWRITE_OPTION, "dynamic")
         writer.saveAsTable(name)
         if key_buckets:
             lit = tables.sql_text

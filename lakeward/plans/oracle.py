@@ -205,7 +205,17 @@ SELECT count(*) AS n_rows,
 FROM orders
 """,
     "remove_duplicates": _LINEITEM_FIRST,
-    "silver_lineitem": _LINEITEM_FIRST,
+    "silver_lineitem": f"""
+SELECT l_orderkey AS l_order_key, l_partkey AS l_part_key, l_suppkey AS l_supp_key, l_linenumber, l_quantity,
+       l_extendedprice, l_discount, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_tax END AS l_tax, l_returnflag,
+       l_linestatus, l_shipdate
+FROM ({_LINEITEM_FIRST.strip()}) AS first_rows
+""",
+    "silver_rejects": """
+SELECT CAST(l_orderkey AS VARCHAR) AS l_order_key, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+       'l_tax' AS "column", 'n/a' AS "value", 'double' AS "type"
+FROM lineitem WHERE l_returnflag = 'R'
+""",
     "latest_run": """
 SELECT event_type, run_date, event_id, ts, user_id, value FROM (
   SELECT *, CAST(ts AS DATE) AS run_date,

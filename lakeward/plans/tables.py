@@ -3,8 +3,8 @@
 Tables live in the session catalog as Parquet tables.  Bronze tables keep every
 column as text.  Parquet tables have no ``MERGE`` and cannot be overwritten
 while they are being read, so every rewrite is *staged*: the new content is
-written once under the shared folder, checked, and then swapped in with an
-``INSERT OVERWRITE`` that reads the staged files.  Readers are not isolated
+written once under the shared folder, checked, swapped in with an ``INSERT
+OVERWRITE`` that reads the staged files, and removed when the counts agree.  Readers are not isolated
 during the swap (no table format with snapshots is assumed).
 
 Tables created with ``key_buckets`` are partitioned by a hash bucket of the
@@ -16,24 +16,31 @@ materialised once in the checkpoint folder.
 
 from __future__ import annotations
 
+import json
 import logging
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import unique_index_name
+from ..functions.text import unique_index_name_col
+from ..operators import keyfilter
 from ..operators.dedup import last_per_key, orderable, remove_duplicates
 from ..operators.quality import duplicate_keys, qcol
 from ..operators.records import cast_text, flatten
-from ..session import ensure_checkpoint_dir, shared_dir
+from ..session import durable_dir, ensure_checkpoint_dir, remove_folder, shared_dir
 
 log = logging.getLogger(__name__)
 
 PK_PROPERTY = "lakeward.primary_key"
-UNIQUE_PROPERTY = "lakeward.unique_index"
+# One property per unique index: its name after the prefix, its columns as JSON;
+# likewise for the key filters: folder, blocks and number of keys.
+UNIQUE_PROPERTY = "lakeward.unique_index."
+FILTER_PROPERTY = "lakeward.key_filter."
 BUCKETS_PROPERTY = "lakeward.key_buckets"
 KEY_BUCKET_COLUMN = "_key_bucket"
+OVERWRITE_OPTION = "partitionOverwriteMode"
 # Spread of rows whose key has a null part (they never match anything).
 NULL_KEY_SALTS = 4096
 
@@ -132,7 +139,10 @@ def create_table_if_not_exists(
     tbl = ""
     if props:
         tbl = " TBLPROPERTIES (" + ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in props.items()) + ")"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {fq_name(table, schema)} ({cols}) USING parquet{partitioning}{tbl}")
+    # rewrites replace the buckets they hold, whatever the session's setting;
+    # a table with further partitions is overwritten partition by partition
+    options = f" OPTIONS ({OVERWRITE_OPTION} 'dynamic')" if key_buckets and not partition_columns else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {fq_name(table, schema)} ({cols}) USING parquet{options}{partitioning}{tbl}")
 
 
 def drop_table_if_exists(spark: SparkSession, table: str, schema: str = "raw") -> None:
@@ -163,22 +173,47 @@ def alter_table(spark: SparkSession, columns: list[str], table: str, schema: str
 # ----------------------------------------------------------------------- K06
 
 
+def index_name(spark: SparkSession, table: str, columns: list[str]) -> str:
+    """Deterministic name of a unique index, by the column expression."""
+    name = unique_index_name_col(F.lit(table), [F.lit(c) for c in columns])
+    return spark.range(1).select(name.alias("name")).first()["name"]
+
+
+def unique_keys(props: dict[str, str]) -> dict[str, list[str]]:
+    """Unique indexes that a table's properties record: name -> columns."""
+    return {
+        k.removeprefix(UNIQUE_PROPERTY): json.loads(v) for k, v in sorted(props.items()) if k.startswith(UNIQUE_PROPERTY)
+    }
+
+
+def _set_property(spark: SparkSession, table: str, schema: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {fq_name(table, schema)} SET TBLPROPERTIES ({sql_text(key)} = {sql_text(value)})")
+
+
 def ensure_unique_constraint(
-    spark: SparkSession, table: str, columns: list[str], schema: str = "raw", frame: DataFrame | None = None
+    spark: SparkSession,
+    table: str,
+    columns: list[str],
+    schema: str = "raw",
+    frame: DataFrame | None = None,
+    key_filter: bool = False,
 ) -> str | None:
     """Assert the key is unique (rows with a null key part never collide, as
-    in a unique index) and record the deterministic index name as a table
-    property; returns the name.  Empty ``columns`` is a no-op.
+    in a unique index) and record the index, under its deterministic name, as
+    a table property; returns the name.  A table can have several.  Empty
+    ``columns`` is a no-op.
 
     Like ``CREATE UNIQUE INDEX IF NOT EXISTS``, the full scan happens once:
-    when the table already records the constraint on these columns, nothing
-    is scanned (writes keep it: upserts cannot add a key twice and appends
-    are checked with :func:`check_incoming_keys`)."""
+    when the table already records the index, nothing is scanned (all later
+    writes keep every recorded index).  With ``key_filter`` the scan's keys
+    also go into a filter (:mod:`lakeward.operators.keyfilter`), which later
+    appends probe first, so that they read existing keys only for possible
+    clashes."""
     if not columns:
         return None
-    name = unique_index_name(table, columns)
-    recorded = f"{name}:{','.join(columns)}"
-    if frame is None and table_properties(spark, table, schema).get(UNIQUE_PROPERTY) == recorded:
+    name = index_name(spark, table, columns)
+    props = table_properties(spark, table, schema) if frame is None else {}
+    if unique_keys(props).get(name) == list(columns) and (not key_filter or FILTER_PROPERTY + name in props):
         return name
     df = frame if frame is not None else spark.table(fq_name(table, schema))
     clash = duplicate_keys(df, columns).limit(1).collect()
@@ -188,13 +223,47 @@ def ensure_unique_constraint(
             f"duplicate key {[clash[0][c] for c in columns]}"
         )
     if frame is None:
-        spark.sql(
-            f"ALTER TABLE {fq_name(table, schema)} SET TBLPROPERTIES "
-            f"({sql_text(UNIQUE_PROPERTY)} = {sql_text(recorded)})"
-        )
+        _set_property(spark, table, schema, UNIQUE_PROPERTY + name, json.dumps(list(columns)))
+        if key_filter:
+            _new_filter(spark, table, schema, name, columns, df)
     return name
 
 
+def _store_filter(spark: SparkSession, table: str, schema: str, name: str, rows: DataFrame, blocks: int, keys: int) -> None:
+    path = durable_dir(spark, "key_filters", f"{schema}.{table}", name, uuid.uuid4().hex)
+    rows.coalesce(max(1, blocks // (1 << 20))).write.mode("errorifexists").parquet(path)
+    _set_property(spark, table, schema, FILTER_PROPERTY + name, json.dumps({"path": path, "blocks": blocks, "keys": keys}))
+
+
+def _new_filter(spark: SparkSession, table: str, schema: str, name: str, columns: list[str], df: DataFrame) -> None:
+    keys = df.count()
+    blocks = keyfilter.blocks_for(keys)
+    _store_filter(spark, table, schema, name, keyfilter.build(df, columns, blocks), blocks, keys)
+
+
+def _widen_filters(spark: SparkSession, table: str, schema: str, props: dict[str, str], batch: DataFrame, n: int) -> None:
+    """Add a batch's keys to the table's filters.  This comes before the rows
+    are written: a filter that knows too many keys costs a look-up, one that
+    lacks a key would let a clash pass."""
+    for name, columns in unique_keys(props).items():
+        if FILTER_PROPERTY + name not in props:
+            continue
+        by_lower = {c.lower(): c for c in batch.columns}
+        if not all(c.lower() in by_lower for c in columns):
+            continue
+        own = batch.select(*[qcol(by_lower[c.lower()]).alias(c) for c in columns])
+        state = json.loads(props[FILTER_PROPERTY + name])
+        keys = state["keys"] + n
+        if keys > state["blocks"] * keyfilter.KEYS_PER_BLOCK:  # too full to tell much
+            have = spark.table(fq_name(table, schema)).select(*[qcol(c) for c in columns])
+            _new_filter(spark, table, schema, name, columns, have.unionByName(own))
+            continue
+        old = spark.read.parquet(state["path"])
+        rows = keyfilter.merge(old, keyfilter.build(own, columns, state["blocks"]))
+        _store_filter(spark, table, schema, name, rows, state["blocks"], keys)
+        remove_folder(spark, state["path"])
+
+
 def _non_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     cond = None
     for k in keys:
@@ -202,20 +271,55 @@ def _non_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(cond)
 
 
+def _refuse_repeats(rows: DataFrame, keys: list[str]) -> None:
+    clash = duplicate_keys(rows, keys).limit(1).collect()
+    if clash:
+        raise RuntimeError(f"Unique constraint violated: incoming rows repeat key {[clash[0][k] for k in keys]}")
+
+
+def _refuse_existing(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> None:
+    inc = _non_null_keys(incoming, keys).select(*[qcol(k) for k in keys])
+    hit = inc.join(existing.select(*[qcol(k) for k in keys]), keys, "left_semi").limit(1).collect()
+    if hit:
+        raise RuntimeError(f"Unique constraint violated: key {[hit[0][k] for k in keys]} already exists")
+
+
 def check_incoming_keys(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> None:
     """Unique-index check for an append: the incoming rows must not repeat a
     key among themselves nor hit a key already present (null key parts never
     collide).  Work is proportional to the incoming keys: a semi-join of the
     incoming keys against the existing ones (pass ``existing`` already
     restricted to the touched buckets on a bucketed table)."""
-    clash = duplicate_keys(incoming, keys).limit(1).collect()
-    if clash:
-        raise RuntimeError(f"Unique constraint violated: incoming rows repeat key {[clash[0][k] for k in keys]}")
-    inc = _non_null_keys(incoming, keys).select(*[qcol(k) for k in keys])
-    have = existing.select(*[qcol(k) for k in keys])
-    hit = inc.join(have, keys, "left_semi").limit(1).collect()
-    if hit:
-        raise RuntimeError(f"Unique constraint violated: key {[hit[0][k] for k in keys]} already exists")
+    _refuse_repeats(incoming, keys)
+    _refuse_existing(existing, incoming, keys)
+
+
+def check_append(spark: SparkSession, table: str, schema: str, batch: DataFrame, props: dict[str, str]) -> None:
+    """Check a batch against every unique index of the table.  Where an index
+    has a filter, only the keys that it may hold are looked up, in their
+    buckets; usually there are none and the table is not read at all."""
+    by_lower = {c.lower(): c for c in batch.columns}
+    for name, columns in unique_keys(props).items():
+        if not all(c.lower() in by_lower for c in columns):
+            continue  # a missing column is null, and null keys never collide
+        rows = batch.select(*[qcol(by_lower[c.lower()]).alias(c) for c in columns])
+        _refuse_repeats(rows, columns)
+        if FILTER_PROPERTY + name in props:
+            state = json.loads(props[FILTER_PROPERTY + name])
+            rows = keyfilter.possible(rows, columns, spark.read.parquet(state["path"]), state["blocks"])
+            if rows.isEmpty():
+                continue
+        existing, _ = bucket_scope(spark, table, schema, rows, columns, props)
+        _refuse_existing(existing, rows, columns)
+
+
+def _check_rewrite(spark: SparkSession, table: str, schema: str, staged: DataFrame, rest: DataFrame, done: list[str]) -> None:
+    """Check staged content, and what stays beside it, against the unique
+    indexes other than ``done`` (which the merge keeps by itself)."""
+    have = {c.lower() for c in staged.columns}
+    for columns in unique_keys(table_properties(spark, table, schema)).values():
+        if [c.lower() for c in columns] != [c.lower() for c in done] and all(c.lower() in have for c in columns):
+            check_incoming_keys(rest, staged, columns)
 
 
 # ------------------------------------------------------------------- upsert
@@ -307,35 +411,60 @@ def upsert_frames(
 # ------------------------------------------------------------------ writes
 
 
+def _balanced(frame: DataFrame) -> DataFrame:
+    """Rows of a bucketed table dealt by bucket before they are written: a few
+    files per bucket and not one per task and bucket.  Spark joins small
+    partitions and splits large ones, such as the bucket of all null keys."""
+    return frame.hint("rebalance", KEY_BUCKET_COLUMN) if KEY_BUCKET_COLUMN in frame.columns else frame
+
+
 def _stage_and_swap(
-    spark: SparkSession, new_content: DataFrame, table: str, schema: str, only_touched_partitions: bool = False
+    spark: SparkSession,
+    new_content: DataFrame,
+    table: str,
+    schema: str,
+    only_touched_partitions: bool = False,
+    check=None,
+    before_swap=None,
 ) -> int:
-    """Write ``new_content`` under the shared folder, then replace the table's
-    rows with the staged files.  Returns the row count (observed while the
-    staged copy is written, no extra scan).
+    """Write ``new_content`` under the shared folder, check it (``check`` gets
+    the staged frame), then replace the table's rows with the staged files.
+    Returns the row count (observed while the staged copy is written, no extra
+    scan).
 
     Lost executors only retry tasks.  If the driver dies during the swap, the
     staged copy is complete (it was written first), so the swap can be re-run
-    from it; staged copies are kept for that reason and left to the shared
-    folder's retention."""
+    from it; it is removed once the rows that went into the table are counted
+    to be the same."""
+    name = fq_name(table, schema)
     path = shared_dir(spark, "staging", f"{schema}.{table}", unique=True)
     obs = Observation("staged")
     new_content.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
     n = obs.get["n"]
-    staged = spark.read.parquet(path)
-    cols = spark.table(fq_name(table, schema)).columns
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    if only_touched_partitions:
-        # replace only the partitions present in the staged rows
-        spark.conf.set(mode_key, "dynamic")
-    try:
-        staged.select(*[qcol(c) for c in cols]).write.insertInto(fq_name(table, schema), overwrite=True)
-    finally:
-        spark.conf.set(mode_key, previous)
+    staged = spark.read.schema(new_content.schema).parquet(path)
+    if check is not None:
+        check(staged)
+    if before_swap is not None:
+        before_swap(staged, n)
+    cols = spark.table(name).columns
+    swapped = Observation("swapped")
+    rows = _balanced(staged.select(*[qcol(c) for c in cols])).observe(swapped, F.count(F.lit(1)).alias("n"))
+    if only_touched_partitions and not _keeps_other_partitions(spark, table, schema):
+        raise ValueError(f"{name} was created without {OVERWRITE_OPTION}: its buckets cannot be replaced one by one")
+    rows.write.insertInto(name, overwrite=True)
+    if swapped.get["n"] != n:
+        raise RuntimeError(f"{name} got {swapped.get['n']} of {n} staged rows; they are kept in {path}")
+    remove_folder(spark, path)
     return n
 
 
+def _keeps_other_partitions(spark: SparkSession, table: str, schema: str) -> bool:
+    """Whether an overwrite leaves the partitions alone that it does not hold."""
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {fq_name(table, schema)}").filter("col_name = 'Storage Properties'")
+    row = detail.first()
+    return bool(row and f"{OVERWRITE_OPTION}=dynamic".lower() in row["data_type"].lower())
+
+
 def insert_data(
     spark: SparkSession,
     data: DataFrame,
@@ -353,7 +482,7 @@ def insert_data(
     number of batch rows written."""
     batch = cast_text(flatten(data))
     existing_props = table_properties(spark, table, schema) if table_exists(spark, table, schema) else {}
-    reread = bool(conflict_fields) or UNIQUE_PROPERTY in existing_props
+    reread = bool(conflict_fields) or bool(unique_keys(existing_props))
     if reread:
         # The batch is read several times below (emptiness, buckets, key
         # checks, merge, count): materialise it once in the checkpoint
@@ -383,13 +512,22 @@ def insert_data(
         ensure_unique_constraint(spark, table, conflict_fields, schema)
         target, local = bucket_scope(spark, table, schema, batch, conflict_fields, props)
         merged = upsert_frames(target, batch, conflict_fields, on_duplicate, order_by)
-        _stage_and_swap(spark, merged, table, schema, only_touched_partitions=local)
+        props = table_properties(spark, table, schema)
+
+        def check(staged: DataFrame) -> None:
+            # what the swap does not replace: the buckets beside the staged ones
+            whole = spark.table(target_name)
+            rest = whole.join(staged.select(KEY_BUCKET_COLUMN).distinct(), KEY_BUCKET_COLUMN, "left_anti") if local else whole.limit(0)
+            _check_rewrite(spark, table, schema, staged, rest, conflict_fields)
+
+        _stage_and_swap(
+            spark, merged, table, schema, only_touched_partitions=local, check=check,
+            before_swap=lambda staged, n: _widen_filters(spark, table, schema, props, staged, batch_rows),
+        )
         return batch_rows
-    unique = props.get(UNIQUE_PROPERTY)
-    if unique:
-        ukeys = unique.split(":", 1)[1].split(",")
-        existing, _ = bucket_scope(spark, table, schema, batch, ukeys, props)
-        check_incoming_keys(existing, batch, ukeys)
+    if unique_keys(props):
+        check_append(spark, table, schema, batch, props)
+        _widen_filters(spark, table, schema, props, batch, batch_rows)
     cols = spark.table(target_name).columns
     by_lower = {c.lower(): c for c in batch.columns}
     aligned = batch.select(
@@ -399,7 +537,7 @@ def insert_data(
         ]
     )
     obs = Observation("appended")
-    aligned.observe(obs, F.count(F.lit(1)).alias("n")).write.insertInto(target_name)
+    _balanced(aligned).observe(obs, F.count(F.lit(1)).alias("n")).write.insertInto(target_name)
     return obs.get["n"]
 
 
@@ -424,15 +562,59 @@ def remove_duplicates_table(
     return _stage_and_swap(spark, remove_duplicates(df, key_columns, order_by), table, schema, only_touched_partitions=local)
 
 
-def full_refresh(spark: SparkSession, data: DataFrame, table: str, schema: str = "raw") -> int:
-    """Replace a table by a new all-text load (one atomic overwrite instead of
-    drop-then-append)."""
+def _own_properties(props: dict[str, str]) -> dict[str, str]:
+    """Properties that a user or this library set, without key filters, which
+    belong to the rows."""
+    return {
+        k: v for k, v in props.items() if not k.startswith(("spark.", FILTER_PROPERTY)) and k not in ("transient_lastDdlTime", "comment")
+    }
+
+
+def replace_content(spark: SparkSession, content: DataFrame, table: str, schema: str) -> int:
+    """Replace a table by new content, columns included, in one overwrite that
+    keeps what is known about it: properties, its unique indexes (the content
+    is checked against them first), key buckets, key filters (built anew), and
+    the comments of the table and of the columns that remain.  Returns the row
+    count, observed during the write."""
+    name = fq_name(table, schema)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_q(schema)}")
-    obs = Observation("refresh")
-    cast_text(flatten(data)).observe(obs, F.count(F.lit(1)).alias("n")).write.mode(
-        "overwrite"
-    ).format("parquet").saveAsTable(fq_name(table, schema))
-    return obs.get["n"]
+    known = table_exists(spark, table, schema)
+    props = table_properties(spark, table, schema) if known else {}
+    note = spark.catalog.getTable(name).description if known else None
+    comments = {c.name: c.description for c in spark.catalog.listColumns(name) if c.description} if known else {}
+    by_lower = {c.lower(): c for c in content.columns}
+    indexes = {i: k for i, k in unique_keys(props).items() if all(c.lower() in by_lower for c in k)}
+    for columns in indexes.values():
+        _refuse_repeats(content, [by_lower[c.lower()] for c in columns])
+    writer_options = {}
+    buckets, key = int(props.get(BUCKETS_PROPERTY, "0")), props.get(PK_PROPERTY, "").split(",")
+    bucketed = bool(buckets) and all(k.lower() in by_lower for k in key)
+    if bucketed:
+        content = content.withColumn(KEY_BUCKET_COLUMN, key_bucket([by_lower[k.lower()] for k in key], buckets))
+        writer_options[OVERWRITE_OPTION] = "dynamic"
+    seen = Observation("refresh")
+    writer = _balanced(content).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format("parquet")
+    writer = writer.options(**writer_options)
+    (writer.partitionBy(KEY_BUCKET_COLUMN) if bucketed else writer).saveAsTable(name)
+    n = seen.get["n"]
+    keep = _own_properties(props)
+    if not bucketed:
+        keep.pop(BUCKETS_PROPERTY, None)
+    for i in unique_keys(props).keys() - indexes.keys():
+        keep.pop(UNIQUE_PROPERTY + i, None)
+    for k, v in keep.items():
+        _set_property(spark, table, schema, k, v)
+    for i, columns in indexes.items():
+        if FILTER_PROPERTY + i in props:
+            _new_filter(spark, table, schema, i, columns, spark.table(name))
+    present = {c.lower() for c in content.columns}
+    apply_comments(spark, schema, table, note, {c: t for c, t in comments.items() if c.lower() in present})
+    return n
+
+
+def full_refresh(spark: SparkSession, data: DataFrame, table: str, schema: str = "raw") -> int:
+    """Replace a table by a new all-text load (:func:`replace_content`)."""
+    return replace_content(spark, cast_text(flatten(data)), table, schema)
 
 
 def write_table(df: DataFrame, table: str, schema: str) -> int:
@@ -451,19 +633,23 @@ def apply_comments(
     table_comment: str | None = None,
     column_comments: dict[str, str] | None = None,
 ) -> list[str]:
-    """Table and column comments; empty column texts are skipped.  Returns
-    the statements run."""
-    stmts = []
+    """Bring a table's comments in line with the declared ones.  What is
+    declared empty, or already says so, is left alone: a second call changes
+    nothing.  A column that the table lacks fails before anything changes.
+    Returns the statements run."""
     name = fq_name(table, schema)
-    if table_comment:
-        stmts.append(f"COMMENT ON TABLE {name} IS {sql_text(table_comment)}")
-    for col, text in (column_comments or {}).items():
-        if not text:
-            continue
-        stmts.append(f"ALTER TABLE {name} ALTER COLUMN {_q(col)} COMMENT {sql_text(text)}")
-    for s in stmts:
-        execute_non_query(spark, s)
-    return stmts
+    present = {c.name.lower(): (c.name, c.description or "") for c in spark.catalog.listColumns(name)}
+    declared = {c: t for c, t in (column_comments or {}).items() if t}
+    unknown = sorted(c for c in declared if c.lower() not in present)
+    if unknown:
+        raise RuntimeError(f"{name} has no column {', '.join(unknown)}")
+    changed = [(present[c.lower()][0], t) for c, t in declared.items() if present[c.lower()][1] != t]
+    statements = [f"ALTER TABLE {name} ALTER COLUMN {_q(c)} COMMENT {sql_text(t)}" for c, t in changed]
+    if table_comment and spark.catalog.getTable(name).description != table_comment:
+        statements.append(f"COMMENT ON TABLE {name} IS {sql_text(table_comment)}")
+    for statement in statements:
+        execute_non_query(spark, statement)
+    return statements
 
 
 def execute_query(spark: SparkSession, query: str) -> DataFrame:

@@ -123,6 +123,12 @@ def durable_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([configured.rstrip("/"), *(p.strip("/") for p in parts if p)])
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, in whatever store it lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 
