@@ -44,7 +44,11 @@ MIN_PERCENT = 80
 MAX_COMMON = 1 << 18
 #: A task reports a shingle that so many of its held documents have.
 LOCAL_COMMON = 3
-FLUSH = 1 << 20
+#: Shingles that a task holds: to find common ones, and to send prefixes.
+FLUSH = 1 << 22
+SEND_FLUSH = 1 << 20
+#: Pairs that a task looks at together.
+PAIRS = 1 << 20
 ORDERS = 3
 #: Rounds of stars at most, and centres a shingle takes in each.
 STAR_ROUNDS = 2
@@ -199,7 +203,7 @@ def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int
                 row, shingle, at = prefixes(hashes, bounds, 0, common, min_percent)
                 held.append((shingle, names[a:b][row], at, np.diff(bounds)[row]))
                 total += len(row)
-            if total >= FLUSH:
+            if total >= SEND_FLUSH:
                 yield from flush()
                 held, total = [], 0
         if held:
@@ -372,15 +376,38 @@ def _possible(n, at, m, other, min_percent):
     return (np.minimum(n - at, m - other) >= need) & (100 * np.minimum(n, m) >= min_percent * np.maximum(n, m))
 
 
-def _groups(table: pa.Table, *columns: str) -> Iterator[tuple]:
-    """(shingle, columns...) of every shingle in a table, texts by set size."""
-    token, x1, n = (table.column(c).to_numpy() for c in ("token", "x1", "n"))
-    order = np.lexsort((x1, n, token))
-    token, values = token[order], [table.column(c).to_numpy()[order] for c in columns]
-    cuts = np.flatnonzero(np.diff(token)) + 1
-    for lo, hi in zip([0, *cuts], [*cuts, len(token)], strict=True):
-        if hi > lo:
-            yield int(token[lo]), *(v[lo:hi] for v in values)
+class _Meetings:
+    """Rows of a bucket by shingle, then set size: column arrays, the group of
+    each row and the groups' bounds."""
+
+    def __init__(self, table: pa.Table, *columns: str):
+        values = {c: table.column(c).to_numpy() for c in ("token", "x1", "n", *columns)}
+        order = np.lexsort((values["x1"], values["n"], values["token"]))
+        for c, v in values.items():
+            setattr(self, c, v[order])
+        new = np.ones(len(order), bool)
+        new[1:] = self.token[1:] != self.token[:-1]
+        self.group = np.cumsum(new) - 1
+        self.starts = np.flatnonzero(new)
+        self.sizes = np.diff(np.append(self.starts, len(order)))
+
+    def later(self, min_percent: int) -> np.ndarray:
+        """For each row, how many later ones of its group are small enough."""
+        wide = int(self.n.max()) * 2 + 2 if len(self.n) else 1
+        upto = np.searchsorted(self.group * wide + self.n, self.group * wide + self.n * 100 // min_percent, "right")
+        return np.maximum(upto - np.arange(len(self.n)) - 1, 0)
+
+    def pairs(self, left: np.ndarray, first: np.ndarray, counts: np.ndarray, min_percent: int):
+        """Chunks of possible pairs (i, j): rows ``left`` with the ``counts``
+        rows from ``first`` on."""
+        done = np.cumsum(counts)
+        lo = 0
+        while lo < len(left):
+            hi = max(lo + 1, int(np.searchsorted(done, (done[lo - 1] if lo else 0) + PAIRS, "right")))
+            i, j = np.repeat(left[lo:hi], counts[lo:hi]), V.ranges(first[lo:hi], counts[lo:hi])
+            can = _possible(self.n[i], self.at[i], self.n[j], self.at[j], min_percent)
+            yield i[can], j[can]
+            lo = hi
 
 
 def _nodes(min_percent: int):
@@ -388,48 +415,65 @@ def _nodes(min_percent: int):
     that very many have."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64)]
-        for _, x1, n, at in _groups(table, "x1", "n", "at"):
-            keep = np.full(len(x1), len(x1) > MANY)
-            for i in range(len(x1) if len(x1) <= MANY else 0):
-                can = _possible(n[i], at[i], n[i + 1 :], at[i + 1 :], min_percent)
-                keep[i + 1 :] |= can
-                keep[i] |= can.any()
-            found.append(x1[keep])
-        return pa.table({"x1": np.unique(np.concatenate(found))})
+        m = _Meetings(table, "at")
+        many = m.sizes[m.group] > MANY
+        keep = many.copy()
+        few = np.flatnonzero(~many)
+        for i, j in m.pairs(few, few + 1, m.later(min_percent)[few], min_percent):
+            keep[i] = keep[j] = True
+        return pa.table({"x1": np.unique(m.x1[keep])})
 
     return run
 
 
+def _pivots(m: _Meetings, turn: int) -> np.ndarray:
+    """Rows that are the centres of their shingle: a few texts of its largest
+    component, others for every shingle and turn."""
+    order = np.lexsort((m.root, m.group))
+    new = np.ones(len(order), bool)
+    new[1:] = (m.group[order][1:] != m.group[order][:-1]) | (m.root[order][1:] != m.root[order][:-1])
+    run = np.empty(len(order), np.int64)
+    run[order] = np.cumsum(new) - 1
+    lengths = np.bincount(run)
+    most = np.maximum.reduceat(lengths[run], m.starts)
+    # of components of one size the one with the least name; of single texts all
+    single = most[m.group] == 1
+    largest = lengths[run] == most[m.group]
+    least = np.minimum.reduceat(np.where(largest, m.root, np.iinfo(np.int64).max), m.starts)
+    can = np.flatnonzero(single | (largest & (m.root == least[m.group])))
+    # at first the same centre for all shingles of a group of copies
+    salt = V.mix64((m.token[can] if turn > 1 else np.zeros(len(can), np.int64)).view(V.U) + V.U(turn))
+    dealt = V.mix64(m.x1[can].view(V.U) ^ salt)
+    can = can[np.lexsort((dealt, m.group[can]))]
+    first = np.ones(len(can), bool)
+    first[1:] = m.group[can][1:] != m.group[can][:-1]
+    rank = np.arange(len(can)) - np.maximum.accumulate(np.where(first, np.arange(len(can)), 0))
+    return can[rank < (PIVOTS if turn > 1 else 1)]
+
+
 def _between(min_percent: int, turn: int):
     """Per shingle: pairs of different components that can link with it as the
-    first shared shingle.  At turn 0 all of them; else only those with a few
-    texts of the largest component, others for every shingle and turn."""
-
-    def of(token: int, x1, root, n, at) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if not turn:
-            upto = np.searchsorted(n, n * 100 // min_percent, "right")
-            firsts = [(i, np.arange(i + 1, upto[i])) for i in range(len(x1))]
-        else:
-            names, counts = np.unique(root, return_counts=True)
-            largest = np.flatnonzero(root == names[np.argmax(counts)]) if counts.max() > 1 else np.arange(len(x1))
-            # at first the same centre for all shingles of a group of copies
-            salt = V.mix64(np.array([token if turn > 1 else 0], np.int64).view(V.U) + V.U(turn))
-            dealt = V.mix64(x1[largest].view(V.U) ^ salt)
-            chosen = largest[np.argsort(dealt)[: PIVOTS if turn > 1 else 1]]
-            firsts = [(i, np.arange(len(x1))) for i in chosen]
-        for i, others in firsts:
-            others = others[(root[others] != root[i]) & _possible(n[i], at[i], n[others], at[others], min_percent)]
-            if len(others):
-                yield np.full(len(others), x1[i]), x1[others]
+    first shared shingle.  At turn 0 all of them; else only those with the
+    shingle's centres."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for group in _groups(table, "x1", "root", "n", "at"):
-            out += of(*group)
-        a, b = (np.concatenate(v) for v in zip(*out, strict=True))
-        pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+        m = _Meetings(table, "root", "at")
+        if turn:
+            left = _pivots(m, turn)
+            first, counts = m.starts[m.group[left]], m.sizes[m.group[left]]
+        else:
+            left = np.arange(len(m.n))
+            first, counts = left + 1, m.later(min_percent)
+        found = np.zeros((0, 2), np.int64)
+        held: list[np.ndarray] = []
+        for i, j in m.pairs(left, first, counts, min_percent):
+            apart = m.root[i] != m.root[j]
+            a, b = m.x1[i[apart]], m.x1[j[apart]]
+            held.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
+            if sum(map(len, held)) > PAIRS:
+                found, held = np.unique(np.concatenate([found, *held]), axis=0), []
+        found = np.unique(np.concatenate([found, *held]), axis=0)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     return run
 
