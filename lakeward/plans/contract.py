@@ -90,6 +90,36 @@ def file_checksums(spark: SparkSession, files: list[str]) -> DataFrame:
     )
 
 
+def content_checksum(df: DataFrame, columns: list[str] | None = None, by: list | None = None) -> DataFrame:
+    """Rows and a checksum of their content that does not depend on their order
+    or place: ``n_rows, total, mixed``, for the whole frame or per ``by``
+    (columns, or ``_metadata.file_path`` of a file-backed frame).
+
+    Each row gives two hashes of all ``columns`` in their text form, nulls told
+    from empty text and from nulls elsewhere; ``total`` adds one up (exactly, as
+    a decimal), ``mixed`` is the exclusive-or of the other.  A lost, repeated or
+    changed row changes them; typed rows and their all-text copy agree.  Both
+    combine map-side: one pass, a row per group and task in the shuffle."""
+    parts = []
+    for c in columns or df.columns:
+        text = qcol(c).cast("string")
+        parts += [F.coalesce(text, F.lit("")), text.isNull()]
+    one, other = F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+    keys = [(F.col(k) if isinstance(k, str) else k) for k in by or []]
+    hashed = df.select(*keys, one.alias("__one"), other.alias("__other"))
+    return hashed.groupBy(*[c for c in hashed.columns if c not in ("__one", "__other")]).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("__one").cast("decimal(20,0)")).cast("decimal(38,0)").alias("total"),
+        F.bit_xor("__other").alias("mixed"),
+    )
+
+
+def same_content(one: DataFrame, other: DataFrame, columns: list[str] | None = None) -> bool:
+    """Whether two frames hold the same rows, in any order, as text."""
+    a, b = (content_checksum(df, columns or one.columns).first() for df in (one, other))
+    return tuple(a) == tuple(b)
+
+
 # ------------------------------------------------------------------ manifests
 
 MANIFEST = footers.FOOTERS.replace("error string, ", "") + ", version string, length long, sha256 string"

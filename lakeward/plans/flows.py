@@ -8,15 +8,17 @@ from the tables.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import shared_dir
-from ..sources import landing
+from ..sources import charsets, landing
 from ..streaming import incremental
-from . import contract, layers, tables
+from . import contract, governance, layers, tables
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -194,6 +196,108 @@ def q_load_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LATEST = "SELECT * FROM orders WHERE substr(o_orderpriority, 1, 1) IN ('2', '3', '4')"
 _WINDOW = f"{_LATEST} UNION ALL {_LATEST} AND o_orderstatus <> 'F'"
 
+# ------------------------------------------------------------- Q14 lineage
+
+
+def q_lineage_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that building customers lead to, with the fewest steps:
+    orders, parts, their suppliers, nations and regions."""
+    t = lambda name: _table(spark, sf_dir, name)
+    node = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
+    hops = [
+        (t("orders"), ("c", "o_custkey"), ("o", "o_orderkey")),
+        (t("lineitem"), ("o", "l_orderkey"), ("p", "l_partkey")),
+        (t("lineitem"), ("p", "l_partkey"), ("s", "l_suppkey")),
+        (t("supplier"), ("s", "s_suppkey"), ("n", "s_nationkey")),
+        (t("nation"), ("n", "n_nationkey"), ("r", "n_regionkey")),
+    ]
+    edges = [df.select(node(*a).alias("src"), node(*b).alias("dst")) for df, a, b in hops]
+    roots = t("customer").filter("c_mktsegment = 'BUILDING'").select(node("c", "c_custkey").alias("node"))
+    return governance.reachable_from(spark, reduce(DataFrame.unionByName, edges), roots)
+
+
+_REACH = """
+WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING'),
+o AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_custkey IN (SELECT k FROM c)),
+p AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_orderkey IN (SELECT k FROM o)),
+s AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_partkey IN (SELECT k FROM p)),
+n AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_suppkey IN (SELECT k FROM s)),
+r AS (SELECT DISTINCT n_regionkey AS k FROM nation WHERE n_nationkey IN (SELECT k FROM n))
+SELECT 'c' || k AS node, 0 AS depth FROM c UNION ALL SELECT 'o' || k, 1 FROM o UNION ALL SELECT 'p' || k, 2 FROM p
+UNION ALL SELECT 's' || k, 3 FROM s UNION ALL SELECT 'n' || k, 4 FROM n UNION ALL SELECT 'r' || k, 5 FROM r
+"""
+
+# ------------------------------------------------------ K10 / Q09 checksums
+
+
+def q_content_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as two runs, promoted to bronze, then with one price
+    changed: rows of each, and whether the order-free checksum of all columns
+    equals that of the landed files' sums."""
+    root, schema = _lake(spark), _scratch_schema(spark)
+    orders = _table(spark, sf_dir, "orders")
+    finished = F.col("o_orderstatus") == "F"
+    layers.land(orders.filter(finished), root, "erp", "orders", DAY, "finished")
+    layers.land(orders.filter(~finished), root, "erp", "orders", DAY, "open")
+    columns = orders.columns
+    done = layers.promote_landing_to_bronze(
+        spark, root, "erp", "orders", DAY, "orders", schema, columns, ["o_orderkey"], ["o_orderkey"], "r", key_buckets=4
+    )
+    if not done.passed:
+        raise RuntimeError(f"promotion blocked: {done.results}")
+    landed = landing.load_landing(spark, root, "erp", "orders", DAY)[1]
+    per_file = contract.content_checksum(landed, columns, [F.col("_metadata.file_path").alias("file")])
+    whole = per_file.agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("total").cast("decimal(38,0)").alias("total"), F.bit_xor("mixed").alias("mixed")
+    )
+    bronze = spark.table(tables.fq_name("orders", schema))
+    first = orders.agg(F.min("o_orderkey").cast("string").alias("k")).first()["k"]
+    price = F.when(F.col("o_orderkey") == first, F.lit("0.01")).otherwise(F.col("o_totalprice"))
+    stages = {"landed": whole, "bronze": contract.content_checksum(bronze, columns)}
+    stages["changed"] = contract.content_checksum(bronze.withColumn("o_totalprice", price), columns)
+    rows = reduce(DataFrame.unionByName, [df.withColumn("stage", F.lit(k)) for k, df in stages.items()])
+    same = F.struct("n_rows", "total", "mixed").alias("sum")
+    agreed = whole.select(F.lit("landed").alias("base"), same.alias("agreed"))
+    found = rows.select("stage", "n_rows", same, F.lit("landed").alias("base")).join(agreed, "base")
+    return found.select("stage", "n_rows", (F.col("sum") == F.col("agreed")).alias("same"))
+
+
+_CHECKSUM = """
+SELECT stage, (SELECT count(*) FROM orders) AS n_rows, stage <> 'changed' AS same
+FROM (VALUES ('landed'), ('bronze'), ('changed')) stages(stage)
+"""
+
+# ------------------------------------------------------------ S06 charsets
+
+ENCODED_AS = {"en": "utf-16-le", "de": "utf-16-be", "fr": "cp1252", "es": "cp1252"}
+
+
+@F.pandas_udf(T.BinaryType())
+def _encoded(text: pd.Series, charset: pd.Series) -> pd.Series:
+    # Stand-in input: each document as bytes in a charset of its language, with
+    # no mark; texts that the charset cannot hold stay UTF-8.
+    def one(value, name):
+        if value is None:
+            return None
+        try:
+            return value.encode(name)
+        except UnicodeEncodeError:
+            return value.encode()
+
+    return pd.Series([one(t, c) for t, c in zip(text, charset)], dtype=object)
+
+
+def q_decode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as bytes in charsets of their languages (UTF-16 of both
+    byte orders, a Latin code page), detected and decoded back."""
+    docs = _table(spark, sf_dir, "documents")
+    name = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ENCODED_AS.items() for x in kv]), F.col("lang")), F.lit("utf-8"))
+    raw = docs.select("doc_id", "lang", _encoded("text", name).alias("payload"))
+    return charsets.decode_payloads(raw).select("doc_id", "lang", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
+
+
+_DECODED = "SELECT doc_id, lang, md5(text) AS text_md5, CAST(length(text) AS INTEGER) AS n_chars FROM documents"
+
 QUERIES = {
     "incremental_bronze": q_incremental_bronze,
     "stream_dedup": q_stream_dedup,
@@ -201,6 +305,9 @@ QUERIES = {
     "contract_check": q_contract_check,
     "window_load": q_window_load,
     "load_latest": q_load_latest,
+    "lineage_reach": q_lineage_reach,
+    "content_checksum": q_content_checksum,
+    "decode_documents": q_decode_documents,
 }
 SQL = {
     "incremental_bronze": _INCREMENTAL,
@@ -209,4 +316,7 @@ SQL = {
     "contract_check": _CONTRACT,
     "window_load": _WINDOW,
     "load_latest": _LATEST,
+    "lineage_reach": _REACH,
+    "content_checksum": _CHECKSUM,
+    "decode_documents": _DECODED,
 }

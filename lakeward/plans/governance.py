@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import qcol
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_dir
 
 # ----------------------------------------------------------------- P09
 
@@ -27,7 +27,7 @@ def selector_lines(text: str) -> list[str]:
     return [line for line in map(str.strip, text.splitlines()) if line and line[0] != "#"]
 
 
-def _matches_without_deeper_folder(rel: Column, pattern: str) -> Column:
+def _selected_in_its_folder(rel: Column, pattern: str) -> Column:
     # Text up to the end of the leftmost match: a lazy prefix before the
     # pattern finds the leftmost start, as a regex search does.
     upto = F.regexp_extract(rel, f"(?s)^.*?(?:{pattern})", 0)
@@ -51,7 +51,7 @@ def select_paths(df: DataFrame, path_column: str, selector_text: str | None, roo
     inside = path.startswith(root_prefix)
     rel = F.substr(path, F.lit(len(root_prefix) + 1))
     if patterns:
-        any_match = reduce(lambda a, b: a | b, [_matches_without_deeper_folder(rel, p) for p in patterns])
+        any_match = reduce(lambda a, b: a | b, [_selected_in_its_folder(rel, p) for p in patterns])
     else:
         any_match = F.lit(False)
     return df.filter(~inside | any_match)
@@ -293,6 +293,39 @@ def lineage_closure(spark: SparkSession, edges: DataFrame, max_depth: int | None
     return reduce(lambda a, b: a.unionByName(b), steps)
 
 
+def reachable_from(spark: SparkSession, edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(node, depth)`` of everything that the edges ``(src, dst)`` lead to
+    from the nodes of ``roots (node)``, themselves included at depth 0, with
+    the fewest steps.
+
+    A breadth-first search of frontiers: each step joins only the nodes found
+    in the last one with the edges and leaves out those found before, so cycles
+    end, every edge is followed once, and the result has at most one row per
+    node, however many paths there are.  Steps are written to the shared
+    folder; null nodes are no nodes."""
+    folder = shared_dir(spark, "reach", unique=True)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    known = edges.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
+    known = kept(known, "edges")
+    depth = 0
+    frontier = kept(roots.select("node").filter("node IS NOT NULL").distinct(), "step=0")
+    while not frontier.isEmpty():
+        depth += 1
+        steps = [spark.read.schema(frontier.schema).parquet(f"{folder}/step={k}") for k in range(depth)]
+        found = reduce(DataFrame.unionByName, steps)
+        ahead = frontier.join(known, frontier["node"] == known["src"]).select(F.col("dst").alias("node")).distinct()
+        frontier = kept(ahead.join(found, "node", "left_anti"), f"step={depth}")
+    steps = [
+        spark.read.schema(frontier.schema).parquet(f"{folder}/step={k}").withColumn("depth", F.lit(k))
+        for k in range(depth + 1)
+    ]
+    return reduce(DataFrame.unionByName, steps)
+
+
 # Layer order of the one-way flow.
 LAYER_RANK = {"landing": 0, "bronze": 1, "silver": 2, "gold": 3}
 

@@ -15,7 +15,6 @@ since a batch holds the raw payloads of that many bundles.
 
 from __future__ import annotations
 
-import codecs
 import csv
 import io
 import re
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import positional_names
 from ..session import ensure_checkpoint_dir, ship_library
+from . import charsets
 
 # The cell texts pandas' CSV reader turns into missing values by
 # default (its STR_NA_VALUES set).
@@ -59,25 +59,12 @@ class EmptyCsv(Exception):
 
 
 def decode_payload(raw: bytes) -> str | None:
-    """Bytes → text.  Blank input (before or after decoding) → ``None``.
-
-    Charset chain: a byte-order mark decides; else strict UTF-8; else
-    Windows-1252 with replacement characters for undefined bytes.
-    """
+    """Bytes → text, in whatever charset they show
+    (:mod:`lakeward.sources.charsets`); bytes without a character are replaced.
+    Blank input (before or after decoding) → ``None``."""
     if raw is None or not bytes(raw).strip():
         return None
-    raw = bytes(raw)
-    if raw.startswith(codecs.BOM_UTF8):
-        text = raw.decode("utf-8-sig", errors="replace")
-    elif raw.startswith((codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE)):  # the former begins like UTF-16's
-        text = raw.decode("utf-32", errors="replace")
-    elif raw.startswith(codecs.BOM_UTF16_LE) or raw.startswith(codecs.BOM_UTF16_BE):
-        text = raw.decode("utf-16", errors="replace")
-    else:
-        try:
-            text = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            text = raw.decode("cp1252", errors="replace")
+    text = charsets.decode(bytes(raw))[1]
     return text if text.strip() else None
 
 
