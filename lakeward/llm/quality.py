@@ -138,7 +138,8 @@ def js_distance(p: Column, q: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
 
     parts = F.zip_with(p, q, lambda a, b: (half(a, b) + half(b, a)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+    total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
+    return F.sqrt(F.when(total < 0, 0.0).otherwise(total))  # greatest() would make a null 0
 
 
 def _mean(column: str, bins: int) -> Column:
