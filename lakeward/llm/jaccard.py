@@ -48,7 +48,9 @@ LOCAL_COMMON = 3
 FLUSH = 1 << 22
 SEND_FLUSH = 1 << 20
 #: Pairs that a task looks at together.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
+#: Shingles of pairs that are compared together.
+VERIFY_SHINGLES = 1 << 18
 ORDERS = 3
 #: Rounds of stars at most, and centres a shingle takes in each.
 STAR_ROUNDS = 2
@@ -315,7 +317,7 @@ def _verify(min_percent: int, common: np.ndarray):
         for batch in batches:
             cells = [[np.frombuffer(c.as_buffer(), V.U) for c in batch.column(i)] for i in (2, 3)]
             good: list[bool] = []
-            room = np.cumsum([len(a) + len(b) for a, b in zip(*cells, strict=True)]) // BLOCK_SHINGLES
+            room = np.cumsum([len(a) + len(b) for a, b in zip(*cells, strict=True)]) // VERIFY_SHINGLES
             cuts = [0, *(np.flatnonzero(np.diff(room)) + 1).tolist(), len(room)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 sides = [c[lo:hi] for c in cells]
@@ -349,7 +351,7 @@ def _sketched(min_percent: int):
 def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
     """``pairs`` (a, b) with ``columns`` of both sides' sets; sets that are
     surely in no pair are not moved."""
-    named = pairs.select(F.col("a").alias("x1")).union(pairs.select("b")).distinct()
+    named = pairs.select(F.col("a").alias("x1")).union(pairs.select("b"))
     sets = mark_possible(sets.select("x1", *columns), named, ["x1"]).filter("__possible")
     sides = [sets.select(F.col("x1").alias(s), *[F.col(c).alias(f"{c[0]}{s}") for c in columns]) for s in "ab"]
     both = pairs.join(sides[1], "b").join(sides[0], "a")
@@ -582,9 +584,10 @@ def text_links(named: DataFrame, sets: DataFrame, roots: DataFrame, folder: Fold
     chosen = chosen.join(members, "x1").drop("__possible")
     size = sets.select("x1", "n").join(members, "x1").groupBy("root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"))
     blocks = F.ceil(F.greatest(F.col("k") / BLOCK_TEXTS, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    # every large component has many texts or shingles: these are few
+    # every large component has many texts or shingles, so these are few; Spark
+    # broadcasts them if their written size allows it
     large = folder.keep(size.select("root", blocks).filter("blocks > 1"), "large")
-    dealt = chosen.join(F.broadcast(large), "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = chosen.join(large, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("x1"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = dealt.select(

@@ -69,10 +69,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def mark_possible(rows: DataFrame, keys: DataFrame, columns: list[str], blocks: int = 1 << 14) -> DataFrame:
+#: Blocks of a broadcast filter at most (18 MB), and the keys for each.
+MAX_BLOCKS = 1 << 18
+KEYS_PER_BLOCK = 32
+
+
+def filter_blocks(keys: int) -> int:
+    """Blocks for a number of keys; 0 if ``MAX_BLOCKS`` would be so full that
+    most foreign keys passed, which no filter is better than."""
+    if keys > 4 * KEYS_PER_BLOCK * MAX_BLOCKS:
+        return 0
+    return min(MAX_BLOCKS, max(64, -(-keys // KEYS_PER_BLOCK)))
+
+
+def mark_possible(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """``rows`` with ``__possible``: false only if no row of ``keys`` has the
-    same ``columns``.  A blocked Bloom filter of at most ``blocks`` rows of 68
-    bytes is broadcast, whatever the number of keys."""
+    same ``columns``.  A blocked Bloom filter of 68 bytes a block is broadcast,
+    sized by the number of keys: up to 8 million (``MAX_BLOCKS``) about one
+    foreign key in 2,000 passes, beyond that more and more, and over 33 million
+    all rows are possible, without a filter.  ``keys`` should be written."""
+    blocks = filter_blocks(keys.count())
+    if not blocks:
+        return rows.withColumn("__possible", F.lit(True))
     code = F.xxhash64(*columns)
     bloom = bloom_blocks(keys.select(code.alias("canonical")), blocks)
     probed = rows.withColumn("__code", code).withColumn("block", bloom_block(F.col("__code"), blocks))
