@@ -6,9 +6,10 @@ sequence: going from the longest down, each is matched with the longest partner
 that still fits.  Shorter pieces then go, longest first, where the smallest
 sufficient gap is.
 
-Packing runs in groups of pieces dealt by a hash, about ``GROUP_BYTES`` of text
-each, so no task grows with the corpus; a group of thousands of sequences
-leaves about one of them partly filled.  The ids travel with their piece, so
+Packing runs in groups of pieces dealt by a hash of their place in the input,
+about ``GROUP_BYTES`` of text and at most about ``GROUP_PIECES`` documents
+each, so no task grows with the corpus, whatever ids and texts repeat; a group
+of thousands of sequences leaves about one of them partly filled.  The ids travel with their piece, so
 the result holds the sequences themselves.
 
 A null or empty text is its end id alone, equal documents are packed one by
@@ -34,8 +35,11 @@ CAPACITY = 2048
 END_ID = 0
 GROUP_BYTES = 8 << 20
 
-PIECES = "doc_id long, piece int, start long, length long, ids binary"
-PACKED = PIECES + ", sequence_id long, offset long"
+#: Pieces of a group on average, however short.
+GROUP_PIECES = 1 << 16
+
+PACKED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+PIECES = PACKED.replace("sequence_id long, offset long", "row long")
 
 
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +98,10 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         encoder = Encoder.of(path)
+        made = TaskContext.get().partitionId() << 40
         for batch in batches:
             for a, b, _, _ in V.blocks(batch.column(1), 1 << 21):
                 ids, offsets = with_end(*encoder.encode(batch.column(1).slice(a, b - a)), end_id)
@@ -110,9 +117,11 @@ def _pieces(path: str, end_id: int, capacity: int):
                         pa.array(number * capacity),
                         pa.array(end - begin),
                         V.binary_array(ids, np.concatenate([begin[:1], end])),
+                        pa.array(made + np.arange(len(rows))),
                     ],
-                    ["doc_id", "piece", "start", "length", "ids"],
+                    ["doc_id", "piece", "start", "length", "ids", "row"],
                 )
+                made += len(rows)
 
     return run
 
@@ -121,7 +130,7 @@ def _pack(capacity: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         group = int(key[0].as_py())
         order = pc.sort_indices(table, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        table = table.drop_columns(["dealt"]).take(order)
+        table = table.drop_columns(["dealt", "row"]).take(order)
         sequence, offset = best_fit(table.column("length").to_numpy(), capacity)
         return table.append_column("sequence_id", pa.array(sequence + (group << 32))).append_column(
             "offset", pa.array(offset)
@@ -143,9 +152,10 @@ def pack(
     place in it."""
     ship_library(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    groups = max(1, round(size / group_bytes))
-    dealt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    groups = max(1, round((size["n"] or 0) / group_bytes), -(-size["rows"] // GROUP_PIECES))
+    # by place: rows with one id, or with one text, go to all groups
+    dealt = F.pmod(F.xxhash64("row"), F.lit(groups))
     pieces = rows.mapInArrow(_pieces(vocabulary or vocabulary_path(), end_id, capacity), PIECES)
     return pieces.withColumn("dealt", dealt).groupBy("dealt").applyInArrow(_pack(capacity), PACKED)
 
