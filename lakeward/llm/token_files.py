@@ -222,8 +222,11 @@ def write_token_files(
     spark = docs.sparkSession
     ship_library(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(_shards(vocabulary or vocabulary_path(), end_id, shard_tokens), FILE_SCHEMA)
+    # rows of one id (null, say) are ranged by text, equal rows by their place
+    order = ["doc_id", "__text", "__place"]
+    rows = rows.withColumn("__text", F.xxhash64("text")).withColumn("__place", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    files = ordered.select("doc_id", "text").mapInArrow(_shards(vocabulary or vocabulary_path(), end_id, shard_tokens), FILE_SCHEMA)
     files.write.option("compression", "uncompressed").parquet(path)  # the files are compressed already
 
 
