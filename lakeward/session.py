@@ -31,6 +31,10 @@ SCALE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # instants as 64-bit numbers, whose minimum and maximum footers record
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # of repeated keys in a JSON object the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     # materialised batches (DataFrame.checkpoint) are removed from the shared
     # folder once nothing references them; long-running streams would

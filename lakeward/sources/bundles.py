@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import re
 import zipfile
 import zlib
@@ -99,6 +100,12 @@ def _skip_lines(text: str, n: int) -> str:
     return text[pos:]
 
 
+def _is_blank(row: list[str]) -> bool:
+    """A line that holds nothing, or spaces and tabs only; a quoted empty cell
+    is a value."""
+    return not row or (len(row) == 1 and row[0] != "" and not row[0].strip(" \t"))
+
+
 def parse_csv_text(
     text: str, skiprows: int = 0, delimiter: str | None = None, header: bool = True,
     na_tokens=PANDAS_NA_TOKENS,
@@ -107,31 +114,29 @@ def parse_csv_text(
 
     The first ``skiprows`` lines are dropped before parsing; blank lines are
     skipped; cells equal to a missing-value token become ``None``; short rows
-    are padded.  With ``header`` the first remaining row names the columns.
-    Raises :class:`EmptyCsv` when no row is left.
+    are padded.  With ``header`` the first remaining row names the columns; if
+    the first data row has more fields than names, the leading ones are an
+    unnamed row label in every row and are left out.  A later row that is longer
+    than the first one raises ``ValueError``; :class:`EmptyCsv` is raised when
+    no row is left.
     """
     reader = csv.reader(io.StringIO(_skip_lines(text, skiprows)), delimiter=delimiter or ",")
-    rows = (r for r in reader if r and not (len(r) == 1 and r[0] == ""))
-    first = next(rows, None)
-    if first is None:
+    rows = (r for r in reader if not _is_blank(r))
+    names = next(rows, None)
+    if names is None:
         raise EmptyCsv()
-    width = len(first)
+    first = next(rows, None) if header else names
+    width = len(names) if first is None else max(len(names), len(first))
+    labels = width - len(names)
 
-    def cells(r):
+    def cells(r: list[str]) -> list:
         if len(r) > width:
             raise ValueError(f"Expected {width} fields, saw {len(r)}")
-        r = r + [""] * (width - len(r))
-        return [None if c in na_tokens else c for c in r]
-
-    if header:
-        return _mangle(first), (cells(r) for r in rows)
-
-    def with_first():
-        yield cells(first)
-        for r in rows:
-            yield cells(r)
+        padded = r + [""] * (width - len(r))
+        return [None if c in na_tokens else c for c in padded[labels:]]
 
-    return None, with_first()
+    data = (cells(r) for r in itertools.chain([] if first is None else [first], rows))
+    return (_mangle(names) if header else None), data
 
 
 _COLUMNS = ("bundle_id", "bundle_ordinal", "member", "member_ordinal", "row_ordinal", "header", "fields", "error")

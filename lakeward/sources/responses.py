@@ -8,13 +8,35 @@ expressions, so classification runs in parallel with no Python worker.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: status reported for a transport error after the retries.
 SERVICE_UNAVAILABLE = 503
 
 
+#: A body that is neither object, array nor text: a number or a word.
+_SCALAR = r"^\s*(-?[0-9][0-9.eE+-]*|true|false|null|NaN|-?Infinity)\s*$"
+
+
+def parsed_body(body: Column) -> Column:
+    """A JSON body as VARIANT, null if it is none.
+
+    ``NaN`` and ``Infinity`` are numbers, as common writers emit them.  Text
+    after the first value makes a body invalid; Spark's parsers stop there, so
+    the body is read as the only element of an array.  An object that repeats a
+    key keeps the last one if ``spark.sql.variant.allowDuplicateKeys`` is on
+    (:func:`lakeward.session.build_session` sets it), else it is invalid."""
+    first, last = F.substring(F.trim(body), 1, 1), F.substring(F.trim(body), -1, 1)
+    closed = (
+        ((first == "{") & (last == "}")) | ((first == "[") & (last == "]")) | ((first == '"') & (last == '"'))
+        | body.rlike(_SCALAR)
+    )
+    whole = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "variant", {"allowNonNumericNumbers": "true"})
+    elements = F.try_variant_get(whole, "$", "array<variant>")
+    return F.when(closed & (F.size(elements) == 1), F.get(elements, F.lit(0)))
+
+
 def classify_responses(responses: DataFrame) -> DataFrame:
     """Tolerant rules, per row:
 
@@ -29,7 +51,7 @@ def classify_responses(responses: DataFrame) -> DataFrame:
     """
     has_error = F.col("error").isNotNull() if "error" in responses.columns else F.lit(False)
     body = F.col("body")
-    parsed = F.try_parse_json(body)
+    parsed = F.col("__parsed")
     is_json_type = F.lower(F.coalesce(F.col("content_type"), F.lit(""))).contains("application/json")
     no_content = (F.col("status") == 204) | body.isNull() | (F.length(body) == 0)
     kind = (
@@ -40,7 +62,8 @@ def classify_responses(responses: DataFrame) -> DataFrame:
         .otherwise("invalid_json")
     )
     error_text = F.concat(F.lit("request_error: "), F.col("error")) if "error" in responses.columns else F.lit(None)
-    out = responses.withColumn("kind", kind)
+    # parsed once: a projection of its own, which Spark does not copy
+    out = responses.withColumn("__parsed", F.when(is_json_type & ~no_content, parsed_body(body))).withColumn("kind", kind)
     return out.select(
         *[c for c in responses.columns if c != "status"],
         F.when(F.col("kind") == "error", F.lit(SERVICE_UNAVAILABLE)).otherwise(F.col("status")).alias("status"),
@@ -71,7 +94,7 @@ def strict_payloads(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(~(is_obj | F.col("__array").isNotNull()), F.lit("JSON body is neither object nor array"))
     )
     tagged = (
-        responses.withColumn("__parsed", F.try_parse_json(F.col("body")))
+        responses.withColumn("__parsed", parsed_body(F.col("body")))
         .withColumn("__array", as_array)
         .withColumn("reason", reason)
     )
