@@ -22,7 +22,7 @@ from ..functions.text import iso_text, landing_path_col, parse_landing_path, uni
 from ..operators import dedup, quality, records
 from ..sources import bundles, landing, messages, responses
 from ..session import shared_dir
-from . import contract, flows, governance, layers, tables
+from . import contract, flows, governance, layers, rules, tables
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -574,4 +574,5 @@ QUERIES = {
     "silver_rejects": q_silver_rejects,
     "gold_region_orders": q_gold_region_revenue,
     **flows.QUERIES,
+    **rules.QUERIES,
 }

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from . import flows
+from . import flows, rules
 
 _ISO = (
     "CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
@@ -346,4 +346,5 @@ JOIN region ON n_regionkey = r_regionkey
 GROUP BY r_name, year(o_orderdate)
 """,
     **flows.SQL,
+    **rules.SQL,
 }
