@@ -6,19 +6,24 @@ must stand in more toxic training texts than chance explains, and in different
 surroundings, so that copies of one text do not make their words insults.
 
 Grammar.  A clause is read as symbols: insult, threat, target, negation,
-report or other.  Small transducers are composed on it: negation marks matches
-within its reach, reported speech marks what follows it, targets mark their
-whole clause, and a threat needs a target.  A clause's matches, so marked, add
-their pattern's weight to one of the document's sums; isolated words outside a
-match count nothing.  A logistic model of these sums, fitted on the labelled
-texts, gives the score.
+report or other.  Three transducers are composed into one machine (their product
+automaton): negation marks the matches within its reach, reported speech the
+matches after its verb, a target the matches after it; the target's machine also
+reads the clause backwards, as a target aims at all of its clause.  What the
+machine accepts is a clause pattern, an insult or threat with its marks, and
+each of these patterns has a weight of its own: a logistic model of the
+documents' sums per pattern, fitted on the labelled texts and drawn towards
+weights that damp negated and reported matches.  A lone insult is a pattern too
+(without marks); other words count nothing.
 
 Labels are used only from rows whose crc32(id as text) mod 4 is not 2, at most
-``MAX_TRAIN`` of them (least hash of the id).  What is sent to tasks is bounded
-by ``MAX_PATTERNS``.  Scores depend on the text alone.  Null and empty texts
-have no matches and get the model's base score, and so do all texts without
-usable labels; rows with a null id count as not held out; repeated rows score
-alike; an empty table gives an empty result; other columns are ignored.
+``MAX_TRAIN`` of them (least hash of the id, one text each: the least of an id's
+texts).  That sample bounds the patterns learned from it, each of which stands
+in several of its texts, and with them what is sent to tasks.  Scores depend on
+the text alone.  Null and empty texts have no matches and get the model's base
+score, and so do all texts without usable labels; rows with a null id count as
+not held out; repeated rows score alike; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,10 +42,10 @@ from . import vectors as V
 from .texts import Folder
 
 MAX_TRAIN = 20_000
-MAX_CANDIDATES = 50_000
-MAX_PATTERNS = 4_000
-#: Chance, per pattern, of being as toxic in the sample without being so.
-CHANCE = 1e-7
+#: Chance, per pattern, of being as toxic in the sample without being so, and
+#: the least log odds of a pattern.
+CHANCE = 1e-3
+MIN_ODDS = 3.0
 #: Bytes of the word beginnings tried as patterns; 0 is the whole word.
 BEGINNINGS = (0, 4, 5, 6, 7, 8)
 REACH = 3
@@ -76,17 +81,38 @@ class Transducer:
     """A deterministic finite-state transducer: (state, symbol) to (state,
     mark); a symbol without an arc keeps the state and the mark 0."""
 
-    def __init__(self, arcs: dict[tuple[int, int], tuple[int, int]], start: int = 0):
+    def __init__(self, arcs: dict[tuple, tuple], start=0):
         self.arcs, self.start = arcs, start
 
+    def step(self, state, symbol: int) -> tuple:
+        return self.arcs.get((state, symbol), (state, 0))
+
     def run(self, symbols: list[int]) -> list[int]:
         state, marks = self.start, []
         for symbol in symbols:
-            state, mark = self.arcs.get((state, symbol), (state, 0))
+            state, mark = self.step(state, symbol)
             marks.append(mark)
         return marks
 
 
+def compose(*machines: Transducer) -> Transducer:
+    """Their product: one machine whose states are theirs together and whose
+    marks are their marks as bits, the first machine's lowest."""
+    start = tuple(m.start for m in machines)
+    arcs, ahead, seen = {}, [start], {start}
+    while ahead:
+        state = ahead.pop()
+        for symbol in range(OTHER + 1):
+            steps = [m.step(s, symbol) for m, s in zip(machines, state, strict=True)]
+            after, mark = tuple(s for s, _ in steps), sum(bit << k for k, (_, bit) in enumerate(steps))
+            if after != state or mark:
+                arcs[state, symbol] = (after, mark)
+            if after not in seen:
+                seen.add(after)
+                ahead.append(after)
+    return Transducer(arcs, start)
+
+
 def _negation() -> Transducer:
     """Marks matches at most REACH symbols after a negation."""
     arcs = {(s, NEGATION): (REACH, 0) for s in range(REACH + 1)}
@@ -98,38 +124,49 @@ def _negation() -> Transducer:
     return Transducer(arcs)
 
 
-def _report() -> Transducer:
-    """Marks matches after a verb of speech."""
-    arcs = {(s, REPORT): (1, 0) for s in (0, 1)}
+def _after(opener: int) -> Transducer:
+    """Marks matches after a symbol of a kind."""
+    arcs = {(s, opener): (1, 0) for s in (0, 1)}
     arcs |= {(1, symbol): (1, 1) for symbol in (INSULT, THREAT)}
     return Transducer(arcs)
 
 
-def _target() -> Transducer:
-    """Marks matches after a target; read backwards as well, a whole clause."""
-    arcs = {(s, TARGET): (1, 0) for s in (0, 1)}
-    arcs |= {(1, symbol): (1, 1) for symbol in (INSULT, THREAT)}
-    return Transducer(arcs)
-
-
-NEGATED, REPORTED, AIMED = _negation(), _report(), _target()
-SUMS = ("plain", "aimed", "negated", "reported", "threat", "clauses")
+#: Marks of a match, as bits.
+MARKS = ("negated", "reported", "aimed")
+FORWARD = compose(_negation(), _after(REPORT), _after(TARGET))
+BACKWARD = _after(TARGET)
+#: Clause patterns that the machine accepts: an insult or a threat with marks.
+PATTERNS = tuple(
+    "_".join([kind, *(m for k, m in enumerate(MARKS) if bits >> k & 1)]) for kind in ("insult", "threat") for bits in range(8)
+)
+SUMS = (*PATTERNS, "clauses")
 
 
 def clause_sums(symbols: list[int], weights: list[float]) -> list[float]:
-    """The sums of one clause: its marked matches' weights by kind."""
-    negated, reported = NEGATED.run(symbols), REPORTED.run(symbols)
-    aimed = [a | b for a, b in zip(AIMED.run(symbols), AIMED.run(symbols[::-1])[::-1], strict=True)]
+    """The sums of one clause: weights of its matches by accepted pattern (an
+    unaimed threat is none of anyone and counts nothing)."""
     out = [0.0] * len(SUMS)
-    for symbol, weight, n, r, a in zip(symbols, weights, negated, reported, aimed, strict=True):
-        if symbol == THREAT:
-            out[4] += float(a and not n and not r)
-        elif symbol == INSULT:
-            out[2 if n else 3 if r else 1 if a else 0] += weight
-    out[5] = float(any(out))
+    behind = BACKWARD.run(symbols[::-1])[::-1]
+    for symbol, weight, marks, aimed in zip(symbols, weights, FORWARD.run(symbols), behind, strict=True):
+        marks |= aimed << 2
+        if symbol == INSULT:
+            out[marks] += weight
+        elif symbol == THREAT and marks >> 2:
+            out[8 + marks] += 1.0
+    out[-1] = float(any(out))
     return out
 
 
+def _prior() -> np.ndarray:
+    """Before any label: aimed matches raise the score most, negation and report
+    damp them; then the clauses and the base."""
+    weights = [
+        1.0 * (1.2 if "aimed" in p else 1.0) * (0.4 if "negated" in p else 1.0) * (0.5 if "reported" in p else 1.0)
+        for p in PATTERNS
+    ]
+    return np.array([*weights, 0.5, -3.0])
+
+
 @dataclass
 class Grammar:
     """Patterns (beginning's length, text) with weights, and the model."""
@@ -292,8 +329,6 @@ def learn_patterns(sample: DataFrame) -> dict[tuple[int, str], float]:
         seen.groupBy("size", "text")
         .agg(F.count(F.lit(1)).alias("docs"), F.count_distinct("near").alias("places"))
         .filter(F.col("places") >= least)
-        .orderBy(F.desc("places"), "size", "text")
-        .limit(MAX_CANDIDATES)
         .collect()
     )
     places = {(r["size"], bytes(r["text"])): r["places"] for r in varied}
@@ -310,9 +345,9 @@ def learn_patterns(sample: DataFrame) -> dict[tuple[int, str], float]:
     for (size, text), k in places.items():
         c = others.get((size, text), 0)
         odds = log((k + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1))
-        if odds > 4.5 and _tail(k, c, rate) < log(CHANCE):
+        if odds > MIN_ODDS and _tail(k, c, rate) < log(CHANCE):
             good[size, text.decode(errors="surrogateescape")] = odds
-    return dict(sorted(good.items(), key=lambda x: (-x[1], x[0]))[:MAX_PATTERNS])
+    return dict(sorted(good.items(), key=lambda x: (-x[1], x[0])))
 
 
 def _features(grammar: Grammar):
@@ -349,8 +384,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: floa
     return w
 
 
-#: Before any label: matches raise the score, negation and report damp them.
-PRIOR = np.array([1.0, 1.2, 0.4, 0.5, 1.0, 0.5, -3.0])
+PRIOR = _prior()
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
@@ -360,6 +394,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = (
         docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .join(chosen, id_col)
+        .groupBy(id_col)
+        .agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
         .select("text", "toxic")
     )
     sample = Folder(docs.sparkSession, "toxicity").keep(sample, "sample")

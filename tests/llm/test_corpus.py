@@ -3,6 +3,7 @@ tables: nulls, empty and long texts, ties, repeated rows, empty tables, and
 extra columns with clashing names."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -319,11 +320,46 @@ def test_toxicity_learns_and_ignores_held_out(spark):
 def test_transducers():
     t = toxicity
     sums = dict(zip(t.SUMS, t.clause_sums([t.NEGATION, t.OTHER, t.INSULT], [0, 0, 2.0]), strict=True))
-    assert sums["negated"] == 2.0 and sums["plain"] == 0
+    assert sums["insult_negated"] == 2.0 and sums["insult"] == 0
     sums = dict(zip(t.SUMS, t.clause_sums([t.REPORT, t.INSULT, t.TARGET], [0, 1.0, 0]), strict=True))
-    assert sums["reported"] == 1.0
+    assert sums["insult_reported_aimed"] == 1.0
     sums = dict(zip(t.SUMS, t.clause_sums([t.INSULT, t.TARGET, t.THREAT], [3.0, 0, 0]), strict=True))
-    assert sums["aimed"] == 3.0 and sums["threat"] == 1.0
+    assert sums["insult_aimed"] == 3.0 and sums["threat_aimed"] == 1.0
+    assert not any(t.clause_sums([t.THREAT, t.OTHER], [0, 0]))
+
+
+def test_the_composed_machine_against_the_rules():
+    """Every clause of up to five symbols, by the rules in words."""
+    t = toxicity
+    for n in range(1, 6):
+        for clause in itertools.product(range(t.OTHER + 1), repeat=n):
+            want = dict.fromkeys(t.SUMS, 0.0)
+            for i, symbol in enumerate(clause):
+                if symbol not in (t.INSULT, t.THREAT):
+                    continue
+                marks = [
+                    t.NEGATION in clause[max(0, i - t.REACH) : i],
+                    t.REPORT in clause[:i],
+                    t.TARGET in clause,
+                ]
+                if symbol == t.INSULT or marks[2]:
+                    name = "insult" if symbol == t.INSULT else "threat"
+                    want["_".join([name, *(m for m, on in zip(t.MARKS, marks, strict=True) if on)])] += 1.0
+            want["clauses"] = float(any(want.values()))
+            assert dict(zip(t.SUMS, t.clause_sums(list(clause), [1.0] * n), strict=True)) == want
+
+
+def test_toxicity_of_odd_tables(spark):
+    docs = spark.createDataFrame(
+        [(1, "fool you", 5, "x"), (1, "fool you", 5, "x"), (2, "word " * 30000, 5, "x"), (None, "y", 5, "x"), (3, "other", 5, "x")],
+        "doc_id long, text string, toxic int, insult string",
+    )
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    got = [tuple(r)[:4] for r in toxicity.toxicity(docs, none).collect()]
+    assert len(got) == 5 and len({r[2] for r in got}) == 1 and not any(r[1] for r in got if r[0] is None)
+    # an id with two texts counts once, repeated labels too, unusable ones not at all
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 7), (3, None), (None, 1)], "doc_id long, toxic int")
+    assert toxicity.toxicity(docs, labels).count() == 5
 
 
 def test_pipeline_runs_end_to_end(spark):
