@@ -64,6 +64,8 @@ COLUMNS = 4096
 #: Bins of a set's sketch.
 BINS = 256
 
+V.return_large_arrays()  # its tasks are many, and of very different sizes
+
 _WORDS = V.Polynomial(5)
 _POLY = V.Polynomial(6)
 _SEEDS = [V.mix64(np.array([k + 1], V.U))[0] for k in range(ORDERS)]

@@ -9,6 +9,7 @@ single longest text, and never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def return_large_arrays(size: int = 1 << 20) -> None:
+    """From now on this process gives arrays of ``size`` bytes and more pages of
+    their own, which go back to the system as soon as they are freed.  Else the
+    C library keeps what a reused Python worker ever needed at once.  Where the
+    library has no such setting nothing changes."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, size)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        pass
+
+
 def _byte_values(seed: int) -> np.ndarray:
     return mix64(np.arange(1, 257, dtype=U) * U(_BASE) + U(seed))
 
