@@ -28,7 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the least id."""
+    """One row of each group of linked ones: that with the least id (nulls
+    last), then the least text key, then the least of its columns."""
     return jaccard.one_per_group(docs)
 
 
