@@ -211,7 +211,7 @@ def read_version(spark: SparkSession, prefix: str, version: str, contract=None,
     for name, (low, high) in ranges.items():
         kind = df.schema[name].dataType
         if low is not None:
-            df = df.filter(qcol(name) >= F.lit(low).cast(kind))
+            df = df.filter(qcol(name) >= footers.bound(low, kind))
         if high is not None:
-            df = df.filter(qcol(name) <= F.lit(high).cast(kind))
+            df = df.filter(qcol(name) <= footers.bound(high, kind))
     return df if chosen else df.limit(0)

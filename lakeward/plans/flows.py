@@ -89,7 +89,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermark, two days behind, has passed them (dropped as late)."""
     root, checkpoint, out = _lake(spark), shared_dir(spark, "streams", unique=True), shared_dir(spark, "out", unique=True)
     events = _table(spark, sf_dir, "events")
-    first, second = (F.lit(c).cast("timestamp_ntz") for c in CUTS)
+    first, second = (F.expr(f"TIMESTAMP_NTZ '{c}'") for c in CUTS)
     held = (F.col("event_type") == "error") & (F.col("ts") < first)
     day = F.expr("INTERVAL 1 DAY")
     runs = [

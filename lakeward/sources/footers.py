@@ -215,6 +215,14 @@ def ddl_of(schema_json) -> F.Column:
 # ------------------------------------------------------------- file skipping
 
 
+def bound(value, kind: T.DataType) -> F.Column:
+    """A limit as a literal of a column's type.  Times go as text: a time
+    without a zone means the same whatever zone Python or the session is in."""
+    if isinstance(value, dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def may_match(name: str, kind: T.DataType, low=None, high=None) -> F.Column:
     """Whether a file with ``columns`` statistics can hold a row with ``name``
     between ``low`` and ``high`` (inclusive, None: open).  Unknown bounds can."""
@@ -222,7 +230,7 @@ def may_match(name: str, kind: T.DataType, low=None, high=None) -> F.Column:
     least, most = found["min"].try_cast(kind), found["max"].try_cast(kind)
     can = ~(F.coalesce(found["nulls"] == F.col("n_rows"), F.lit(False)))
     if low is not None:
-        can = can & F.coalesce(most >= F.lit(low).cast(kind), F.lit(True))
+        can = can & F.coalesce(most >= bound(low, kind), F.lit(True))
     if high is not None:
-        can = can & F.coalesce(least <= F.lit(high).cast(kind), F.lit(True))
+        can = can & F.coalesce(least <= bound(high, kind), F.lit(True))
     return can
