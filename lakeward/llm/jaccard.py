@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from . import vectors as V
 from .components import connected_components
 from .texts import Folder, keyed, mark_possible, partitions, text_key
+from .tokens import Encoder
 
 SHINGLE = 5
 MIN_PERCENT = 80
@@ -128,6 +129,7 @@ def _sizes(size: int):
     common among the distinct texts a task holds at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.release()
         seen: set[int] = set()
         held, total = [], 0
 
@@ -168,6 +170,7 @@ def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int
     once; all its holders follow as a row that is known to be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.release()
         seen: set[int] = set()
         held, total = [], 0
 

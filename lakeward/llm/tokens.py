@@ -58,6 +58,12 @@ class Encoder:
             cls._kept[path] = cls(path)
         return cls._kept[path]
 
+    @classmethod
+    def release(cls) -> None:
+        """Drop what this worker remembers: for tasks of another kind, which
+        need the memory, after those that encode."""
+        cls._kept.clear()
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
