@@ -147,3 +147,20 @@ def test_bounded_state_with_late_rows_and_a_restart(spark, tmp_path):
     # nothing new: nothing is written again
     out = incremental.first_within_watermark(spark, f"{root}/erp/e", spark.createDataFrame([], schema).schema, *args)
     assert sorted(r.id for r in out.collect()) == [1, 1, 2, 3, 5]
+
+
+def test_a_part_file_without_rows_is_no_empty_run(spark, tmp_path):
+    """A run's first task may have no rows, and then writes a file of none; a
+    run without any rows is blocked as before."""
+    root, schema, checkpoint = str(tmp_path / "lake"), "stream_parts", str(tmp_path / "ckpt")
+    rows = spark.range(0, 8, 1, 2).selectExpr("id", "'a' AS name", "id AS seen")
+    layers.land(rows.filter("id >= 4"), root, "erp", "t", DAY, "r0")
+    spec = _spec(schema)
+    results = _run(spark, root, spec, checkpoint)
+    assert sorted((r.passed, r.n_rows) for r in results.collect()) == [(True, 0), (True, 4)]
+    for batch_id in (0, 1):
+        incremental.replay(spark, spec, checkpoint, batch_id, rows.schema)
+    assert _rows(spark, schema) == [(str(i), "a", str(i)) for i in range(4, 8)]
+    layers.land(rows.filter("id < 0"), root, "erp", "t", DAY, "r1")
+    assert sorted((r.batch_id, r.passed) for r in _run(spark, root, spec, checkpoint).collect())[2:] == [(2, False)]
+    _clean(spark, schema)
