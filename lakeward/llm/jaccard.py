@@ -12,7 +12,8 @@ share a prefix shingle, a few of them are centres and the others are compared
 with those; what this verifies is joined into components, and the next round
 takes other centres.  Then pairs of a shingle's documents that are still in
 different components, and only those, are tested, so no link between components
-is missed and components are exact.
+is missed and components are exact.  Sketches test those pairs where they
+meet, and only near ones become rows.
 
 Links lie within components.  There all pairs are tested, in blocks: a large
 component's texts are dealt to blocks, and every pair of blocks is one group of
@@ -62,8 +63,9 @@ MANY = 512
 BLOCK_TEXTS = 1024
 BLOCK_SHINGLES = 1 << 21
 COLUMNS = 4096
-#: Bins of a set's sketch.
+#: Bins of a set's sketch, and pairs of them that are compared together.
 BINS = 256
+SKETCHES = 1 << 14
 
 V.return_large_arrays()  # its tasks are many, and of very different sizes
 
@@ -336,18 +338,25 @@ def _verify(min_percent: int, common: np.ndarray):
     return run
 
 
+def near_sketches(n: np.ndarray, m: np.ndarray, left: np.ndarray, right: np.ndarray, min_percent: int) -> np.ndarray:
+    """Pairs of sets whose sketches leave room for the overlap they need."""
+    low = np.minimum(left, right)
+    least = np.minimum(n, m)
+    most = np.where((low == 255).any(axis=1), least, np.minimum(low.sum(1, dtype=np.int64), least))
+    return 100 * most >= min_percent * (n + m - most)
+
+
+def _sketches(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
 def _sketched(min_percent: int):
-    """Pairs whose sketches leave room for the overlap they need."""
+    """Pairs whose sketches are near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
-            ba, bb = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("ba", "bb")
-            )
-            most = np.where((ba == 255) & (bb == 255), 1 << 40, np.minimum(ba, bb)).sum(1, dtype=np.int64)
-            most = np.minimum(most, np.minimum(n, m))
-            good = 100 * most >= min_percent * (n + m - most)
+            good = near_sketches(n, m, *(_sketches(batch.column(c)) for c in ("ba", "bb")), min_percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good))
 
     return run
@@ -363,14 +372,14 @@ def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
     return both.select("a", "b", *[f"{c[0]}{s}" for c in columns for s in "ab"])
 
 
-def verified(
-    pairs: DataFrame, sets: DataFrame, folder: Folder, name: str, common: np.ndarray, min_percent: int = MIN_PERCENT
-) -> DataFrame:
-    """The linked ones of candidate ``pairs`` (a, b).  Sketches go first; sets
-    move only for pairs that these leave."""
-    near = _both(pairs, sets, ["n", "bins"]).mapInArrow(_sketched(min_percent), CROSS)
-    near = folder.keep(near, f"near-{name}")
-    return _both(near, sets, ["shingles"]).mapInArrow(_verify(min_percent, common), CROSS)
+def near(pairs: DataFrame, sets: DataFrame, folder: Folder, name: str, min_percent: int = MIN_PERCENT) -> DataFrame:
+    """Candidate ``pairs`` (a, b) whose sketches are near."""
+    return folder.keep(_both(pairs, sets, ["n", "bins"]).mapInArrow(_sketched(min_percent), CROSS), name)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, common: np.ndarray, min_percent: int = MIN_PERCENT) -> DataFrame:
+    """The linked ones of near ``pairs`` (a, b); sets move only for these."""
+    return _both(pairs, sets, ["shingles"]).mapInArrow(_verify(min_percent, common), CROSS)
 
 
 CROSS = "a long, b long"
@@ -389,7 +398,7 @@ class _Meetings:
 
     def __init__(self, table: pa.Table, *columns: str):
         values = {c: table.column(c).to_numpy() for c in ("token", "x1", "n", *columns)}
-        order = np.lexsort((values["x1"], values["n"], values["token"]))
+        self.order = order = np.lexsort((values["x1"], values["n"], values["token"]))
         for c, v in values.items():
             setattr(self, c, v[order])
         new = np.ones(len(order), bool)
@@ -460,8 +469,9 @@ def _pivots(m: _Meetings, turn: int) -> np.ndarray:
 
 def _between(min_percent: int, turn: int):
     """Per shingle: pairs of different components that can link with it as the
-    first shared shingle.  At turn 0 all of them; else only those with the
-    shingle's centres."""
+    first shared shingle.  At turn 0 all of them whose sketches are near, tested
+    here, so that texts which share much but link with few give few rows; else
+    only those with the shingle's centres."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         m = _Meetings(table, "root", "at")
@@ -471,11 +481,19 @@ def _between(min_percent: int, turn: int):
         else:
             left = np.arange(len(m.n))
             first, counts = left + 1, m.later(min_percent)
+            bins = _sketches(table.column("bins"))[m.order]
         found = np.zeros((0, 2), np.int64)
         held: list[np.ndarray] = []
         for i, j in m.pairs(left, first, counts, min_percent):
             apart = m.root[i] != m.root[j]
-            a, b = m.x1[i[apart]], m.x1[j[apart]]
+            i, j = i[apart], j[apart]
+            if not turn:
+                good = [np.zeros(0, bool)]
+                for lo in range(0, len(i), SKETCHES):
+                    p, q = i[lo : lo + SKETCHES], j[lo : lo + SKETCHES]
+                    good.append(near_sketches(m.n[p], m.n[q], bins[p], bins[q], min_percent))
+                i, j = (x[np.concatenate(good)] for x in (i, j))
+            a, b = m.x1[i], m.x1[j]
             held.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
             if sum(map(len, held)) > PAIRS:
                 found, held = np.unique(np.concatenate([found, *held]), axis=0), []
@@ -648,10 +666,13 @@ def _grouped_texts(
         held = folder.keep(held.withColumn("root", F.coalesce("root", "x1")), f"held-{turn}")
         apart = held.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         split = held.join(apart.select("token"), "token", "left_semi").select("*", bucket)
+        if last:
+            split = split.join(sets.select("x1", "bins"), "x1")
         step = _between(min_percent, 0 if last else turn)
         found = split.groupBy("bucket").applyInArrow(step, CROSS).distinct()
         fresh = folder.keep(found.join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        more = folder.keep(verified(fresh, sets, folder, str(turn), common, min_percent), f"links-{turn}")
+        close = fresh if last else near(fresh, sets, folder, f"near-{turn}", min_percent)
+        more = folder.keep(verified(close, sets, common, min_percent), f"links-{turn}")
         folder.drop(f"held-{turn}", f"near-{turn}")
         joined = not more.isEmpty()
         if joined:
