@@ -202,8 +202,8 @@ def _send_prefixes(size: int, min_percent: int, common: np.ndarray, buckets: int
                     ["bucket", "low", "x1", "at", "n", "shared"],
                 )
 
-        for batch in batches:
-            rows = _fresh(batch, seen)
+        for part in (p for batch in batches for p in V.slices(batch)):
+            rows = _fresh(part, seen)
             if not len(rows):
                 continue
             names = rows.column(0).to_numpy()

@@ -40,6 +40,8 @@ FLUSH = 1 << 22
 SAMPLED_CHUNKS = 32
 KEYS_PER_CHUNK = 256
 
+V.return_large_arrays()  # else workers keep what their largest chunk needed
+
 _POLY = V.Polynomial(1)
 _BYTES = V.Polynomial(2)
 
@@ -77,8 +79,8 @@ class WordUnits(Windows):
 
 class ByteUnits(Windows):
     def units(self, data, offsets):
-        at = np.arange(len(data))
-        return _BYTES.values[data], offsets, at, at + 1
+        at = np.arange(len(data) + 1)
+        return _BYTES.values[data], offsets, at[:-1], at[1:]
 
 
 def _positions_by_text(x1: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -126,12 +128,12 @@ def _send_anchors(windows: Windows, buckets: int):
                     low = hashes[by_text].astype(np.uint32)  # within a bucket
                     yield row(b, low, x1[by_text], pos[by_text])
 
-        for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for part in (p for batch in batches for p in V.slices(batch)):
+            keys = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
             fresh = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
             if not fresh:
                 continue
-            rows = batch.take(pa.array(fresh))
+            rows = part.take(pa.array(fresh))
             names = rows.column(0).to_numpy()
             for a, b, data, offsets in V.blocks(rows.column(2), BLOCK_BYTES):
                 values, bounds, _, _ = windows.units(data, offsets)
@@ -200,7 +202,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Chunk:
-    """A chunk read back, with the keys of its candidate windows."""
+    """A chunk read back, with the keys of its candidate windows; the blocks
+    are kept only for cutting."""
 
     number: int
     x1: np.ndarray
@@ -210,7 +213,7 @@ class Chunk:
     keys: np.ndarray
 
     @classmethod
-    def of(cls, row: dict, windows: Windows) -> Chunk:
+    def of(cls, row: dict, windows: Windows, cut: bool = False) -> Chunk:
         x1, x2 = np.frombuffer(row["x1"], np.int64), np.frombuffer(row["x2"], np.int64)
         offsets, data = np.frombuffer(row["offsets"], np.int64), np.frombuffer(row["text"], np.uint8)
         counts, pos = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["pos"], np.uint32).astype(np.int64)
@@ -229,21 +232,24 @@ class Chunk:
             head, key = windows.keys(values, at)
             heads.append(head)
             keys.append(key)
-            blocks.append((a, b, part, cuts, bounds, starts, stops, at))
+            if cut:
+                blocks.append((a, b, part, cuts, bounds, starts, stops, at))
             a = b
         return cls(row["chunk"], x1, x2, blocks, np.concatenate(heads), np.concatenate(keys))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(heads, keys, index of each window's key, whether it is found twice
-        in the chunk), sorted by head and key."""
-        order = np.lexsort((self.keys, self.heads))
+        in the chunk), sorted by head and key.  The chunk's own go."""
+        order = np.lexsort((self.keys, self.heads)).astype(np.uint32)
         heads, keys = self.heads[order], self.keys[order]
+        self.heads, self.keys = heads[:0], keys[:0]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (heads[1:] != heads[:-1])
-        rank = np.cumsum(new) - 1
-        index = np.empty(len(keys), np.int64)
-        index[order] = rank
-        return heads[new], keys[new], index, np.bincount(rank, minlength=int(new.sum())) > 1
+        index = np.empty(len(keys), np.uint32)
+        index[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+        del order
+        heads, keys = heads[new], keys[new]
+        return heads, keys, index, np.diff(np.append(np.flatnonzero(new), len(new))) > 1
 
 
 def full_keys(heads: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -345,7 +351,7 @@ RESULT = "x1 long, x2 long, n_units long, spans array<struct<start:int,length:in
 def _mark(windows: Windows, splitters: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            chunk = Chunk.of(row, windows)
+            chunk = Chunk.of(row, windows, cut=True)
             heads, keys, index, shared = chunk.distinct()
             cuts = bucket_cuts(chunk.number, full_keys(heads, keys), splitters)
             for cell in row["bits"] or ():

@@ -119,6 +119,13 @@ def blocks(column: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, in
         row = end
 
 
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of so many rows: what is copied of a part stays small
+    beside the batch."""
+    for lo in range(0, len(batch), rows):
+        yield batch.slice(lo, rows)
+
+
 def word_table(separators: bytes) -> np.ndarray:
     """256 flags: the byte belongs to a word."""
     flags = np.ones(256, bool)
